@@ -20,6 +20,15 @@ def dec(value: str | int) -> Column:
     return F.lit(Decimal(str(value)))
 
 
+def as_units(value: Column, scale: int) -> Column:
+    """Decimal with ``scale`` digits as a whole number of its smallest unit; sums of it stay 8 bytes wide."""
+    return (value.cast(f"decimal(18,{scale})") * F.lit(Decimal(10) ** scale)).cast("long")
+
+
+def from_units(units: Column, scale: int) -> Column:
+    return (units.cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal(19,{scale})")
+
+
 def off_when(flag: Column, value: Column) -> Column:
     """``value`` times a 0/1 flag whose NULL counts as 1."""
     return F.when(F.coalesce(flag, F.lit(1)) == 1, value).otherwise(F.lit(Decimal(0)))

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def sums_by_code(code: Column, codes: Sequence[str], value: Column, suffix: str) -> list[Column]:
@@ -16,6 +17,16 @@ def sums_by_code(code: Column, codes: Sequence[str], value: Column, suffix: str)
     ]
 
 
+def decimal_scale(df: DataFrame, column: str) -> int:
+    """Digits after the point of a decimal column; whole numbers have none."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DecimalType):
+        return kind.scale
+    if isinstance(kind, T.IntegralType):
+        return 0
+    raise TypeError(f"{column} must be decimal or integral, not {kind.simpleString()}")
+
+
 def any_flag(condition: Column) -> Column:
     return F.max(F.when(condition, 1).otherwise(0))
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from binledger.operators.grouping import dedup_first
+from binledger.sources.tables import literal_table
 
 
 def left_join_on_filter(left: DataFrame, right: DataFrame, on: Sequence[str], right_filter: Column) -> DataFrame:
@@ -84,7 +85,8 @@ def code_domain(
         squeeze(F.col("code")).alias(code_name), squeeze(F.col("description")).alias(text_name)
     )
     if extra:
-        added = codes.sparkSession.createDataFrame(list(extra), f"{code_name} string, {text_name} string")
+        names, texts = zip(*extra)
+        added = literal_table(codes.sparkSession, {code_name: names, text_name: texts})
         listed = listed.unionByName(added)
     return dedup_first(listed, [code_name], [F.col(text_name).asc_nulls_first()])
 

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from binledger.functions.dates import active_between, consistent_validity, date_of_day_key, day_key, month_key, month_of_day_key
 from binledger.functions.labels import account_status
-from binledger.functions.money import division_fee_fraction, effective_fee_rate, fee_multiplier
+from binledger.functions.money import as_units, division_fee_fraction, effective_fee_rate, fee_multiplier, from_units
 from binledger.functions.text import code_in
-from binledger.operators.grouping import any_flag, every_flag, sums_by_code
+from binledger.operators.grouping import any_flag, decimal_scale, every_flag, sums_by_code
 from binledger.operators.joins import full_join_coalesce
 from binledger.operators.rows import current_rows, live_rows
 
@@ -74,7 +74,7 @@ def invoice_monthly(
     """Invoice lines rolled up to the grain, with one sum per charge code.
 
     Lines are summed per surrogate key first, so that the wide dimensions meet one row per container
-    and month instead of every line.
+    and month instead of every line. Sums run on whole units of the declared decimals.
     """
     codes = charge_codes.where(code_in(F.col("charge_cd"), INVOICE_CODES))
     lines = (
@@ -83,6 +83,8 @@ def invoice_monthly(
         .join(codes, "charge_cd_sk")
         .join(rates, "rate_sk")
     )
+    scale = {m: decimal_scale(lines, m) for m in ("revenue_amt", "rate_amt", "qty_billed")}
+    lines = lines.withColumns({m: as_units(F.col(m), s) for m, s in scale.items()})
     code, amount = F.col("charge_cd"), F.col("revenue_amt")
     sums = [
         F.sum(amount).alias("inv_rev"),
@@ -91,9 +93,10 @@ def invoice_monthly(
         *sums_by_code(code, EXTRA_CODES, F.col("rate_amt"), "rate"),
         *sums_by_code(code, EXTRA_CODES, F.col("qty_billed"), "qty_bill_inv"),
     ]
-    measures = ["inv_rev", "credit_rev"]
-    measures += [f"{c.lower()}_rev" for c in INVOICE_CODES]
-    measures += [f"{c.lower()}_{m}" for m in ("rate", "qty_bill_inv") for c in EXTRA_CODES]
+    measures = {"inv_rev": "revenue_amt", "credit_rev": "revenue_amt"}
+    measures |= {f"{c.lower()}_rev": "revenue_amt" for c in INVOICE_CODES}
+    measures |= {f"{c.lower()}_rate": "rate_amt" for c in EXTRA_CODES}
+    measures |= {f"{c.lower()}_qty_bill_inv": "qty_billed" for c in EXTRA_CODES}
 
     per_key = lines.groupBy("revenue_period", *_SKEYS).agg(*sums)
     for key, dim in _dim_facts(containers, accounts, hierarchy).items():
@@ -108,7 +111,7 @@ def invoice_monthly(
         any_flag(F.col("is_erf_locked") == 1).alias("is_erf_locked"),
         any_flag(F.col("is_frf_locked") == 1).alias("is_frf_locked"),
         any_flag(F.col("is_erf_on_frf") == 1).alias("is_erf_on_frf"),
-        *[F.sum(m).alias(m) for m in measures],
+        *[from_units(F.sum(m), scale[source]).alias(m) for m, source in measures.items()],
     )
     in_month = lambda name: F.when(F.col(name) == F.col("month_dt"), 1).otherwise(0)
     return grouped.withColumns(

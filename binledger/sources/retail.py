@@ -8,6 +8,7 @@ jobs on top grow with them.
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from binledger.functions.dates import OPEN_END, day_key, month_key
 from binledger.functions.text import pad_key
 from binledger.plans.container import INVOICE_CODES
-from binledger.sources.tables import read_table
+from binledger.sources.tables import literal_table, read_table
 
 FIRST_MONTH, LAST_MONTH = dt.date(1995, 1, 1), dt.date(2001, 12, 1)
 AS_OF = dt.date(2001, 9, 1)
@@ -34,6 +35,10 @@ def _money(column: str) -> Column:
     return F.col(column).cast("decimal(18,2)")
 
 
+def _rate(column: str) -> Column:
+    return F.col(column).cast("decimal(4,2)")
+
+
 class Retail:
     """Lazy billing views over one folder of Parquet tables."""
 
@@ -58,8 +63,8 @@ class Retail:
 
     def _line_flags(self) -> dict[str, Column]:
         return {
-            "is_updated": _flag(F.col("l_discount").cast("decimal(4,2)") == 0.10),
-            "is_deleted": _flag(F.col("l_tax").cast("decimal(4,2)") == 0.08),
+            "is_updated": _flag(_rate("l_discount") == F.lit(Decimal("0.10"))),
+            "is_deleted": _flag(_rate("l_tax") == F.lit(Decimal("0.08"))),
             "is_merged": _flag(F.col("l_quantity") == 50),
             "is_split": _flag(F.col("l_quantity") == 1),
         }
@@ -148,7 +153,7 @@ class Retail:
 
     @cached_property
     def dim_charge_cd(self) -> DataFrame:
-        return self.spark.createDataFrame(list(LINE_CODES.items()), "charge_cd_sk string, charge_cd string")
+        return literal_table(self.spark, {"charge_cd_sk": list(LINE_CODES), "charge_cd": list(LINE_CODES.values())})
 
     @cached_property
     def dim_service_cd(self) -> DataFrame:
@@ -275,7 +280,7 @@ class Retail:
             _money("l_extendedprice").alias("charge_rate"),
             day_key(begin).alias("effective_date"),
             F.when(F.col("l_linestatus") == "O", 0).otherwise(day_key(end)).alias("close_date"),
-            F.when(F.col("l_tax").cast("decimal(4,2)") == 0.08, "1").otherwise("0").alias("adj_flag"),
-            F.when(F.col("l_discount").cast("decimal(4,2)") == 0.10, "N").when(F.col("l_returnflag") == "N", "y").otherwise("Y").alias("current_ind"),
+            F.when(_rate("l_tax") == F.lit(Decimal("0.08")), "1").otherwise("0").alias("adj_flag"),
+            F.when(_rate("l_discount") == F.lit(Decimal("0.10")), "N").when(F.col("l_returnflag") == "N", "y").otherwise("Y").alias("current_ind"),
             F.col("l_shipdate").alias("stamped_at"),
         )

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +18,11 @@ def read_tables(spark: SparkSession, folder: str, names: list[str]) -> dict[str,
     return {name: read_table(spark, f"{folder}/{name}.parquet") for name in names}
 
 
+def literal_table(spark: SparkSession, columns: Mapping[str, Sequence[object]]) -> DataFrame:
+    """Rows fixed in code. Arrow makes a local relation of them, whose known size lets Spark broadcast it."""
+    return spark.createDataFrame(pa.table({name: pa.array(list(values)) for name, values in columns.items()}))
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,
