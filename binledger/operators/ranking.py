@@ -64,13 +64,13 @@ def with_position(
 
     rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
     starts = placed.groupBy(*[F.col(g).alias(f"__g_{g}") for g in groups]).agg(
-        F.min("__pos").alias("__first"), rows.alias("__size")
+        F.min("__pos").alias("__group_first"), rows.alias("__group_size")
     )
     match = [F.col(g).eqNullSafe(F.col(f"__g_{g}")) for g in groups]
-    out = placed.join(starts, match).withColumn(position, F.col("__pos") - F.col("__first"))
+    out = placed.join(starts, match).withColumn(position, F.col("__pos") - F.col("__group_first"))
     if size:
-        out = out.withColumn(size, F.col("__size"))
-    return out.drop("__range", "__row", "__shift", "__pos", "__first", "__size", *[f"__g_{g}" for g in groups])
+        out = out.withColumn(size, F.col("__group_size"))
+    return out.drop("__range", "__row", "__shift", "__pos", "__group_first", "__group_size", *[f"__g_{g}" for g in groups])
 
 
 def row_ids(df: DataFrame, order: Sequence[Column], name: str = "row_id") -> DataFrame:
