@@ -21,7 +21,7 @@ def _long(df: DataFrame, per_column: dict[str, dict[str, str]]) -> DataFrame:
 
 
 def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows, missing and distinct-free length per column, in one pass."""
+    """Length and missing values per column, in one pass."""
     aggs = [F.count(F.lit(1)).alias("n")]
     aggs += [F.count(F.when(F.col(c).isNull(), 1)).alias(f"m{i}") for i, c in enumerate(columns)]
     wide = df.agg(*aggs)
@@ -53,7 +53,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def mean_impute(df: DataFrame, column: str, digits: int = 2) -> DataFrame:
+def mean_impute(df: DataFrame, column: str, digits: int = 4) -> DataFrame:
     """Fill missing values with the rounded mean of the others."""
     mean = df.agg(F.round(F.avg(F.col(column).cast("decimal(18,4)")), digits).cast("double"))
     return df.withColumn(column, F.coalesce(F.col(column), mean.scalar()))

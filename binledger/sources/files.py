@@ -32,24 +32,35 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     ).csv(path)
 
 
-def with_file_columns(df: DataFrame, columns: Mapping[str, Column] | None = None) -> DataFrame:
-    """Add columns derived from each row's file name (``file_name`` itself by default)."""
-    named = df.withColumn("file_name", F.col("_metadata.file_name"))
+def source_name(from_folder: bool = False) -> Column:
+    """Name of the file a row came from, or of the folder when a drop is a folder of part files."""
+    return F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2 if from_folder else -1)
+
+
+def with_file_columns(df: DataFrame, columns: Mapping[str, Column] | None = None, from_folder: bool = False) -> DataFrame:
+    """Add ``file_name`` and the columns derived from it."""
+    named = df.withColumn("file_name", source_name(from_folder))
     return named.withColumns(dict(columns)) if columns else named
 
 
-def read_status_folders(spark: SparkSession, root: str, statuses: Sequence[str], schema: str) -> DataFrame:
-    """One folder per status, many files each: rows tagged with status, wave and wave date of their own file."""
+def read_status_folders(
+    spark: SparkSession, folders: Mapping[str, str], schema: str | T.StructType, from_folder: bool = False
+) -> DataFrame:
+    """One folder per status, many drops each: rows tagged with status, wave and wave date of their own drop."""
     parts = []
-    for status in statuses:
-        rows = with_file_columns(read_csv(spark, f"{root}/{status}", schema))
+    for status, folder in folders.items():
+        rows = (
+            spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True).csv(folder)
+        )
         parts.append(
-            rows.withColumns(
+            with_file_columns(
+                rows,
                 {
-                    "status": F.lit(status),
                     "wave": wave_of_file(F.col("file_name")),
                     "wave_date": wave_date_of_file(F.col("file_name")),
-                }
+                    "status": F.lit(status),
+                },
+                from_folder,
             )
         )
     out = parts[0]
