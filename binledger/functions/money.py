@@ -26,7 +26,8 @@ def as_units(value: Column, scale: int) -> Column:
 
 
 def from_units(units: Column, scale: int) -> Column:
-    return (units.cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal(19,{scale})")
+    """Back to a decimal of 18 digits, which a row holds as one long."""
+    return (units.cast("decimal(18,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal(18,{scale})")
 
 
 def off_when(flag: Column, value: Column) -> Column:

@@ -1,6 +1,7 @@
 """Joins with the reference semantics: filtered, temporal, coalescing, enriching.
 
-No side is broadcast by hint unless its size is fixed in code; Spark decides from the measured size.
+No side is broadcast by hint unless its size is fixed in code or has been counted (``if_small``);
+otherwise Spark decides from the measured size.
 """
 
 from __future__ import annotations
@@ -14,6 +15,18 @@ from binledger.operators.grouping import dedup_first
 from binledger.sources.tables import literal_table
 
 
+MAX_BROADCAST_ROWS = 100_000
+
+
+def if_small(side: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Mark ``side`` for broadcast once it is proven to hold at most ``max_rows`` rows; else leave the join to Spark.
+
+    Meant for lookup tables derived by joins or groupings, whose size Spark cannot estimate: without the
+    mark the large side would be shuffled on a handful of hot keys. Counting stops one row beyond the bound.
+    """
+    return F.broadcast(side) if side.limit(max_rows + 1).count() <= max_rows else side
+
+
 def left_join_on_filter(left: DataFrame, right: DataFrame, on: Sequence[str], right_filter: Column) -> DataFrame:
     """Left join whose ON clause also tests the right side."""
     return left.join(right.where(right_filter), list(on), "left")

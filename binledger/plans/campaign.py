@@ -33,7 +33,7 @@ from binledger.functions.money import (
 )
 from binledger.functions.text import base36, clean_email, email_reject_reason, postal_parts
 from binledger.operators.grouping import any_flag, arg_max, at_most_sites, latest_row, month_columns, strict_sum, wide_flags
-from binledger.operators.joins import drop_listed
+from binledger.operators.joins import drop_listed, if_small
 from binledger.operators.ranking import ntile, percentile_rank, row_ids
 from binledger.operators.rows import unless
 from binledger.sources.tables import literal_table
@@ -198,7 +198,7 @@ def load_account_fees(accounts: DataFrame, flags: DataFrame, division_rates: Dat
 
     The per-bill ERF builds on the per-bill FRF; the original adds the yearly one there by mistake.
     """
-    joined = accounts.join(flags, ACCOUNT, "left").join(division_rates, "div_nbr", "left")
+    joined = accounts.join(flags, ACCOUNT, "left").join(if_small(division_rates), "div_nbr", "left")
     money = lambda name: F.col(name).cast("decimal(18,2)")
 
     def load(revenue: Column, admin: Column) -> dict[str, Column]:

@@ -16,7 +16,7 @@ from binledger.functions.labels import account_status
 from binledger.functions.money import as_units, division_fee_fraction, effective_fee_rate, fee_multiplier, from_units
 from binledger.functions.text import code_in
 from binledger.operators.grouping import any_flag, decimal_scale, every_flag, sums_by_code
-from binledger.operators.joins import full_join_coalesce
+from binledger.operators.joins import full_join_coalesce, if_small
 from binledger.operators.rows import current_rows, live_rows
 
 # Charge and service codes of the refresh.
@@ -44,7 +44,7 @@ def _dim_facts(containers: DataFrame, accounts: DataFrame, hierarchy: DataFrame)
             month_key(F.col("acct_close_dt")).alias("act_close_mo"),
             month_key(F.col("acct_open_dt")).alias("act_open_mo"),
         ),
-        "corp_hier_sk": hierarchy.select("corp_hier_sk", "cur_div_nbr"),
+        "corp_hier_sk": if_small(hierarchy.select("corp_hier_sk", "cur_div_nbr")),
     }
 
 
@@ -101,7 +101,7 @@ def invoice_monthly(
     per_key = lines.groupBy("revenue_period", *_SKEYS).agg(*sums)
     for key, dim in _dim_facts(containers, accounts, hierarchy).items():
         per_key = per_key.join(dim, key)
-    fees = current_rows(contract_fees).drop("is_current", "eff_dt", "disc_dt")
+    fees = if_small(current_rows(contract_fees).drop("is_current", "eff_dt", "disc_dt"))
     loaded = per_key.join(fees, ["div_nbr", "contract_nbr", "contract_grp_nbr"], "left")
 
     grouped = loaded.groupBy(F.col("revenue_period").alias("month_dt"), *GRAIN[1:]).agg(
@@ -205,9 +205,10 @@ def monthly_rate_snapshot(
         & (F.col("adj_flag") == "0")
         & consistent_validity(eff, cld)
     )
+    scale = decimal_scale(charges, "charge_rate")
     # equal charges of a container are summed before they meet their dimensions
     lines = lines.groupBy(*natural, F.upper("charge_code").alias("charge_code"), "effective_date", "close_date").agg(
-        F.sum("charge_rate").alias("charge_rate")
+        F.sum(as_units(F.col("charge_rate"), scale)).alias("charge_rate")
     )
 
     cont = current_rows(containers).select(
@@ -215,8 +216,8 @@ def monthly_rate_snapshot(
         "rev_distrib_cd", "orig_start_dt", "close_dt",
     )
     acct = current_rows(accounts).select("div_nbr", "acct_nbr", "acct_open_dt", "acct_close_dt", "is_national_account")
-    hier = current_rows(hierarchy).select("div_nbr", "rev_distrib_cd", "cur_div_nbr")
-    fees = contract_fees.drop("is_current")
+    hier = if_small(current_rows(hierarchy).select("div_nbr", "rev_distrib_cd", "cur_div_nbr"))
+    fees = if_small(contract_fees.drop("is_current"))
 
     places = cont.join(acct, ["div_nbr", "acct_nbr"]).join(hier, ["div_nbr", "rev_distrib_cd"])
     start_day = date_of_day_key(eff)
@@ -278,8 +279,8 @@ def monthly_rate_snapshot(
         F.max("is_lost").alias("lost_acct"),
         F.max("is_closed").alias("closed_container"),
         F.min("is_opened").alias("open_container"),
-        F.sum(pick(is_base & valid_begin & before, rate)).alias("bcr_rt"),
-        F.sum(pick((code == "BCS") & valid_begin & before, rate)).alias("bcs_rt"),
+        from_units(F.sum(pick(is_base & valid_begin & before, rate)), scale).alias("bcr_rt"),
+        from_units(F.sum(pick((code == "BCS") & valid_begin & before, rate)), scale).alias("bcs_rt"),
         F.max(pick(is_base & valid_begin & by_begin, count)).alias("bcr_active_cont_bom"),
         F.max(pick(is_base & valid_end & by_end, count)).alias("bcr_active_cont_eom"),
         F.max(pick(is_base & (month_of_day_key(eff) == month) & by_begin, count)).alias("bcr_new_cnt"),
@@ -342,7 +343,7 @@ def fee_rates(rows: DataFrame, account_fees: DataFrame, division_fees: DataFrame
         "month_dt", "div_nbr", "is_erf_enabled", "is_frf_enabled",
         F.col("erf_rate").alias("div_erf_pct"), F.col("frf_rate").alias("div_frf_pct"),
     )
-    priced = flagged.join(division, ["month_dt", "div_nbr"])
+    priced = flagged.join(if_small(division), ["month_dt", "div_nbr"])
 
     def rate(kind: str) -> Column:
         return effective_fee_rate(
@@ -388,8 +389,9 @@ def final_container_table(
     Rows without a division fee or outside the reported hierarchy are left out (see ``dropped_rows``).
     """
     priced = fee_rates(with_rates(inv_srvc, snapshot), account_fees, division_fees)
-    placed = priced.join(hierarchy_distinct(hierarchy), ["cur_div_nbr", "div_nbr"])
-    factor = fee_multiplier(F.col("is_erf_on_frf"), F.col("frf_rate"), F.col("erf_rate"))
+    multiplier = fee_multiplier(F.col("is_erf_on_frf"), F.col("frf_rate"), F.col("erf_rate"))
+    placed = priced.join(if_small(hierarchy_distinct(hierarchy)), ["cur_div_nbr", "div_nbr"]).withColumn("fee_factor", multiplier)
+    factor = F.col("fee_factor")
     base = F.col("bcr_rev") + F.col("bsp_rev") + F.col("bce_rev") + F.col("bcs_rev")
     exists = F.col("bcr_exists") + F.col("bce_exists") + F.col("bcs_exists") + F.col("bsp_exists")
     extra = [c.lower() for c in EXTRA_CODES]
@@ -425,7 +427,7 @@ def dropped_rows(rows: DataFrame, division_fees: DataFrame, hierarchy: DataFrame
     """How many rows the two inner joins of the final table leave out, per reason."""
     fee_keys = division_fees.select("month_dt", "div_nbr", F.lit(1).alias("__fee")).distinct()
     hier_keys = hierarchy_distinct(hierarchy).select("cur_div_nbr", "div_nbr", F.lit(1).alias("__hier")).distinct()
-    probed = rows.join(fee_keys, ["month_dt", "div_nbr"], "left").join(hier_keys, ["cur_div_nbr", "div_nbr"], "left")
+    probed = rows.join(if_small(fee_keys), ["month_dt", "div_nbr"], "left").join(if_small(hier_keys), ["cur_div_nbr", "div_nbr"], "left")
     reason = F.when(F.col("__fee").isNull(), "no division fee").when(F.col("__hier").isNull(), "outside hierarchy")
     return probed.groupBy(F.coalesce(reason, F.lit("kept")).alias("outcome")).agg(F.count(F.lit(1)).alias("rows"))
 

@@ -8,7 +8,7 @@ from binledger.functions.dates import active_between, consistent_validity, month
 from binledger.functions.labels import account_status
 from binledger.functions.money import dec, fee_multiplier
 from binledger.functions.text import code_in
-from binledger.operators.joins import asof_dim_join, code_domain, code_enrich, keep_listed, left_join_on_filter
+from binledger.operators.joins import asof_dim_join, code_domain, code_enrich, if_small, keep_listed, left_join_on_filter
 from binledger.operators.rows import live_rows
 from binledger.plans import container as job
 from binledger.registry.base import query
@@ -369,7 +369,7 @@ _FEE_TABLES = ("dim_container_grp", "dim_contract_fee", "dim_acct_fee", "dim_div
 
 def _container_fees(r: Retail):
     joined = left_join_on_filter(
-        r.dim_container_grp, r.dim_contract_fee.drop("eff_dt", "disc_dt"),
+        r.dim_container_grp, if_small(r.dim_contract_fee.drop("eff_dt", "disc_dt")),
         ["div_nbr", "contract_nbr", "contract_grp_nbr"], F.col("is_current") == 1)
     rows = joined.select(
         month_key(F.col("orig_start_dt")).alias("month_dt"), "div_nbr", "acct_nbr", "container_grp_nbr", *_FEES)
@@ -412,8 +412,7 @@ def _fee_multiplier(r: Retail):
 )
 def _left_join_on_filter(r: Retail):
     return left_join_on_filter(
-        r.dim_container_grp, r.dim_contract_fee, ["div_nbr", "contract_nbr", "contract_grp_nbr"],
-        r.dim_contract_fee["is_current"] == 1,
+        r.dim_container_grp, if_small(r.dim_contract_fee), ["div_nbr", "contract_nbr", "contract_grp_nbr"], F.col("is_current") == 1,
     ).groupBy("div_nbr", "contract_nbr").agg(
         F.count(F.lit(1)).alias("containers"), F.count("erf_rate_pct").alias("with_fee"), F.sum("erf_rate_pct").alias("erf_total"))
 
@@ -428,7 +427,7 @@ def _left_join_on_filter(r: Retail):
         "dim_container_grp", "dim_contract_fee"),
 )
 def _asof_dim_join(r: Retail):
-    dim = r.dim_contract_fee.select("div_nbr", "contract_nbr", "frf_rate_pct", "eff_dt", "disc_dt")
+    dim = if_small(r.dim_contract_fee.select("div_nbr", "contract_nbr", "frf_rate_pct", "eff_dt", "disc_dt"))
     left = r.dim_container_grp.select("div_nbr", "contract_nbr", "orig_start_dt")
     return asof_dim_join(left, dim, ["div_nbr", "contract_nbr"], "orig_start_dt").groupBy(
         "div_nbr", "contract_nbr", F.year("orig_start_dt").alias("start_year")

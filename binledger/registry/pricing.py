@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from binledger.functions.money import kg_to_pounds, pounds_to_kg
 from binledger.functions.text import pad_key
 from binledger.operators import profile
+from binledger.operators.joins import if_small
 from binledger.plans import engagement, ml, pricing
 from binledger.plans.campaign import ACCOUNT
 from binledger.registry.base import query
@@ -38,7 +39,7 @@ _PRICE_TABLES = ("placed_orders", "nations")
 
 def prices(r: Retail) -> DataFrame:
     status, priority, price = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_totalprice")
-    nation = r.nations.select("n_nationkey", "r_name")
+    nation = if_small(r.nations.select("n_nationkey", "r_name"))
     ahead = F.when(priority == "1-URGENT", 3).when(priority == "5-LOW", 1).otherwise(12)
     return r.placed_orders.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("r_name").alias("area"),
