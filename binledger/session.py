@@ -11,14 +11,24 @@ from pyspark.sql import DataFrame, SparkSession
 _STAGE_ROOT = "spark.checkpoint.dir"
 
 
+# Settings the jobs are tuned with; a cluster session may take them over.
+RECOMMENDED = {
+    "spark.sql.adaptive.enabled": "true",
+    # split a hot join key even where a grouping on the same key follows
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # the JVM interprets generated methods above 8000 bytes for ever; fall back to plain operators there
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "binledger") -> SparkSession:
     """Session for tests and the bench; a cluster brings its own."""
     return (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config(map=RECOMMENDED)
         # a table of n compressed bytes hashes to many times n; one local JVM builds it in a single thread
         .config("spark.sql.autoBroadcastJoinThreshold", "1mb")
         .config("spark.ui.enabled", "false")
