@@ -34,11 +34,9 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
 
 def source_name(from_folder: bool = False) -> Column:
     """Name of the file a row came from, or of the folder when a drop is a folder of part files."""
-    if not from_folder:
-        return F.col("_metadata.file_name")
     # the path is percent-encoded, but a plus sign in it stands for itself
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return F.element_at(F.split(path, "/"), -2)
+    return F.element_at(F.split(path, "/"), -2 if from_folder else -1)
 
 
 def with_file_columns(df: DataFrame, columns: Mapping[str, Column] | None = None, from_folder: bool = False) -> DataFrame:
