@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from binledger.operators.joins import if_small
 from binledger.session import stage
 
 _ROW_BITS = (1 << 33) - 1  # low bits of monotonically_increasing_id: row number in its partition
@@ -66,6 +67,8 @@ def with_position(
     starts = placed.groupBy(*[F.col(g).alias(f"__g_{g}") for g in groups]).agg(
         F.min("__pos").alias("__group_first"), rows.alias("__group_size")
     )
+    # written, the table of groups has a known size: few groups are broadcast and a hot one is not shuffled
+    starts = stage(starts, "groups")
     match = [F.col(g).eqNullSafe(F.col(f"__g_{g}")) for g in groups]
     out = placed.join(starts, match).withColumn(position, F.col("__pos") - F.col("__group_first"))
     if size:
@@ -109,7 +112,7 @@ def group_index(df: DataFrame, keys: Sequence[str], groups: Sequence[str] = (),
     numbered = with_position(distinct, [F.col(k).asc_nulls_first() for k in keys], groups, name)
     numbered = numbered.withColumn(name, F.col(name) + 1).withColumnsRenamed({c: f"__k_{c}" for c in [*groups, *keys]})
     match = [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in [*groups, *keys]]
-    return df.join(numbered, match).drop(*[f"__k_{c}" for c in [*groups, *keys]])
+    return df.join(if_small(numbered), match).drop(*[f"__k_{c}" for c in [*groups, *keys]])
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
