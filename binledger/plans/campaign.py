@@ -349,11 +349,20 @@ def future_rate(charges: DataFrame, start_from: int, closed_by: int) -> DataFram
     )
 
 
-def rate_change_split(charges: DataFrame, takers: DataFrame, day: int) -> DataFrame:
+def latest_charges(charges: DataFrame, tie: Sequence[str] = ("charge_rate", "close_date")) -> DataFrame:
+    """Newest row per charge of a container, by stamp and then by start; the oldest campaign's idea of "current"."""
+    keys = [*CONTAINER, "charge_code", "charge_type", "charge_method"]
+    return latest_row(charges, keys, ["stamped_at", "effective_date"], tie)
+
+
+def rate_change_split(charges: DataFrame, takers: DataFrame, day: int, excluded_codes: Sequence[str] = ()) -> DataFrame:
     """Takers' charges split into the rate valid on ``day`` and the one starting later; holdouts are left out.
 
-    Keeps charges that have a future rate and states the group's increase.
+    Keeps charges that have a future rate and states the group's increase. One variant of the upload
+    passes ``KEPT_RATE_CODES`` as codes to leave out.
     """
+    if excluded_codes:
+        charges = charges.where(~F.col("charge_code").isin(*excluded_codes))
     digit = F.substring("treatment", 2, 1)
     rows = charges.join(takers.where(F.col("treatment") != HOLDOUT), ACCOUNT)
     eff, cld = F.col("effective_date"), F.col("close_date")

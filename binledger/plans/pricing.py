@@ -14,7 +14,7 @@ from binledger.functions.dates import serial_or_iso_date, us_date_text
 from binledger.functions.money import ceil_to
 from binledger.functions.text import pad_key
 from binledger.operators.grouping import detail_with_subtotals
-from binledger.operators.ranking import group_index
+from binledger.operators.ranking import group_index, row_ids
 from binledger.operators.rows import accept_reject, unless
 
 COMMERCIAL_STOP = "cfr"
@@ -228,6 +228,26 @@ def upload_split(rows: DataFrame, dates: PriceDates) -> DataFrame:
     )
 
 
+def broker_upload(rows: DataFrame, dates: PriceDates, kinds: Sequence[str] = ("RTR", "BRK")) -> DataFrame:
+    """Numbered upload lines of commercial-format rows a broker or retention desk has priced already."""
+    kept = rows.where(F.col("broker_kind").isin(*kinds))
+    order = [F.col(c).asc_nulls_first() for c in ("div_nbr", "acct_nbr", "site_nbr", "group_nbr", "charge_code", "charge_rate", "rec_rate")]
+    return row_ids(kept, order, "line_no").select(
+        "line_no",
+        pad_key(F.trim("div_nbr").try_cast("long"), 3).alias("comp"),
+        F.trim("acct_nbr").try_cast("long").alias("acct"),
+        pad_key(F.trim("site_nbr").try_cast("long"), 5).alias("site"),
+        F.trim("group_nbr").try_cast("long").alias("cgrp"),
+        "charge_code",
+        "charge_rate",
+        F.round("rec_rate", 2).alias("new_rate"),
+        us_date_text(F.lit(dates.commercial)).alias("effective_date"),
+        F.lit(TRANSACTION_CODE).alias("tran_code"),
+        F.lit(REASON_CODE).alias("rsn_code"),
+        F.lit("N").alias("na"),
+    )
+
+
 def uplift_tags(uplifts: DataFrame, tag: str = "account_tag") -> DataFrame:
     """Tags ``x_division_account`` split into padded company and account number."""
     parts = F.split(tag, "_")

@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from binledger.functions.dates import active_between, consistent_validity, month_key
 from binledger.functions.labels import account_status
-from binledger.functions.money import dec, fee_multiplier
+from binledger.functions.money import fee_multiplier
 from binledger.functions.text import code_in
 from binledger.operators.joins import asof_dim_join, code_domain, code_enrich, if_small, keep_listed, left_join_on_filter
 from binledger.operators.rows import live_rows
 from binledger.plans import container as job
 from binledger.registry.base import query
-from binledger.registry.standin_sql import bigints, doubles, pad, with_tables, ym, ymd
+from binledger.registry.standin_sql import bigints, doubles, pad, with_tables, ym
 from binledger.sources.retail import FIRST_MONTH, LAST_MONTH, Retail
 
 AFTER_MONTH, FROM_DAY = 199500, 19950101

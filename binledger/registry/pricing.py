@@ -16,7 +16,7 @@ from binledger.operators.joins import if_small
 from binledger.plans import engagement, ml, pricing
 from binledger.plans.campaign import ACCOUNT
 from binledger.registry.base import query
-from binledger.registry.standin_sql import bigints, doubles, pad, with_tables
+from binledger.registry.standin_sql import doubles, pad, with_tables
 from binledger.session import stage_root
 from binledger.sources.files import read_csv, read_status_folders, write_csv
 from binledger.sources.retail import Retail

@@ -175,3 +175,27 @@ def test_retention_campaign_edges(spark):
              ("1", "free", "1", "10", 1, 1, OPEN, Decimal("0.00")), ("1", "idle", "1", "10", 0, 1, OPEN, ok[3])]
     kept = campaign.eligible_containers(spark.createDataFrame(rows, ddl), dt.date(2016, 7, 7)).select("acct_nbr").distinct().collect()
     assert [r.acct_nbr for r in kept] == ["few"]
+
+
+def test_latest_charge_by_stamp_then_start(spark):
+    at = lambda d: dt.datetime(2016, 1, d)
+    rows = [("1", "a", "s", "g", "BCR", "R", "F", "T", Decimal(r), eff, 0, "0", "Y", at(d)) for r, eff, d in (("1.00", 20160101, 1), ("2.00", 20160101, 2), ("3.00", 20160201, 2))]
+    got = campaign.latest_charges(spark.createDataFrame(rows, schema_of("charge_rates"))).collect()
+    assert [r.charge_rate for r in got] == [Decimal("3.00")]
+
+
+def test_rate_change_split_leaves_out_holdouts_and_codes(spark):
+    rows = [("1", a, "s", "g", code, "R", "F", "T", Decimal(r), eff, cld, "0", "Y", None)
+            for a, code, r, eff, cld in (("a", "BCR", "1.00", 20160101, 0), ("a", "BCR", "1.04", 20170101, 0), ("a", "DEL", "5.00", 20170101, 0), ("h", "BCR", "1.00", 20170101, 0), ("b", "BCR", "7.00", 20160101, 0))]
+    takers = spark.createDataFrame([("1", "a", "A11"), ("1", "h", "HO"), ("1", "b", "A22")], "div_nbr string, acct_nbr string, treatment string")
+    charges = spark.createDataFrame(rows, schema_of("charge_rates"))
+    got = [(r.acct_nbr, r.charge_code, r.current_rate, r.future_rate, r.percent_increase) for r in campaign.rate_change_split(charges, takers, 20160820, campaign.KEPT_RATE_CODES).collect()]
+    assert got == [("a", "BCR", Decimal("1.00"), Decimal("1.04"), Decimal("0.04"))]
+    assert campaign.rate_change_split(charges, takers, 20160820).count() == 2
+
+
+def test_broker_lines_are_numbered(spark):
+    ddl = "broker_kind string, div_nbr string, acct_nbr string, site_nbr string, group_nbr string, charge_code string, charge_rate double, rec_rate double"
+    rows = [("BRK", " 28", "9 ", "1", "2", "BCR", 10.0, 10.456), ("RTR", "28", "5", "1", "2", "BCR", 10.0, 11.0), ("X", "28", "1", "1", "1", "BCR", 1.0, 2.0)]
+    got = sorted(tuple(r)[:8] for r in pricing.broker_upload(spark.createDataFrame(rows, ddl), pricing.PriceDates(dt.date(2017, 1, 1))).collect())
+    assert got == [(1, "028", 9, "00001", 2, "BCR", 10.0, 10.46), (2, "028", 5, "00001", 2, "BCR", 10.0, 11.0)]
