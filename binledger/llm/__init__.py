@@ -1,4 +1,6 @@
 """Operators for training-data pipelines; nothing else in the library imports this package."""
 
-from binledger.llm import automaton, counts, jaccard, licenses, pivots, warc  # noqa: F401
+from binledger.llm import (  # noqa: F401
+    automaton, counts, jaccard, licenses, pivots, rules, toxicity, warc,
+)
 from binledger.llm.registry import ORACLE, QUERIES  # noqa: F401
