@@ -26,7 +26,9 @@ from binledger.llm.registry import query, table
 from binledger.session import stage
 
 #: Trees and their depth; weight of the lasso.
-TREES, DEPTH, PENALTY = 12, 3, 2e-3
+TREES, DEPTH, PENALTY = 12, 3, 3e-4
+#: Bounds that a tree may choose from for each statistic.
+BOUNDS = 512
 
 Condition = tuple[str, str, float]  # statistic, "<=" or ">", bound
 Rule = tuple[Condition, ...]
@@ -108,10 +110,13 @@ def fit(documents: DataFrame, labels: DataFrame, text: str = "text", key: str =
         return [], math.log((n1 + 0.5) / (n0 + 0.5))
     forest = RandomForestClassifier(
         labelCol="label", featuresCol="features", numTrees=TREES, maxDepth=DEPTH, minInstancesPerNode=5, seed=1,
+        maxBins=BOUNDS, weightCol="weight",
         featureSubsetStrategy="onethird",
     )
     # one partition of a bounded sample: the forest draws its bootstrap rows by partition
     ordered = given.repartition(1).sortWithinPartitions(*names, "label")
+    # both classes weigh the same in the trees, so that bounds are looked for where the rarer one is
+    ordered = ordered.withColumn("weight", F.when(F.col("label") == 1, 0.5 / n1).otherwise(0.5 / n0) * (n1 + n0))
     model = forest.fit(VectorAssembler(inputCols=names, outputCol="features").transform(ordered))
     rules = tree_rules(model, names)
     if not rules:
