@@ -78,8 +78,8 @@ def arg_max(df: DataFrame, keys: Sequence[str], value: str, tie: Sequence[str])
 
 
 def at_most_sites(df: DataFrame, account: Sequence[str], site: str, limit: int) -> DataFrame:
-    """Rows of accounts with at most ``limit`` distinct sites."""
-    sites = df.where(F.col(site).isNotNull()).groupBy(*account, site).agg(F.lit(1).alias("__one"))
+    """Rows of accounts with at most ``limit`` distinct sites; rows without a site make one more."""
+    sites = df.groupBy(*account, site).agg(F.lit(1).alias("__one"))
     small = sites.groupBy(*account).agg(F.count(F.lit(1)).alias("__sites")).where(F.col("__sites") <= limit)
     return df.join(small.drop("__sites"), list(account), "left_semi")
 
@@ -94,32 +94,35 @@ def month_columns(
 ) -> DataFrame:
     """One row per key, per month an ``active_<m>`` flag and each value (0 where there is no row).
 
-    One pass instead of one self-join per month. Equal to the joins as long as (key, month) is unique.
+    One pass instead of one self-join per month. (key, month) must be unique: a repeated one fails the job.
     """
     columns = []
     for m in months:
         here = F.col(month) == m
-        columns.append(any_flag(here).alias(f"active_{m}"))
+        repeated = F.count(F.when(here, 1)) > 1
+        columns.append(F.when(repeated, F.raise_error(F.lit(f"a key has two rows in {m}")).cast("int")).otherwise(any_flag(here)).alias(f"active_{m}"))
         columns += [F.coalesce(F.max(F.when(here, F.col(v))), F.lit(0)).alias(f"{out}_{m}") for out, v in values.items()]
     return df.where(F.col(month).isin(list(months))).groupBy(*keys).agg(*columns)
 
 
 def crosstab_totals(
-    df: DataFrame, row: str, column: str, column_values: Sequence[str], blank: str = "(blank)", total: str = "Grand Total"
+    df: DataFrame, row: str, column: str, column_values: Sequence[str], blank: str = "(blank)", total: str = "Grand Total",
+    other: str = "(other)",
 ) -> DataFrame:
-    """Counts per row and column value with a blank bucket and totals on both sides.
+    """Counts per row and column value with buckets for blanks and unlisted values, and totals on both sides.
 
     The cube runs over the counted cells, not over the input rows.
     """
+    value = F.col(column).cast("string")
     cells = df.groupBy(
         F.coalesce(F.col(row).cast("string"), F.lit(blank)).alias(row),
-        F.coalesce(F.col(column).cast("string"), F.lit(blank)).alias(column),
+        F.when(value.isNull(), blank).when(value.isin(list(column_values)), value).otherwise(other).alias(column),
     ).agg(F.count(F.lit(1)).alias("__n"))
     cubed = cells.cube(row, column).agg(F.sum("__n").alias("__n"))
     named = cubed.select(
         F.coalesce(row, F.lit(total)).alias(row), F.coalesce(column, F.lit(total)).alias(column), "__n"
     )
-    heads = [*column_values, blank, total]
+    heads = [*column_values, other, blank, total]
     wide = named.groupBy(row).pivot(column, heads).agg(F.sum("__n"))
     return wide.select(row, *[F.coalesce(F.col(f"`{h}`"), F.lit(0)).alias(h) for h in heads])
 

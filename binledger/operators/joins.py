@@ -1,7 +1,7 @@
 """Joins with the reference semantics: filtered, temporal, coalescing, enriching.
 
-No side is broadcast by hint unless its size is fixed in code or has been counted (``if_small``);
-otherwise Spark decides from the measured size.
+No side is broadcast by hint unless its size is fixed in code; otherwise Spark decides from the measured size, which
+``if_small`` makes known for derived lookup tables.
 """
 
 from __future__ import annotations
@@ -12,19 +12,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from binledger.operators.grouping import dedup_first
+from binledger.session import stage
 from binledger.sources.tables import literal_table
 
 
-MAX_BROADCAST_ROWS = 100_000
+def if_small(side: DataFrame) -> DataFrame:
+    """Write a lookup table once, so that its bytes are known and Spark broadcasts it below its threshold.
 
-
-def if_small(side: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``side`` for broadcast once it is proven to hold at most ``max_rows`` rows; else leave the join to Spark.
-
-    Meant for lookup tables derived by joins or groupings, whose size Spark cannot estimate: without the
-    mark the large side would be shuffled on a handful of hot keys. Counting stops one row beyond the bound.
+    Meant for lookup tables derived by joins or groupings, whose size Spark cannot estimate: without it the large
+    side would be shuffled on a handful of hot keys. The bound is ``spark.sql.autoBroadcastJoinThreshold``, in bytes.
+    The table is computed once, by a job that runs when this is called; the join reads what was written.
     """
-    return F.broadcast(side) if side.limit(max_rows + 1).count() <= max_rows else side
+    return stage(side, "lookup")
 
 
 def left_join_on_filter(left: DataFrame, right: DataFrame, on: Sequence[str], right_filter: Column) -> DataFrame:
@@ -105,9 +104,12 @@ def code_domain(
 
 
 def code_enrich(df: DataFrame, domains: Mapping[str, DataFrame]) -> DataFrame:
-    """Left join one description per code column; unknown codes keep a NULL description."""
+    """Left join one description per code column; unknown codes keep a NULL description.
+
+    Code columns have a handful of values, so the small tables are written first to be broadcast.
+    """
     for column, table in domains.items():
-        df = df.join(table, column, "left")
+        df = df.join(if_small(table), column, "left")
     return df
 
 
@@ -122,7 +124,12 @@ def unmatched_codes(df: DataFrame, descriptions: Sequence[str]) -> DataFrame:
 def key_fallback_join(
     df: DataFrame, lookup: DataFrame, key: str, lookup_key: str, translated: Column, out: str
 ) -> DataFrame:
-    """Replace ``key`` by an expression over the matching lookup row, keep it where none matches."""
+    """Replace ``key`` by an expression over the matching lookup row, keep it where none matches.
+
+    Of lookup rows with one key the first in column order counts, so no row is multiplied.
+    """
+    rest = [F.col(c).asc_nulls_last() for c in lookup.columns if c != lookup_key]
+    lookup = dedup_first(lookup, [lookup_key], rest or [F.col(lookup_key).asc()])
     return (
         df.join(lookup, F.col(key) == F.col(lookup_key), "left")
         .withColumn(out, F.coalesce(translated, F.col(key)))

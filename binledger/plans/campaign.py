@@ -386,6 +386,7 @@ def rate_change_upload(
     on = [*CONTAINER, "charge_code", "charge_rate", "charge_type", "charge_method"]
     step = ladder_rate(F.col("treatment"), dict(increases))
     started = F.greatest(date_of_day_key(F.col("effective_date")), F.col("date_signed"))
+    tax_codes = tax_codes.groupBy(*on).agg(*[F.min(c).alias(c) for c in tax_codes.columns if c not in on])
     first = lines.join(tax_codes, on, "left").withColumns(
         {"new_effective": F.date_add(started, 365), "new_rate": raised(F.col("charge_rate"), step), "upload_year": F.lit(1)}
     )

@@ -91,12 +91,14 @@ def backdated(lines: DataFrame, charges: DataFrame, effective: dt.date) -> DataF
             "charge_rate": F.round("charge_rate", 2).cast("decimal(18,2)"),
         }
     )
+    # equal charges on all eight keys are one charge; of several tax codes the smallest counts
     live = charges.where((F.upper("current_ind") == "Y") & (F.col("adj_flag") == "0")).select(
         F.col("div_nbr").alias("k_comp"), F.col("acct_nbr").alias("k_acct"), F.col("site_nbr").alias("k_site"),
         F.col("container_grp_nbr").alias("k_cgrp"), F.col("charge_code").alias("k_charge_code"),
         F.col("charge_rate").cast("decimal(18,2)").alias("k_charge_rate"), F.col("charge_type").alias("k_type"),
         F.col("charge_method").alias("k_method"), "tax_app_code",
     )
+    live = live.groupBy(*[c for c in live.columns if c != "tax_app_code"]).agg(F.min("tax_app_code").alias("tax_app_code"))
     names = ["comp", "acct", "site", "cgrp", "charge_code", "charge_rate", "type", "method"]
     match = [F.col(n) == F.col(f"k_{n}") for n in names] + [F.col("reject_reason").isNull()]
     joined = keyed.join(live, match, "left").drop(*[f"k_{n}" for n in names])
@@ -259,7 +261,13 @@ def uplift_tags(uplifts: DataFrame, tag: str = "account_tag") -> DataFrame:
 
 
 def uplift_apply(upload: DataFrame, uplifts: DataFrame, keys: Sequence[str] = ("comp", "acct")) -> DataFrame:
-    """Add the tested uplift (none = 0) to the relative increase."""
+    """Add the tested uplift (none = 0) to the relative increase of residential lines; others pass unchanged.
+
+    Of several uplifts of one account the largest counts. A frame without ``target`` is a residential file.
+    """
     old, new = F.col("charge_rate"), F.col("new_rate")
-    joined = upload.join(uplifts, list(keys), "left").withColumn("uplift", F.coalesce("uplift", F.lit(0.0)))
-    return joined.withColumn("new_rate", old + old * (F.try_divide(new - old, old) + F.col("uplift"))).drop("uplift")
+    tested = uplifts.groupBy(*keys).agg(F.max("uplift").alias("uplift"))
+    joined = upload.join(tested, list(keys), "left").withColumn("uplift", F.coalesce("uplift", F.lit(0.0)))
+    raised = old + old * (F.try_divide(new - old, old) + F.col("uplift"))
+    residential = F.col("target") == "residential" if "target" in upload.columns else F.lit(True)
+    return joined.withColumn("new_rate", F.when(residential, raised).otherwise(new)).drop("uplift")

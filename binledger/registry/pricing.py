@@ -144,7 +144,8 @@ def _upload_split(r: Retail):
 @query(
     "uplift_apply",
     with_tables(
-        """select target, comp, acct, cgrp, charge_rate, charge_rate + charge_rate * ((new_rate - charge_rate) / nullif(charge_rate, 0) + coalesce(c_acctbal / 100000, 0.0::double)) as new_rate
+        """select target, comp, acct, cgrp, charge_rate, case when target = 'residential' then
+         charge_rate + charge_rate * ((new_rate - charge_rate) / nullif(charge_rate, 0) + coalesce(c_acctbal / 100000, 0.0::double)) else new_rate end as new_rate
         from upload left join (select * from customer where c_acctbal > 5000) c on c.c_custkey = acct and """ + pad("c_nationkey", 3) + " = comp",
         *_PRICE_TABLES, extra={**_SHEET_EXTRA, "upload": _UPLOAD_CTE}),
 )
@@ -186,7 +187,8 @@ def _pi_intake(r: Retail):
     with_tables(
         """select coalesce(reject_reason, 'accepted') as outcome, l.comp, l.charge_code, x.tax_app_code, count(*) as lines, cast(sum(l.charge_rate) as double) as rates, '2001-02-28' as close_date from (
         select *, case when close_date = 0 and adj_flag = '1' then 'no line number' when charge_type = 'W' then 'no account' end as reject_reason, div_nbr as comp from charge_rates) l
-        left join (select * from charge_rates where upper(current_ind) = 'Y' and adj_flag = '0') x on reject_reason is null and x.div_nbr = l.div_nbr and x.acct_nbr = l.acct_nbr
+        left join (select div_nbr, acct_nbr, site_nbr, container_grp_nbr, charge_code, charge_rate, charge_type, charge_method, min(tax_app_code) as tax_app_code
+         from charge_rates where upper(current_ind) = 'Y' and adj_flag = '0' group by all) x on reject_reason is null and x.div_nbr = l.div_nbr and x.acct_nbr = l.acct_nbr
          and x.site_nbr = l.site_nbr and x.container_grp_nbr = l.container_grp_nbr and x.charge_code = l.charge_code and x.charge_rate = l.charge_rate
          and x.charge_type = l.charge_type and x.charge_method = l.charge_method group by 1, 2, 3, 4""", "charge_rates"),
 )
@@ -214,20 +216,20 @@ def _unit_convert(r: Retail):
 # --- engagement -----------------------------------------------------------------------------------
 
 _STATUS = {"view": "opened", "click": "clicked", "error": "not_opened", "purchase": "not_clicked", "signup": "opt_out"}
-_LISTS_CTE = f"""select case when user_id < 100 then '4' || {pad('c_nationkey', 3)} || {pad('user_id', 7)} else 'raw-' || cast(user_id as varchar) end as account, event_type,
+_LISTS_CTE = f"""select case when user_id < 100 then '4' || {pad('c_nationkey', 3)} || {pad('user_id', 7)} else 'raw-' || cast(user_id as varchar) || '-' || cast(day(ts) as varchar) end as account, event_type,
  case when c_mktsegment in ('BUILDING', 'HOUSEHOLD') then 1 else 0 end as recycle, case when c_mktsegment <> 'MACHINERY' then 1 else 0 end as solid_waste,
- cast((day(ts) - 1) // 7 + 1 as integer) as wave from events left join customer on c_custkey = user_id
- where value > 100"""
+ cast((day(ts) - 1) // 7 + 1 as integer) as wave from events left join customer on c_custkey = user_id"""
 
 
 def status_lists(r: Retail) -> DataFrame:
-    """Strong events as status lists; low users carry the long account number, the others a text of their own."""
+    """Events as status lists; low users carry the long account number, the others a text of their own per day."""
     status = F.coalesce(*[F.when(F.col("event_type") == e, s) for e, s in _STATUS.items()])
     long_acct = F.concat(F.lit("4"), pad_key(F.col("c_nationkey"), 3), pad_key(F.col("user_id"), 7))
     yes_no = lambda c: F.when(c, "Y").otherwise("N")
     customer = r.table("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    return r.table("events").where(F.col("value") > 100).join(customer, F.col("user_id") == F.col("c_custkey"), "left").select(
-        F.when(F.col("user_id") < 100, long_acct).otherwise(F.concat(F.lit("raw-"), F.col("user_id").cast("string"))).alias("account"),
+    return r.table("events").join(customer, F.col("user_id") == F.col("c_custkey"), "left").select(
+        F.when(F.col("user_id") < 100, long_acct).otherwise(
+            F.concat_ws("-", F.lit("raw"), F.col("user_id").cast("string"), F.dayofmonth("ts").cast("string"))).alias("account"),
         status.alias("status"), yes_no(F.col("c_mktsegment").isin("BUILDING", "HOUSEHOLD")).alias("recycle"),
         yes_no(F.col("c_mktsegment") != "MACHINERY").alias("solid_waste"),
         (F.floor((F.dayofmonth("ts") - 1) / 7) + 1).cast("int").alias("wave"))
@@ -272,9 +274,8 @@ def _src_files(r: Retail):
     name = F.concat(F.lit("campaign_results_wave_0"), wave, F.lit("_1."), (F.col("wave") * 7).cast("string"), F.lit(".24"))
     write_csv(status_lists(r).withColumn("drop", name).drop("wave"), root, ["status", "drop"])
     folders = {s: f"{root}/status={s}" for s in _STATUS.values()}
-    # the folder is named drop=<name>: the wave stands five characters later than in a bare file name
     read = read_status_folders(r.spark, folders, "account string, recycle string, solid_waste string", from_folder=True)
-    return read.withColumn("wave", F.substring("file_name", 28, 2)).groupBy("status", "wave", "wave_date").agg(
+    return read.groupBy("status", "wave", "wave_date").agg(
         F.count(F.lit(1)).alias("rows_read"), F.sum(F.when(F.col("recycle") == "Y", 1).otherwise(0)).alias("recycle"))
 
 
@@ -310,33 +311,34 @@ def _global_max(r: Retail):
     return r.table("lineitem").agg(F.max("l_extendedprice").alias("largest"))
 
 
-_PROFILED = ["user_id", "event_type", "value", "props"]
+_PROFILED = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
 @query(
     "null_profile",
     with_tables(
         " union all ".join(f"select '{c}' as column_name, count(*) as rows_total, count(*) - count({c}) as rows_missing from holed" for c in _PROFILED),
-        extra={"holed": "select user_id, nullif(event_type, 'error') as event_type, case when value >= 10 then value end as value, case when event_type <> 'view' then props end as props from events"}),
+        extra={"holed": "select event_id, ts, user_id, nullif(event_type, 'error') as event_type, case when value >= 10 then value end as value, case when event_type <> 'view' then props end as props from events"}),
 )
 def _null_profile(r: Retail):
     holed = r.table("events").select(
-        "user_id", F.nullif("event_type", F.lit("error")).alias("event_type"), F.when(F.col("value") >= 10, F.col("value")).alias("value"),
+        "event_id", "ts", "user_id", F.nullif("event_type", F.lit("error")).alias("event_type"), F.when(F.col("value") >= 10, F.col("value")).alias("value"),
         F.when(F.col("event_type") != "view", F.col("props")).alias("props"))
     return profile.null_profile(holed, _PROFILED)
 
 
-_DESCRIBED = ["l_quantity", "l_extendedprice", "l_discount"]
+_DESCRIBED = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 @query(
     "describe_numeric",
     " union all ".join(
-        f"""select '{c}' as column_name, count({c}) as n, round(avg({c}), 6) as mean, round(stddev_samp({c}), 6) as std, min({c}) as min, quantile_cont({c}, 0.25) as q25,
-        quantile_cont({c}, 0.5) as q50, quantile_cont({c}, 0.75) as q75, max({c}) as max from lineitem""" for c in _DESCRIBED),
+        f"""select '{c}' as column_name, count({c}) as n, round(avg({c}), 6) as mean, round(stddev_samp({c}), 6) as std, min(x) as min, quantile_cont(x, 0.25) as q25,
+        quantile_cont(x, 0.5) as q50, quantile_cont(x, 0.75) as q75, max(x) as max from (select {c}, {c}::double + 0.0::double as x from lineitem) t""" for c in _DESCRIBED),
 )
 def _describe(r: Retail):
-    out = profile.describe_numeric(r.table("lineitem"), _DESCRIBED)
+    # adding 0.0 makes one zero of the two
+    out = profile.describe_numeric(r.table("lineitem").select(*[(F.col(c) + 0.0).alias(c) for c in _DESCRIBED]), _DESCRIBED)
     return out.withColumns({c: F.round(c, 6) for c in ("mean", "std")})
 
 

@@ -57,9 +57,12 @@ def align_to_schema(df: DataFrame, target: T.StructType) -> DataFrame:
 
 
 def append_aligned(df: DataFrame, path: str, target: T.StructType, partition_by: tuple[str, ...] = ()) -> None:
-    align_to_schema(df, target).write.mode("append").partitionBy(*partition_by).parquet(path)
+    aligned = align_to_schema(df, target)
+    if partition_by:
+        aligned = aligned.hint("rebalance", *partition_by)  # files follow the data, not tasks times folders
+    aligned.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def overwrite_months(df: DataFrame, path: str, month: str = "month_dt") -> None:
     """Replace only the months present in ``df``; a rerun of a month does not double it."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(month).parquet(path)
+    df.hint("rebalance", month).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(month).parquet(path)

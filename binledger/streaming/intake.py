@@ -15,8 +15,9 @@ from binledger.sources.schemas import schema_of
 
 
 def read_dropped(spark: SparkSession, folder: str, file_kind: str, max_files: int | None = None) -> DataFrame:
-    """Stream of the folder's CSV lines with their file name."""
+    """Stream of the folder's CSV lines with their file name; a line that does not fit fails the stream."""
     reader = spark.readStream.schema(schema_of(file_kind)).option("header", True)
+    reader = reader.option("multiLine", True).option("mode", "FAILFAST")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.csv(folder).withColumn("file_name", F.col("_metadata.file_name"))
@@ -24,8 +25,11 @@ def read_dropped(spark: SparkSession, folder: str, file_kind: str, max_files: in
 
 def append_new_files(
     lines: DataFrame, transform: Callable[[DataFrame], DataFrame], target: str, checkpoint: str
-) -> int:
-    """Append everything not yet read to the Parquet table ``target``; returns the number of lines read."""
+) -> None:
+    """Append everything not yet read to the Parquet table ``target``.
+
+    No count of lines is returned: Spark keeps the progress of the last batches only.
+    """
     run = (
         transform(lines)
         .writeStream.format("parquet")
@@ -36,4 +40,3 @@ def append_new_files(
         .start()
     )
     run.awaitTermination()
-    return sum(p["numInputRows"] for p in run.recentProgress)

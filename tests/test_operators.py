@@ -1,8 +1,11 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from binledger.operators import grouping, joins, profile, ranking, rows
+from binledger.plans import pricing
+from binledger.sources import files
 
 
 def skewed(spark, n=900):
@@ -108,9 +111,11 @@ def test_code_enrich_dedups_and_reports_unmatched(spark):
 
 
 def test_small_sides_only_are_broadcast(spark):
-    plan = lambda d: spark.range(10).join(d, "id")._jdf.queryExecution().optimizedPlan().toString()
-    side = spark.range(1000)
-    assert "broadcast" in plan(joins.if_small(side, 1000)) and "broadcast" not in plan(joins.if_small(side, 999))
+    plan = lambda d: spark.range(10_000_000).join(d, "id")._jdf.queryExecution().executedPlan().toString()
+    small, large = spark.range(1000).groupBy("id").count(), spark.range(600_000).withColumn("x", F.rand())
+    kept = plan(joins.if_small(small))
+    assert "BroadcastHashJoin" in kept and "SinglePartition" not in kept and "HashAggregate" not in kept
+    assert "BroadcastHashJoin" not in plan(joins.if_small(large))
 
 
 def test_subtotals_equal_their_details(spark):
@@ -123,7 +128,10 @@ def test_crosstab_totals_add_up(spark):
     df = spark.createDataFrame([("r1", "x"), ("r1", None), (None, "y"), ("r2", "y")], "r string, c string")
     out = {r.r: r.asDict() for r in grouping.crosstab_totals(df, "r", "c", ["x", "y"]).collect()}
     for row in out.values():
-        assert row["Grand Total"] == row["x"] + row["y"] + row["(blank)"]
+        assert row["Grand Total"] == row["x"] + row["y"] + row["(blank)"] + row["(other)"]
+    unlisted = spark.createDataFrame([("r1", "x"), ("r1", "zz")], "r string, c string")
+    (r1,) = [r.asDict() for r in grouping.crosstab_totals(unlisted, "r", "c", ["x", "y"]).collect() if r.r == "r1"]
+    assert (r1["x"], r1["y"], r1["(other)"], r1["Grand Total"]) == (1, 0, 1, 2)
     assert out["Grand Total"]["Grand Total"] == 4 and out["(blank)"]["y"] == 1
 
 
@@ -143,3 +151,49 @@ def test_asof_join_fans_out_only_on_overlap(spark):
     dim = spark.createDataFrame([(1, 0, 9, "old"), (1, 10, 99, "new")], "k int, eff_dt int, disc_dt int, v string")
     got = sorted((r.k, r.at, r.v) for r in joins.asof_dim_join(left, dim, ["k"], "at").collect())
     assert got == [(1, 5, "old"), (1, 50, "new"), (2, 5, None)]
+
+
+def test_accounts_without_a_site_are_kept(spark):
+    df = spark.createDataFrame([("a", None), ("b", "1"), ("b", "2"), ("c", "1"), ("c", None), ("c", "2")], "acct string, site string")
+    assert {r.acct for r in grouping.at_most_sites(df, ["acct"], "site", 2).collect()} == {"a", "b"}
+
+
+def test_a_repeated_month_fails(spark):
+    df = spark.createDataFrame([("a", 1, 5), ("a", 2, 9)], "k string, m int, v int")
+    assert grouping.month_columns(df, ["k"], "m", [1, 2], {"v": "v"}).first().asDict() == {"k": "a", "active_1": 1, "v_1": 5, "active_2": 1, "v_2": 9}
+    with pytest.raises(Exception, match="two rows"):
+        grouping.month_columns(df.unionAll(df), ["k"], "m", [1, 2], {"v": "v"}).collect()
+
+
+def test_lookups_never_multiply_rows(spark):
+    df = spark.createDataFrame([("x",), ("y",)], "raw string")
+    twice = spark.createDataFrame([("x", "2"), ("x", "1")], "long_key string, short string")
+    got = joins.key_fallback_join(df, twice, "raw", "long_key", F.col("short"), "out").collect()
+    assert sorted((r.raw, r.out) for r in got) == [("x", "1"), ("y", "y")]
+    lines = spark.createDataFrame([("residential", 1, 10.0, 11.0), ("commercial", 1, 10.0, 11.0)], "target string, acct int, charge_rate double, new_rate double")
+    tested = spark.createDataFrame([(1, 0.1), (1, 0.2)], "acct int, uplift double")
+    got = {r.target: r.new_rate for r in pricing.uplift_apply(lines, tested, ["acct"]).collect()}
+    assert abs(got["residential"] - 13.0) < 1e-9 and got["commercial"] == 11.0
+
+
+def test_csv_keeps_line_breaks_and_reports_bad_lines(spark, tmp_path):
+    path = str(tmp_path / "texts")
+    files.write_csv(spark.createDataFrame([(1, "two\nlines"), (2, 'a "quote", b')], "k int, v string"), path)
+    assert sorted((r.k, r.v) for r in files.read_csv(spark, path, "k int, v string").collect()) == [(1, "two\nlines"), (2, 'a "quote", b')]
+    (tmp_path / "bad.csv").write_text("k,v\n1,a\nabc,b\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        files.read_csv(spark, str(tmp_path / "bad.csv"), "k int, v string").collect()
+    got = files.read_csv(spark, str(tmp_path / "bad.csv"), "k int, v string", bad_lines="line").collect()
+    assert [(r.k, r.line) for r in got] == [(1, None), (None, "abc,b")]
+
+
+def test_csv_null_marker_and_no_header(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("1,NA\nNA,b\n")
+    got = files.read_csv(spark, str(tmp_path / "x.csv"), "k int, v string", header=False, null_marker="NA").collect()
+    assert [(r.k, r.v) for r in got] == [(1, None), (None, "b")]
+
+
+def test_partitioned_sink_writes_few_files(spark, tmp_path):
+    rows = spark.range(0, 400, 1, 16).select((F.col("id") % 5).alias("area"), F.col("id").alias("v"))
+    files.write_csv(rows, str(tmp_path / "areas"), ["area"])
+    assert len(list((tmp_path / "areas").glob("area=*/part-*.csv"))) <= 10

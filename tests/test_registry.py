@@ -4,8 +4,7 @@ import pytest
 from compare import compare, duck
 
 import __spark_entry__ as entry
-
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+from binledger.registry import ORACLE, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +29,7 @@ def test_only_models_have_no_sql():
 
 
 def test_entry(spark, data):
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
     assert "month_dt" in entry.entry(spark).columns
 
 
