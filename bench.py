@@ -12,7 +12,7 @@ import re
 import time
 
 from binledger.registry import QUERIES
-from binledger.session import local_session
+from binledger.session import clear_stage, local_session
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -37,6 +37,7 @@ def main() -> None:
         begin = time.perf_counter()
         QUERIES[name](spark, FOLDER).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - begin, 3)
+        clear_stage(spark)
     scale = re.search(r"sf([0-9.]+)", FOLDER)
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec",

@@ -152,12 +152,13 @@ def container_revenue(
 def eligible_containers(
     revenue: DataFrame, open_after: dt.date, site_limit: int = 3, excluded_district: str = "91"
 ) -> DataFrame:
-    """Containers outside the excluded district, of accounts with few sites, still open, earning something."""
+    """Containers outside the excluded district, of accounts with few sites, known pickups, still open, earning something."""
     placed = revenue.where(F.col("district_cd") != excluded_district)
     small = at_most_sites(placed, ACCOUNT, "site_nbr", site_limit)
     return small.where(
         (F.col("pickup_lifts") != 0)
         & (F.col("pickup_length") != 0)
+        & (F.col("pickup_unit") != "UNKNOWN")
         & (F.col("close_dt") > F.lit(open_after))
         & (F.col("revenue_per_bill") > 0)
     )
@@ -189,8 +190,10 @@ def waste_category(containers: DataFrame) -> DataFrame:
     return grouped.select(*ACCOUNT, F.concat_ws("/", "SW", "RCY", "YW").alias("waste_category"), "close_dt")
 
 
-def fee_flags_wide(account_fees: DataFrame) -> DataFrame:
-    return wide_flags(account_fees, ACCOUNT, "fee_type", FEE_KINDS, "is_fee_charged")
+def fee_flags_wide(account_fees: DataFrame, as_of: dt.date) -> DataFrame:
+    """Fees of an account that are valid on the day, one column per kind."""
+    valid = account_fees.where((F.col("eff_dt") <= F.lit(as_of)) & (F.col("disc_dt") >= F.lit(as_of)))
+    return wide_flags(valid, ACCOUNT, "fee_type", FEE_KINDS, "is_fee_charged")
 
 
 def load_account_fees(accounts: DataFrame, flags: DataFrame, division_rates: DataFrame) -> DataFrame:
@@ -311,7 +314,7 @@ def retention_campaign(
     scored = account_revenue(containers).join(waste_category(containers), ACCOUNT).join(account_frequency(containers), "acct_nbr")
     known = scored.join(accounts.select(*ACCOUNT, "acct_open_dt"), ACCOUNT)
     tenured = with_tenure(known, as_of).where(F.col("tenure_months") > min_tenure_months)
-    loaded = load_account_fees(tenured, fee_flags_wide(account_fees), division_rates)
+    loaded = load_account_fees(tenured, fee_flags_wide(account_fees, as_of), division_rates)
     per_lift = revenue_per_lift(F.col("revenue").cast("double"), F.col("lifts_per_week"))
     profitable = with_profitability(loaded.withColumn("rev_per_lift", per_lift), unit_costs).where(
         (F.col("revenue_per_bill") > 0) & (F.col("profitability") > 0)
@@ -336,6 +339,12 @@ def contract_numbers(takers: DataFrame, wave: str, order: Sequence[str], signed:
     )
 
 
+def contract_rows(contracts: DataFrame, lines: DataFrame) -> DataFrame:
+    """A contract row for every site that the account's rate lines name."""
+    sites = lines.groupBy(*ACCOUNT, "site_nbr").agg(F.count(F.lit(1)).alias("rate_lines"))
+    return sites.join(contracts, ACCOUNT)
+
+
 def future_rate(charges: DataFrame, start_from: int, closed_by: int) -> DataFrame:
     """Per container: sum of rates starting late enough and closed in time; NULL when there is none.
 
@@ -392,16 +401,20 @@ def rate_change_upload(
     )
     if years == 1:
         return first
-    second = first.withColumns(
-        {
-            "effective_date": day_key(F.col("new_effective")),
-            "new_effective": F.date_add("new_effective", 365),
-            "charge_rate": F.col("new_rate"),
-            "new_rate": raised(F.col("new_rate"), step),
-            "upload_year": F.lit(2),
-        }
-    )
-    return first.unionByName(second.select(first.columns))
+    follow_up = {
+        "effective_date": day_key(F.col("new_effective")),
+        "new_effective": F.date_add("new_effective", 365),
+        "charge_rate": F.col("new_rate"),
+        "new_rate": raised(F.col("new_rate"), step),
+        "upload_year": F.lit(2),
+    }
+    # both years from one row, so that the join is made once; a raised rate may have more digits
+    second = first.withColumns(follow_up).select(first.columns)
+    kinds = {f.name: f.dataType for f in first.unionByName(second).schema.fields}
+    years_of = [
+        F.struct(*[values.get(c, F.col(c)).cast(kinds[c]).alias(c) for c in first.columns]) for values in ({}, follow_up)
+    ]
+    return first.select(F.inline(F.array(*years_of)))
 
 
 # --- waves and results ----------------------------------------------------------------------------
@@ -430,6 +443,12 @@ def merge_waves(panel: DataFrame, takers: DataFrame, declined: DataFrame, exclud
     return merged.withColumns(out).drop(*[f"__{p}_{w}" for p in ("signed", "barred") for w in waves])
 
 
+def closed_charges(charges: DataFrame, start_after: int, until: int) -> DataFrame:
+    """Accounts with a charge that started after the first day and closed between it and the second."""
+    closed = (F.col("close_date") > start_after) & (F.col("close_date") <= until)
+    return charges.where((F.col("effective_date") > start_after) & closed).select(*ACCOUNT).distinct()
+
+
 def exclusion_list(audience: DataFrame, takers: DataFrame, declined: DataFrame, changed: DataFrame, key: str, email: str) -> DataFrame:
     """Accounts not to be mailed again: takers, decliners and audience accounts with a closed charge."""
     answered = takers.select(key).unionByName(declined.select(key)).join(audience.select(key, email), key, "left")
@@ -474,6 +493,7 @@ def campaign_summary(panel: DataFrame, months: Sequence[int], values: Sequence[s
         F.count(F.lit(1)).alias("accts_start"),
         any_sum("taker", "taker_signed").alias("num_takers"),
         F.sum("revenue_annual").alias("revenue_annual_start"),
+        (F.sum("revenue_annual").cast("double") / 12).alias("revenue_monthly_start"),
         F.sum("tenure_months").alias("total_tenure_months"),
         F.sum("total_yard_month").alias("total_yard_month"),
         *sums,

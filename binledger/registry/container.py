@@ -22,54 +22,47 @@ _INV = ("BCR", "BSP", "BCE", "BCS", "NCC", "CEX", "EXC")
 _EXT = ("NCC", "CEX", "EXC")
 
 
-def _sums(codes, value, suffix, code="upper(charge_cd)"):
-    return ", ".join(f"sum(case when {code} = '{c}' then {value} else 0 end) as {c.lower()}_{suffix}" for c in codes)
-
-
-def _mo(expr, name):
-    return f"min(year({expr}) * 100 + month({expr})) as {name}"
-
-
-_SHARED = f"""max(g.container_cnt) as container_cnt, max(g.container_size) as container_size,
- max(case when g.is_franchise = 1 then 1 else 0 end) as is_franchise,
- max(case when a.is_national_account = 1 then 1 else 0 end) as is_national_account,
- {_mo('g.close_dt', 'cont_close_mo')}, {_mo('g.orig_start_dt', 'cont_start_mo')},
- {_mo('a.acct_close_dt', 'act_close_mo')}, {_mo('a.acct_open_dt', 'act_open_mo')}"""
-
-INV_CTE = f"""select *, case when act_open_mo = month_dt then 1 else 0 end as new_acct,
- case when act_close_mo = month_dt then 1 else 0 end as lost_acct,
- case when cont_close_mo = month_dt then 1 else 0 end as closed_container,
- case when cont_start_mo = month_dt then 1 else 0 end as open_container from (
- select revenue_period as month_dt, g.div_nbr, h.cur_div_nbr, g.acct_nbr, g.site_nbr, g.container_grp_nbr, {_SHARED},
- max(f.erf_rate_pct) as erf_rate_pct, max(f.frf_rate_pct) as frf_rate_pct,
- max(case when f.is_erf_locked = 1 then 1 else 0 end) as is_erf_locked,
- max(case when f.is_frf_locked = 1 then 1 else 0 end) as is_frf_locked,
- max(case when f.is_erf_on_frf = 1 then 1 else 0 end) as is_erf_on_frf,
- sum(revenue_amt) as inv_rev, sum(case when is_credit = 1 then revenue_amt else 0 end) as credit_rev,
- {_sums(_INV, 'revenue_amt', 'rev')}, {_sums(_EXT, 'rate_amt', 'rate')}, {_sums(_EXT, 'qty_billed', 'qty_bill_inv')}
- from invoice_detail i join dim_acct a on i.acct_sk = a.acct_sk
- join dim_container_grp g on i.container_grp_sk = g.container_grp_sk
- join dim_charge_cd c on i.charge_cd_sk = c.charge_cd_sk
- join dim_corp_hier h on i.corp_hier_sk = h.corp_hier_sk
- join dim_rate_hist r on i.rate_sk = r.rate_sk
- left join dim_contract_fee f on g.div_nbr = f.div_nbr and g.contract_nbr = f.contract_nbr
-  and g.contract_grp_nbr = f.contract_grp_nbr and f.is_current = 1
- where is_updated = 0 and is_deleted = 0 and is_merged = 0 and is_split = 0
-  and upper(charge_cd) in ('BCR','BSP','BCE','NCC','CEX','EXC','BCS') and revenue_period > {AFTER_MONTH}
-  and g.container_size >= 1 and g.container_size <= 10
- group by 1, 2, 3, 4, 5, 6) x"""
-
-SRV_CTE = f"""select service_day // 100 as month_dt, g.div_nbr, h.cur_div_nbr, g.acct_nbr, g.site_nbr, g.container_grp_nbr, {_SHARED},
- {_sums(_EXT, 's.container_cnt', 'cnt_srvc', 'upper(service_cd)')},
- max(case when year(a.acct_open_dt) * 100 + month(a.acct_open_dt) = service_day // 100 then 1 else 0 end) as new_acct,
- max(case when year(a.acct_close_dt) * 100 + month(a.acct_close_dt) = service_day // 100 then 1 else 0 end) as lost_acct,
- max(case when year(g.close_dt) * 100 + month(g.close_dt) = service_day // 100 then 1 else 0 end) as closed_container,
- min(case when year(g.orig_start_dt) * 100 + month(g.orig_start_dt) = service_day // 100 then 1 else 0 end) as open_container
- from service_detail s join dim_service_cd c on s.service_cd_sk = c.service_cd_sk
- join dim_container_grp g on g.container_grp_sk = s.container_grp_sk
- join dim_corp_hier h on s.corp_hier_sk = h.corp_hier_sk join dim_acct a on a.acct_sk = s.acct_sk
- where upper(service_cd) in ('CEX','NCC','EXC') and g.container_size <= 10 and g.container_size >= 1
-  and service_day >= {FROM_DAY} and is_deleted = 0 and is_updated = 0 group by 1, 2, 3, 4, 5, 6"""
+def _by_code(codes, value, suffix):
+    """Totals of the lines of each code, from rows that carry their code as ``code``."""
+    return ", ".join(f"coalesce(sum({value}) filter (code = '{c}'), 0) as {c.lower()}_{suffix}" for c in codes)
+
+
+def _month(day):
+    return f"cast(strftime({day}, '%Y%m') as integer)"
+
+
+# places once per container group: all that a line takes from the wide tables, months as numbers
+_PLACES = f"""select container_grp_sk, div_nbr, acct_nbr, site_nbr, container_grp_nbr, container_cnt as units, container_size as size, is_franchise = 1 as franchise,
+ contract_nbr, contract_grp_nbr, {_month('close_dt')} as shut, {_month('orig_start_dt')} as start from dim_container_grp where container_size between 1 and 10"""
+_HOLDERS = f"select acct_sk, is_national_account = 1 as national, {_month('acct_close_dt')} as gone, {_month('acct_open_dt')} as came from dim_acct"
+_SHARED = """max(units) as container_cnt, max(size) as container_size, coalesce(bool_or(franchise), false)::int as is_franchise,
+ coalesce(bool_or(national), false)::int as is_national_account, min(shut) as cont_close_mo, min(start) as cont_start_mo, min(gone) as act_close_mo, min(came) as act_open_mo"""
+
+INV_CTE = f"""with places as ({_PLACES}), holders as ({_HOLDERS}),
+ terms as (select div_nbr, contract_nbr, contract_grp_nbr, erf_rate_pct, frf_rate_pct, is_erf_locked = 1 as el, is_frf_locked = 1 as fl, is_erf_on_frf = 1 as ef
+  from dim_contract_fee where is_current = 1),
+ lines as (select i.revenue_period as month_dt, p.*, h.*, cur_div_nbr, upper(charge_cd) as code, revenue_amt, qty_billed, rate_amt, is_credit = 1 as credit
+  from invoice_detail i semi join (select charge_cd_sk from dim_charge_cd where upper(charge_cd) in ('BCR','BSP','BCE','NCC','CEX','EXC','BCS')) w using (charge_cd_sk)
+  join dim_charge_cd using (charge_cd_sk) join places p using (container_grp_sk) join holders h on h.acct_sk = i.acct_sk
+  join dim_corp_hier using (corp_hier_sk) join dim_rate_hist using (rate_sk)
+  where is_updated + is_deleted + is_merged + is_split = 0 and i.revenue_period > {AFTER_MONTH}),
+ grouped as (select month_dt, div_nbr, cur_div_nbr, acct_nbr, site_nbr, container_grp_nbr, {_SHARED}, max(erf_rate_pct) as erf_rate_pct, max(frf_rate_pct) as frf_rate_pct,
+  coalesce(bool_or(el), false)::int as is_erf_locked, coalesce(bool_or(fl), false)::int as is_frf_locked, coalesce(bool_or(ef), false)::int as is_erf_on_frf,
+  sum(revenue_amt) as inv_rev, coalesce(sum(revenue_amt) filter (credit), 0) as credit_rev,
+  {_by_code(_INV, 'revenue_amt', 'rev')}, {_by_code(_EXT, 'rate_amt', 'rate')}, {_by_code(_EXT, 'qty_billed', 'qty_bill_inv')}
+  from lines left join terms using (div_nbr, contract_nbr, contract_grp_nbr) group by all)
+ select *, (act_open_mo is not distinct from month_dt)::int as new_acct, (act_close_mo is not distinct from month_dt)::int as lost_acct,
+  (cont_close_mo is not distinct from month_dt)::int as closed_container, (cont_start_mo is not distinct from month_dt)::int as open_container from grouped"""
+
+SRV_CTE = f"""with places as ({_PLACES}), holders as ({_HOLDERS}),
+ visits as (select service_day // 100 as month_dt, p.*, h.*, cur_div_nbr, upper(service_cd) as code, s.container_cnt as served
+  from service_detail s join dim_service_cd using (service_cd_sk) join places p using (container_grp_sk) join holders h on h.acct_sk = s.acct_sk
+  join dim_corp_hier using (corp_hier_sk)
+  where service_day >= {FROM_DAY} and is_deleted + is_updated = 0 and upper(service_cd) in ('CEX','NCC','EXC'))
+ select month_dt, div_nbr, cur_div_nbr, acct_nbr, site_nbr, container_grp_nbr, {_SHARED}, {_by_code(_EXT, 'served', 'cnt_srvc')},
+  coalesce(bool_or(came = month_dt), false)::int as new_acct, coalesce(bool_or(gone = month_dt), false)::int as lost_acct,
+  coalesce(bool_or(shut = month_dt), false)::int as closed_container, bool_and(coalesce(start = month_dt, false))::int as open_container
+ from visits group by all"""
 
 _EITHER = ["is_franchise", "is_national_account", "container_cnt", "container_size", "cont_close_mo", "cont_start_mo",
            "act_close_mo", "act_open_mo", "new_acct", "lost_acct", "closed_container", "open_container"]
@@ -165,47 +158,37 @@ def _filter_live_rows(r: Retail):
 
 _ROWS_EXISTS = ["bcr_exists", "bce_exists", "bsp_exists", "bcs_exists"]
 _SNAP_COUNTS = ["bcr_active_cont_bom", "bcr_active_cont_eom", "bcr_new_cnt", "bcr_lost_cnt", *_ROWS_EXISTS]
-_BASE3 = "upper(charge_code) in ('BCR','BSP','BCE')"
-_BEGIN = "effective_date <= mi and (close_date > mi or close_date = 0) and acct_close_dt > m and close_dt > m"
-_ON_BEGIN = "acct_open_dt <= m and orig_start_dt <= m and acct_close_dt > m and close_dt > m"
-
-SNAP_CTE = f"""select cast(year(m) * 100 + month(m) as integer) as month_dt, div_nbr, cur_div_nbr, acct_nbr, site_nbr, container_grp_nbr,
- year(close_dt) * 100 + month(close_dt) as cont_close_mo, year(orig_start_dt) * 100 + month(orig_start_dt) as cont_start_mo,
- year(acct_close_dt) * 100 + month(acct_close_dt) as act_close_mo, year(acct_open_dt) * 100 + month(acct_open_dt) as act_open_mo,
- max(case when year(acct_open_dt) * 100 + month(acct_open_dt) = mi // 100 then 1 else 0 end) as new_acct,
- max(case when year(acct_close_dt) * 100 + month(acct_close_dt) = mi // 100 then 1 else 0 end) as lost_acct,
- max(case when year(close_dt) * 100 + month(close_dt) = mi // 100 then 1 else 0 end) as closed_container,
- min(case when year(orig_start_dt) * 100 + month(orig_start_dt) = mi // 100 then 1 else 0 end) as open_container,
- container_cnt, container_size, is_franchise, is_national_account,
- erf_rate_pct, frf_rate_pct, is_erf_locked, is_frf_locked, is_erf_on_frf,
- sum(case when {_BASE3} and {_BEGIN} and acct_open_dt < m and orig_start_dt < m then charge_rate else 0 end) as bcr_rt,
- sum(case when upper(charge_code) = 'BCS' and {_BEGIN} and acct_open_dt < m and orig_start_dt < m then charge_rate else 0 end) as bcs_rt,
- max(case when {_BASE3} and {_BEGIN} and acct_open_dt <= m and orig_start_dt <= m then container_cnt else 0 end) as bcr_active_cont_bom,
- max(case when {_BASE3} and effective_date <= ei and (close_date >= ei or close_date = 0) and acct_open_dt <= e and orig_start_dt <= e
-   and acct_close_dt > e and close_dt > e then container_cnt else 0 end) as bcr_active_cont_eom,
- max(case when effective_date // 100 = mi // 100 and {_BASE3} and {_ON_BEGIN} then container_cnt else 0 end) as bcr_new_cnt,
- max(case when close_date // 100 = mi // 100 and {_BASE3} and {_ON_BEGIN} then container_cnt else 0 end) as bcr_lost_cnt,
- max(case when upper(charge_code) = 'BCR' then container_cnt else 0 end) as bcr_exists,
- max(case when upper(charge_code) = 'BCE' then container_cnt else 0 end) as bce_exists,
- max(case when upper(charge_code) = 'BSP' then container_cnt else 0 end) as bsp_exists,
- max(case when upper(charge_code) = 'BCS' then container_cnt else 0 end) as bcs_exists
- from (select r.*, c.m, c.e, c.mi, c.ei, g.orig_start_dt, g.close_dt, g.container_cnt, g.container_size, g.is_franchise,
-   a.acct_open_dt, a.acct_close_dt, a.is_national_account, h.cur_div_nbr,
-   f.erf_rate_pct, f.frf_rate_pct, f.is_erf_locked, f.is_frf_locked, f.is_erf_on_frf
-  from charge_rates r
-  join dim_container_grp g on r.div_nbr = g.div_nbr and r.acct_nbr = g.acct_nbr and r.site_nbr = g.site_nbr
-   and r.container_grp_nbr = g.container_grp_nbr
-  join dim_acct a on r.acct_nbr = a.acct_nbr and r.div_nbr = a.div_nbr
-  join dim_corp_hier h on h.div_nbr = g.div_nbr and h.rev_distrib_cd = g.rev_distrib_cd
-  join calendar c on g.orig_start_dt < c.e and a.acct_open_dt < c.e and r.effective_date < c.ei and g.close_dt > c.m
-   and a.acct_close_dt > c.m and (r.close_date > c.mi or r.close_date = 0)
-  left join dim_contract_fee f on g.div_nbr = f.div_nbr and g.contract_nbr = f.contract_nbr
-   and g.contract_grp_nbr = f.contract_grp_nbr and f.eff_dt <= c.e and f.disc_dt >= c.e
-  where upper(r.charge_code) in ('BCR','BSP','BCE','BCS') and a.is_current = 1 and h.is_current = 1 and g.is_current = 1
-   and strptime(cast(r.effective_date as varchar), '%Y%m%d') < a.acct_close_dt
-   and strptime(cast(r.effective_date as varchar), '%Y%m%d') < g.close_dt
-   and (r.close_date >= r.effective_date or r.close_date = 0) and upper(r.current_ind) = 'Y' and r.adj_flag = '0') z
- group by all"""
+
+# every validity as one span of days: a place from the later opening to the earlier closing, a charge to its end
+SNAP_CTE = f"""with stands as (
+  select g.div_nbr, g.acct_nbr, g.site_nbr, g.container_grp_nbr, g.contract_nbr, g.contract_grp_nbr, g.container_cnt, g.container_size, g.is_franchise,
+   a.is_national_account, h.cur_div_nbr, g.orig_start_dt, g.close_dt, a.acct_open_dt, a.acct_close_dt,
+   greatest(g.orig_start_dt, a.acct_open_dt) as opens, least(g.close_dt, a.acct_close_dt) as shuts
+  from dim_container_grp g join dim_acct a using (div_nbr, acct_nbr) join dim_corp_hier h on h.div_nbr = g.div_nbr and h.rev_distrib_cd = g.rev_distrib_cd
+  where g.is_current + a.is_current + h.is_current = 3),
+ charges as (
+  select div_nbr, acct_nbr, site_nbr, container_grp_nbr, upper(charge_code) as code, upper(charge_code) <> 'BCS' as base, charge_rate,
+   cast(strptime(effective_date::varchar, '%Y%m%d') as date) as since,
+   case close_date when 0 then date '9999-12-31' else cast(strptime(close_date::varchar, '%Y%m%d') as date) end as till
+  from charge_rates where upper(current_ind) = 'Y' and adj_flag = '0' and upper(charge_code) in ('BCR', 'BSP', 'BCE', 'BCS')),
+ here as (
+  select s.*, c.m, c.e, code, base, charge_rate, since <= m and till > m and shuts > m as live, opens <= m and shuts > m as there,
+   since <= e and till >= e and opens <= e and shuts > e as live_after, opens < m as older, opens <= m as opened,
+   date_trunc('month', since) = m as starts, date_trunc('month', till) = m as ends
+  from stands s join charges using (div_nbr, acct_nbr, site_nbr, container_grp_nbr)
+  join calendar c on greatest(opens, since) < c.e and least(shuts, till) > c.m
+  where since < shuts and till >= since)
+ select {_month('m')} as month_dt, z.div_nbr, cur_div_nbr, z.acct_nbr, z.site_nbr, z.container_grp_nbr,
+  {_month('close_dt')} as cont_close_mo, {_month('orig_start_dt')} as cont_start_mo, {_month('acct_close_dt')} as act_close_mo, {_month('acct_open_dt')} as act_open_mo,
+  bool_or(date_trunc('month', acct_open_dt) = m)::int as new_acct, bool_or(date_trunc('month', acct_close_dt) = m)::int as lost_acct,
+  bool_or(date_trunc('month', close_dt) = m)::int as closed_container, bool_and(date_trunc('month', orig_start_dt) = m)::int as open_container,
+  container_cnt, container_size, is_franchise, is_national_account, erf_rate_pct, frf_rate_pct, is_erf_locked, is_frf_locked, is_erf_on_frf,
+  coalesce(sum(charge_rate) filter (base and live and older), 0) as bcr_rt, coalesce(sum(charge_rate) filter (not base and live and older), 0) as bcs_rt,
+  coalesce(max(container_cnt) filter (base and live and opened), 0) as bcr_active_cont_bom, coalesce(max(container_cnt) filter (base and live_after), 0) as bcr_active_cont_eom,
+  coalesce(max(container_cnt) filter (base and starts and there), 0) as bcr_new_cnt, coalesce(max(container_cnt) filter (base and ends and there), 0) as bcr_lost_cnt,
+  {', '.join(f"coalesce(max(container_cnt) filter (code = '{c}'), 0) as {c.lower()}_exists" for c in ('BCR', 'BCE', 'BSP', 'BCS'))}
+ from here z left join dim_contract_fee f on f.div_nbr = z.div_nbr and f.contract_nbr = z.contract_nbr and f.contract_grp_nbr = z.contract_grp_nbr
+  and z.e between f.eff_dt and f.disc_dt group by all"""
 
 CAL_CTE = """select cast(m as date) as m, cast(m + interval 1 month as date) as e,
  year(m) * 10000 + month(m) * 100 + 1 as mi,

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from decimal import Decimal
-from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from binledger.functions.dates import SPREADSHEET_ORIGIN
 from binledger.functions.money import kg_to_pounds, pounds_to_kg
 from binledger.functions.text import pad_key
 from binledger.operators import profile
@@ -17,9 +18,10 @@ from binledger.plans import engagement, ml, pricing
 from binledger.plans.campaign import ACCOUNT
 from binledger.registry.base import query
 from binledger.registry.standin_sql import doubles, pad, with_tables
-from binledger.session import stage_root
-from binledger.sources.files import read_csv, read_status_folders, write_csv
+from binledger.session import new_stage_path
+from binledger.sources.files import read_csv, read_status_folders, rename_by_position, write_csv
 from binledger.sources.retail import Retail
+from binledger.sources.tables import append_aligned, overwrite_months
 
 DATES = pricing.PriceDates(dt.date(2000, 2, 1))
 RULES = pricing.SheetRules(large_code="S1", entered_area="AMERICA")
@@ -257,7 +259,7 @@ def _engagement(r: Retail):
 
 
 def _folder(r: Retail, label: str) -> str:
-    return f"{stage_root(r.spark)}/{label}-{uuid4().hex}"
+    return new_stage_path(r.spark, label)
 
 
 @query(
@@ -291,6 +293,49 @@ def _csv_roundtrip(r: Retail):
     return read_csv(r.spark, path, "o_orderkey long, status string, price decimal(18,2), day date")
 
 
+@query(
+    "src_csv_na_marker",
+    """select l_linenumber as line, case when l_returnflag <> 'N' then l_returnflag end as flag, count(*) as n,
+    cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as price from lineitem group by 1, 2""",
+)
+def _csv_na_marker(r: Retail):
+    """A file without heading that writes missing values as a marker of its own; columns named by position."""
+    path = _folder(r, "lines-csv")
+    flag = F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).otherwise("NA")
+    lines = r.table("lineitem").select("l_linenumber", flag, F.col("l_extendedprice").cast("decimal(18,2)"))
+    lines.write.option("header", False).csv(path)
+    back = rename_by_position(read_csv(r.spark, path, "a int, b string, c decimal(18,2)", header=False, null_marker="NA", multi_line=False), ["line", "flag", "price"])
+    return back.groupBy("line", "flag").agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("price"))
+
+
+@query(
+    "sink_append_months",
+    """select month, cast(max(case when month % 2 = 0 then 2 else 1 end) as integer) as version, count(*) * 2 as n, cast(null as varchar) as missing
+    from (select year(o_orderdate) * 100 + month(o_orderdate) as month from orders) x group by 1""",
+)
+def _append_months(r: Retail):
+    """Two aligned appends of all months, then the even months are replaced (and appended to) once more."""
+    path = _folder(r, "months")
+    target = T.StructType.fromDDL("month int, version int, missing string, o_orderkey long")
+    rows = r.table("orders").select((F.year("o_orderdate") * 100 + F.month("o_orderdate")).alias("month"), "o_orderkey", F.lit(1).alias("version"), F.lit("x").alias("surplus"))
+    append_aligned(rows, path, target, ("month",))
+    append_aligned(rows, path, target, ("month",))
+    even = rows.where("month % 2 = 0").withColumn("version", F.lit(2))
+    overwrite_months(even.unionByName(even).select("month", "version", F.lit(None).cast("string").alias("missing"), "o_orderkey"), path, "month")
+    back = r.spark.read.schema(target).parquet(path)
+    return back.groupBy("month").agg(F.max("version").alias("version"), F.count(F.lit(1)).alias("n"), F.max("missing").alias("missing"))
+
+
+@query("returned_dates", "select o_orderkey, cast(cast(o_orderdate as date) as varchar) as nrd from orders where o_orderstatus <> 'P' union all select o_orderkey, null from orders where o_orderstatus = 'P'")
+def _returned_dates(r: Retail):
+    """Review dates as a returned sheet holds them: ISO text, day serials, or something else."""
+    day = F.col("o_orderdate").cast("date")
+    serial = F.datediff(day, F.lit(SPREADSHEET_ORIGIN)).cast("string")
+    iso = F.date_format(day, "yyyy-MM-dd'T'00:00")
+    text = F.when(F.col("o_orderstatus") == "O", iso).when(F.col("o_orderstatus") == "F", serial).otherwise("soon")
+    return pricing.returned_dates(r.table("orders").select("o_orderkey", text.alias("nrd")))
+
+
 @query(
     "sink_partitioned",
     with_tables(
@@ -364,8 +409,34 @@ def _word_occurrences(r: Retail):
     return profile.word_occurrences(r.table("documents"), "text", _WORDS, ["lang", "source"])
 
 
-@query("ml_logistic")
+_CELL = "lang || '_' || toxic"
+
+
+@query(
+    "ml_logistic",
+    f"""select cell, count(*) as n, cast(sum(quality) as bigint) as good,
+    round(case when sum(quality) between 1 and count(*) - 1 then ln(sum(quality) / (count(*) - sum(quality))) end, 2) as log_odds
+    from (select {_CELL} as cell, quality from documents join labels using (doc_id)) x group by 1""",
+)
 def _ml_logistic(r: Retail):
+    """Quality by language and toxicity, one term per cell: the estimates are the cells' log-odds.
+
+    A cell of one class has no finite estimate; it takes no part in the fit and keeps its counts.
+    """
+    rows = r.table("documents").join(r.table("labels"), "doc_id").select(F.expr(_CELL).alias("cell"), "quality")
+    cells = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.sum("quality").alias("good"))
+    mixed = rows.join(cells.where("good between 1 and n - 1"), "cell", "left_semi")
+    terms = ml.logistic_coefficients(mixed, "quality ~ cell")
+    names = terms.select(F.regexp_replace("term", "^cell_", "").alias("cell"), "coefficient")
+    base = names.where("cell = '(Intercept)'").select("coefficient").scalar()
+    # the reference cell has no term of its own
+    odds = cells.join(names, "cell", "left")
+    fitted = F.when(F.expr("good between 1 and n - 1"), F.round(base + F.coalesce("coefficient", F.lit(0.0)), 2))
+    return odds.select("cell", "n", "good", fitted.alias("log_odds"))
+
+
+@query("ml_logistic_terms")
+def _ml_logistic_terms(r: Retail):
     """Quality label by length and language, coefficients of the fit."""
     rows = r.table("documents").join(r.table("labels"), "doc_id").select(
         F.col("quality").alias("label_quality"), (F.col("n_chars") / 1000.0).alias("kchars"), "lang", "toxic")
@@ -373,8 +444,20 @@ def _ml_logistic(r: Retail):
     return ml.logistic_coefficients(ready, "label_quality ~ kchars + lang + toxic")
 
 
-@query("ml_tree")
+@query(
+    "ml_tree",
+    "select event_id, cast(day(ts) > 15 as integer) as late, cast(day(ts) > 15 as integer) as prediction from events where event_id % 10 = 0",
+)
 def _ml_tree(r: Retail):
+    """Half of the month from the day and the hour; the day separates the labels, so the held-out answer is known."""
+    rows = r.table("events").select(
+        "event_id", F.dayofmonth("ts").alias("day"), F.hour("ts").alias("hour"), (F.dayofmonth("ts") > 15).cast("int").alias("late"))
+    held_out = rows.where("event_id % 10 = 0").select("event_id")
+    return ml.tree_predictions(rows, ["day", "hour"], "late", held_out, "event_id")
+
+
+@query("ml_tree_vectors")
+def _ml_tree_vectors(r: Retail):
     """Label of the first vector of each label, predicted from all the others."""
     rows = r.table("embeddings")
     held_out = rows.groupBy("label").agg(F.min("vec_id").alias("vec_id")).select("vec_id")

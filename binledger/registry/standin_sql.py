@@ -67,7 +67,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         case when o_totalprice >= 450000 then '91' else '10' end as district_cd,
         case when o_orderstatus = 'O' then 12 else 4 end as recurring_charge_freq,
         cast(floor(o_totalprice / 100000) as integer) as pickup_lifts,
-        case when o_orderstatus = 'P' then 2 else 1 end as pickup_length, 1 as is_current from placed_orders""",
+        case when o_orderstatus = 'P' then 2 else 1 end as pickup_length,
+        case when c_mktsegment = 'MACHINERY' and o_totalprice < 150000 then 'UNKNOWN' else 'WEEK' end as pickup_unit, 1 as is_current from placed_orders""",
     ),
     "dim_charge_cd": ((), f"select * from (values {_CODES}) t(charge_cd_sk, charge_cd)"),
     "dim_service_cd": ((), f"select * from (values {_CODES}) t(service_cd_sk, service_cd)"),
@@ -106,7 +107,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         " union all ".join(
             f"""select {pad('c_nationkey', 3)} as div_nbr, {pad('c_custkey', 7)} as acct_nbr, '{kind}' as fee_type,
             case when {charged} then 1 else 0 end as is_fee_charged,
-            case when {enabled} then 1 else 0 end as is_acct_fee_enabled,
+            case when {enabled} then 1 else 0 end as is_acct_fee_enabled, date '1995-01-01' as eff_dt,
+            case when {current} then date '9999-12-31' else date '1998-12-31' end as disc_dt,
             case when {current} then 1 else 0 end as is_current from customer"""
             for kind, charged, enabled, current in (
                 ("FRF", "c_acctbal > 0", "c_mktsegment <> 'MACHINERY'", "c_mktsegment <> 'FURNITURE'"),

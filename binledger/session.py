@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+from functools import lru_cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,24 +45,50 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def stage_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of its own.
+    Only a local master may fall back to a temporary folder of its own, which goes when the process ends.
     """
     root = spark.conf.get(_STAGE_ROOT, None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"{_STAGE_ROOT} must name a folder shared by all executors")
+    return _own_root()
+
+
+@lru_cache(1)
+def _own_root() -> str:
     root = tempfile.mkdtemp(prefix="binledger-stage-")
-    spark.conf.set(_STAGE_ROOT, root)
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
     return root
 
 
+_STAGED: list[str] = []
+
+
+def new_stage_path(spark: SparkSession, label: str) -> str:
+    """A path under the shared folder that nothing has used; ``clear_stage`` deletes it."""
+    path = f"{stage_root(spark)}/{label}-{uuid4().hex}"
+    _STAGED.append(path)
+    return path
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
     Used where a value must not change when a task is recomputed (row positions) and where several
-    branches read one expensive result. The table survives the loss of any executor.
+    branches read one expensive result. The table survives the loss of any executor. It stays until
+    ``clear_stage``, as results that are not computed yet may read it.
     """
-    path = f"{stage_root(df.sparkSession)}/{label}-{uuid4().hex}"
+    path = new_stage_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_stage(spark: SparkSession) -> int:
+    """Delete what this process has staged, once its results are written; returns the number of folders."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while _STAGED:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        gone += path.getFileSystem(conf).delete(path, True)
+    return gone

@@ -148,6 +148,7 @@ class Retail:
             F.when(status == "O", 12).otherwise(4).alias("recurring_charge_freq"),
             hundreds.alias("pickup_lifts"),
             F.when(status == "P", 2).otherwise(1).alias("pickup_length"),
+            F.when((F.col("c_mktsegment") == "MACHINERY") & (price < 150000), "UNKNOWN").otherwise("WEEK").alias("pickup_unit"),
             F.lit(1).alias("is_current"),
         )
 
@@ -225,7 +226,8 @@ class Retail:
         def fee(kind: str, charged: Column, enabled: Column, current: Column) -> Column:
             return F.struct(
                 F.lit(kind).alias("fee_type"), _flag(charged).alias("is_fee_charged"),
-                _flag(enabled).alias("is_acct_fee_enabled"), _flag(current).alias("is_current"),
+                _flag(enabled).alias("is_acct_fee_enabled"), F.lit(dt.date(1995, 1, 1)).alias("eff_dt"),
+                F.when(current, F.lit(OPEN_END)).otherwise(F.lit(dt.date(1998, 12, 31))).alias("disc_dt"), _flag(current).alias("is_current"),
             )
 
         yes = F.lit(True)

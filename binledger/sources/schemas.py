@@ -21,7 +21,7 @@ TABLES: dict[str, str] = {
         container_grp_nbr string, container_cnt int, container_size int, container_cd string, is_franchise int,
         orig_start_dt date, close_dt date, contract_nbr string, contract_grp_nbr string, rev_distrib_cd string,
         acct_type string, district_cd string, recurring_charge_freq int, pickup_lifts int, pickup_length int,
-        is_current int""",
+        pickup_unit string, is_current int""",
     "dim_corp_hier": """corp_hier_sk long, cur_region_nm string, cur_area_nbr string, cur_area_nm string,
         cur_div_nbr string, cur_div_nm string, cur_bu_nbr string, cur_bu_desc string, div_nbr string,
         div_nm string, rev_distrib_cd string, cur_lob_category string, is_current int""",
@@ -32,7 +32,7 @@ TABLES: dict[str, str] = {
         frf_rate_pct decimal(5,2), is_erf_locked int, is_frf_locked int, is_erf_on_frf int, eff_dt date,
         disc_dt date, is_current int""",
     "dim_acct_fee": """div_nbr string, acct_nbr string, fee_type string, is_fee_charged int,
-        is_acct_fee_enabled int, is_current int""",
+        is_acct_fee_enabled int, eff_dt date, disc_dt date, is_current int""",
     "dim_division_fee": """month_dt int, div_nbr string, erf_rate decimal(5,2), frf_rate decimal(5,2),
         is_erf_enabled int, is_frf_enabled int""",
     "division_fee_rate": """div_nbr string, frf_rate decimal(5,2), erf_rate decimal(5,2), admin_fee decimal(9,2),

@@ -11,11 +11,12 @@ DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    from binledger.session import local_session
+    from binledger.session import clear_stage, local_session
 
     session = local_session(4, shuffle_partitions=4, app="binledger-tests")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_stage(session)
     session.stop()
 
 

@@ -18,7 +18,7 @@ def snapshot_tables(spark, charges, start=dt.date(2015, 1, 1), close=OPEN, opene
         [("001", "0000001", "00001", "1", code, "R", "F", "T1", Decimal(rate), eff, cld, "0", "y", None) for code, rate, eff, cld in charges],
         schema_of("charge_rates"))
     cont = spark.createDataFrame(
-        [(1, "001", "0000001", "00001", "1", 3, 4, "FL", 0, start, close, "0", "0", "10", "P", "10", 12, 1, 1, 1)], schema_of("dim_container_grp"))
+        [(1, "001", "0000001", "00001", "1", 3, 4, "FL", 0, start, close, "0", "0", "10", "P", "10", 12, 1, 1, "WEEK", 1)], schema_of("dim_container_grp"))
     acct = spark.createDataFrame([(1, "001", "0000001", opened, acct_close, 0, 1)], schema_of("dim_acct"))
     hier = spark.createDataFrame([(1, "R", "A1", "AREA", "4001", "D", "BU1", "desc", "001", "DIV", "10", "Commercial", 1)], schema_of("dim_corp_hier"))
     fees = spark.createDataFrame([], schema_of("dim_contract_fee"))
@@ -79,7 +79,7 @@ def test_container_revenue_counts_equal_rates(spark):
     charges = spark.createDataFrame(
         [("1", "a", "s", "g", "BCR", "R", m, "T", Decimal(r), 20160101, 0, "0", "Y", None) for m, r in (("Q", "2.00"), ("Q", "2.00"), ("F", "2.00"), ("F", "3.00"))],
         schema_of("charge_rates"))
-    cont = spark.createDataFrame([(1, "1", "a", "s", "g", 4, 4, "FL", 0, dt.date(2015, 1, 1), OPEN, "0", "0", "10", "P", "10", 12, 1, 1, 1)], schema_of("dim_container_grp"))
+    cont = spark.createDataFrame([(1, "1", "a", "s", "g", 4, 4, "FL", 0, dt.date(2015, 1, 1), OPEN, "0", "0", "10", "P", "10", 12, 1, 1, "WEEK", 1)], schema_of("dim_container_grp"))
     row = campaign.container_revenue(charges, cont, 20160701).collect()[0]
     assert (row.dup_cc, row.revenue_per_bill, row.revenue_annual) == (3, Decimal("21.00"), Decimal("252.00"))
 
@@ -167,12 +167,13 @@ def test_file_intake_reads_each_file_once(spark, tmp_path):
 
 def test_retention_campaign_edges(spark):
     """Site limit, district, closed container and revenue rules on a handful of rows."""
-    ddl = "div_nbr string, acct_nbr string, site_nbr string, district_cd string, pickup_lifts int, pickup_length int, close_dt date, revenue_per_bill decimal(18,2)"
-    ok = ("1", "10", dt.date(2020, 1, 1), Decimal("5.00"))
-    rows = [("1", "few", str(s), "10", 1, 1, OPEN, Decimal("5.00")) for s in range(3)]
-    rows += [("1", "many", str(s), "10", 1, 1, OPEN, Decimal("5.00")) for s in range(4)]
-    rows += [("1", "dist", "1", "91", 1, 1, OPEN, Decimal("5.00")), ("1", "closed", "1", "10", 1, 1, dt.date(2016, 7, 7), Decimal("5.00")),
-             ("1", "free", "1", "10", 1, 1, OPEN, Decimal("0.00")), ("1", "idle", "1", "10", 0, 1, OPEN, ok[3])]
+    ddl = "div_nbr string, acct_nbr string, site_nbr string, district_cd string, pickup_lifts int, pickup_length int, pickup_unit string, close_dt date, revenue_per_bill decimal(18,2)"
+    ok = Decimal("5.00")
+    rows = [("1", "few", str(s), "10", 1, 1, "WEEK", OPEN, Decimal("5.00")) for s in range(3)]
+    rows += [("1", "many", str(s), "10", 1, 1, "WEEK", OPEN, Decimal("5.00")) for s in range(4)]
+    rows += [("1", "dist", "1", "91", 1, 1, "WEEK", OPEN, ok), ("1", "closed", "1", "10", 1, 1, "WEEK", dt.date(2016, 7, 7), ok),
+             ("1", "free", "1", "10", 1, 1, "WEEK", OPEN, Decimal("0.00")), ("1", "idle", "1", "10", 0, 1, "WEEK", OPEN, ok),
+             ("1", "unknown", "1", "10", 1, 1, "UNKNOWN", OPEN, ok)]
     kept = campaign.eligible_containers(spark.createDataFrame(rows, ddl), dt.date(2016, 7, 7)).select("acct_nbr").distinct().collect()
     assert [r.acct_nbr for r in kept] == ["few"]
 
@@ -199,3 +200,32 @@ def test_broker_lines_are_numbered(spark):
     rows = [("BRK", " 28", "9 ", "1", "2", "BCR", 10.0, 10.456), ("RTR", "28", "5", "1", "2", "BCR", 10.0, 11.0), ("X", "28", "1", "1", "1", "BCR", 1.0, 2.0)]
     got = sorted(tuple(r)[:8] for r in pricing.broker_upload(spark.createDataFrame(rows, ddl), pricing.PriceDates(dt.date(2017, 1, 1))).collect())
     assert got == [(1, "028", 9, "00001", 2, "BCR", 10.0, 10.46), (2, "028", 5, "00001", 2, "BCR", 10.0, 11.0)]
+
+
+def test_only_fees_valid_on_the_day_count(spark):
+    rows = [("1", "a", "FRF", 1, 1, dt.date(2015, 1, 1), dt.date(2016, 1, 1), 0), ("1", "a", "FRF", 0, 1, dt.date(2016, 1, 2), OPEN, 1),
+            ("1", "b", "EVR", 1, 1, dt.date(2017, 1, 1), OPEN, 1)]
+    got = campaign.fee_flags_wide(spark.createDataFrame(rows, schema_of("dim_acct_fee")), dt.date(2016, 7, 1)).collect()
+    assert [(r.acct_nbr, r.FRF, r.EVR) for r in got] == [("a", 0, None)]
+
+
+def test_closed_charges(spark):
+    days = [("kept", 20160201, 20160301), ("early", 20151231, 20160301), ("open", 20160201, 0), ("late", 20160201, 20170101), ("edge", 20160101, 20160301)]
+    rows = [("1", a, "s", "g", "BCR", "R", "F", "T", Decimal("1.00"), eff, cld, "0", "Y", None) for a, eff, cld in days]
+    got = campaign.closed_charges(spark.createDataFrame(rows, schema_of("charge_rates")), 20160101, 20160601).collect()
+    assert [r.acct_nbr for r in got] == ["kept"]
+
+
+def test_contract_rows_are_one_per_site(spark):
+    lines = spark.createDataFrame([("1", "a", "s1"), ("1", "a", "s1"), ("1", "a", "s2"), ("1", "b", "s1")], "div_nbr string, acct_nbr string, site_nbr string")
+    contracts = spark.createDataFrame([("1", "a", "RM1")], "div_nbr string, acct_nbr string, contract_number string")
+    assert sorted((r.site_nbr, r.rate_lines) for r in campaign.contract_rows(contracts, lines).collect()) == [("s1", 2), ("s2", 1)]
+
+
+def test_staged_tables_can_be_deleted(spark):
+    from binledger.session import clear_stage, stage
+
+    kept = stage(spark.range(5), "gone")
+    (file,) = {f.rpartition("/")[0] for f in kept.inputFiles()}
+    assert clear_stage(spark) >= 1
+    assert not __import__("os").path.exists(file.removeprefix("file://").removeprefix("file:"))
