@@ -30,12 +30,14 @@ from binledger.functions.money import (
     revenue_annual,
     revenue_per_bill,
     revenue_per_lift,
+    yards_per_month,
 )
 from binledger.functions.text import base36, clean_email, email_reject_reason, postal_parts
 from binledger.operators.grouping import any_flag, arg_max, at_most_sites, latest_row, month_columns, strict_sum, wide_flags
 from binledger.operators.joins import drop_listed, if_small
 from binledger.operators.ranking import ntile, percentile_rank, row_ids
 from binledger.operators.rows import unless
+from binledger.session import stage
 from binledger.sources.tables import literal_table
 
 ACCOUNT = ["div_nbr", "acct_nbr"]
@@ -164,6 +166,45 @@ def eligible_containers(
     )
 
 
+def account_profile(revenue: DataFrame, open_after: dt.date, site_limit: int = 3, excluded_district: str = "91") -> DataFrame:
+    """Everything the campaign asks of an account's eligible containers, in one grouping per site and one per account.
+
+    Equal to ``account_revenue``, ``waste_category`` and ``account_frequency`` over ``eligible_containers``, without
+    computing the containers again for each: what is not eligible is left out of the sums but still counts as a site.
+    """
+    ok = (
+        (F.col("pickup_lifts") != 0)
+        & (F.col("pickup_length") != 0)
+        & (F.col("pickup_unit") != "UNKNOWN")
+        & (F.col("close_dt") > F.lit(open_after))
+        & (F.col("revenue_per_bill") > 0)
+    )
+    stream = waste_stream(F.col("container_cd"))
+    kept = {
+        "lifts_per_week": (F.sum, lifts_per_week(F.col("pickup_lifts"), F.col("pickup_length"))),
+        "base_revenue": (F.sum, F.col("revenue_annual")),
+        "base_revenue_per_bill": (F.sum, F.col("revenue_per_bill")),
+        "rcf": (F.max, F.col("recurring_charge_freq")),
+        "yards": (F.max, yards_per_month(F.col("pickup_lifts"), F.col("pickup_length"), F.col("container_size"))),
+        "close_dt": (F.max, F.col("close_dt")),
+        **{s: (F.max, F.when(stream == s, s)) for s in ("SW", "RCY", "YW")},
+    }
+    sites = revenue.where(F.col("district_cd") != excluded_district).groupBy(*ACCOUNT, "site_nbr").agg(
+        F.count(F.when(ok, 1)).alias("__n"), *[f(F.when(ok, c)).alias(name) for name, (f, c) in kept.items()]
+    )
+    accounts = sites.groupBy(*ACCOUNT).agg(
+        F.count(F.lit(1)).alias("__sites"), F.sum("__n").alias("__n"), *[f(name).alias(name) for name, (f, _) in kept.items()]
+    )
+    few = accounts.where((F.col("__sites") <= site_limit) & (F.col("__n") > 0))
+    out = few.withColumns(
+        {
+            "waste_category": F.concat_ws("/", "SW", "RCY", "YW"),
+            "base_rev_per_lift": revenue_per_lift(F.col("base_revenue").cast("double"), F.col("lifts_per_week")),
+        }
+    )
+    return out.drop("__sites", "__n", "SW", "RCY", "YW")
+
+
 def account_frequency(containers: DataFrame) -> DataFrame:
     """Largest billing frequency over all sites of an account."""
     return containers.groupBy("acct_nbr").agg(F.max("recurring_charge_freq").alias("rcf"))
@@ -299,7 +340,7 @@ YARD_WASTE_MIXES = ("SW/YW", "YW", "RCY/YW", "SW/RCY/YW")
 
 
 def retention_campaign(
-    containers: DataFrame,
+    profile: DataFrame,
     accounts: DataFrame,
     account_fees: DataFrame,
     division_rates: DataFrame,
@@ -310,8 +351,11 @@ def retention_campaign(
     thresholds=ASSIGN_DEFAULT,
     increases: Mapping[str, Decimal] = LADDER_DEFAULT,
 ) -> DataFrame:
-    """From eligible containers to one priced row per account."""
-    scored = account_revenue(containers).join(waste_category(containers), ACCOUNT).join(account_frequency(containers), "acct_nbr")
+    """From ``account_profile`` to one priced row per account; the frequency is that of the account number's largest site."""
+    # the profile feeds the account rows and the frequencies, and ranking samples its input: written once
+    profile = stage(profile, "profile")
+    largest = profile.groupBy("acct_nbr").agg(F.max("rcf").alias("rcf"))
+    scored = profile.drop("rcf", "yards").join(largest, "acct_nbr")
     known = scored.join(accounts.select(*ACCOUNT, "acct_open_dt"), ACCOUNT)
     tenured = with_tenure(known, as_of).where(F.col("tenure_months") > min_tenure_months)
     loaded = load_account_fees(tenured, fee_flags_wide(account_fees, as_of), division_rates)

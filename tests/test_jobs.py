@@ -229,3 +229,21 @@ def test_staged_tables_can_be_deleted(spark):
     (file,) = {f.rpartition("/")[0] for f in kept.inputFiles()}
     assert clear_stage(spark) >= 1
     assert not __import__("os").path.exists(file.removeprefix("file://").removeprefix("file:"))
+
+
+def test_account_profile_equals_its_parts(spark):
+    ddl = """div_nbr string, acct_nbr string, site_nbr string, district_cd string, pickup_lifts int, pickup_length int, pickup_unit string,
+     close_dt date, revenue_per_bill decimal(18,2), revenue_annual decimal(18,2), recurring_charge_freq int, container_cd string, container_size int"""
+    rows = []
+    for i in range(300):
+        rows.append((f"{i % 3}", f"a{i % 37}", None if i % 11 == 0 else f"s{i % 5}", "91" if i % 13 == 0 else "10", i % 4, i % 3, "UNKNOWN" if i % 17 == 0 else "WEEK",
+                     OPEN if i % 7 else dt.date(2016, 1, 1), Decimal(i % 9), Decimal(12 * (i % 9)), 12 if i % 2 else 4, ("FR", "YW", "FL", None)[i % 4], i % 8))
+    revenue = spark.createDataFrame(rows, ddl)
+    day = dt.date(2016, 7, 7)
+    parts = campaign.eligible_containers(revenue, day)
+    want = campaign.account_revenue(parts).join(campaign.waste_category(parts), campaign.ACCOUNT)
+    columns = ["div_nbr", "acct_nbr", "lifts_per_week", "base_revenue", "base_revenue_per_bill", "base_rev_per_lift", "waste_category", "close_dt"]
+    got = campaign.account_profile(revenue, day)
+    assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect())) and got.count() > 5
+    largest = {r.acct_nbr: r.rcf for r in campaign.account_frequency(parts).collect()}
+    assert {r.acct_nbr: r.m for r in got.groupBy("acct_nbr").agg(F.max("rcf").alias("m")).collect()} == largest
