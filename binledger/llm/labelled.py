@@ -56,9 +56,12 @@ class Rows:
 
 
 def lasso_logistic(x: Rows, y: np.ndarray, penalty: float, pairs: Rows | None = None, pair_penalty: float = 0.0,
-                   rounds: int = 300) -> tuple[np.ndarray, float]:
+                   rounds: int = 300, balance: float = 0.0) -> tuple[np.ndarray, float]:
     """Weights and intercept that minimise mean log loss + penalty * |w| + pair_penalty * mean((w . pair)^2).
 
+    ``balance`` between 0 and 1 weighs the rows of a class by its share to that power, inverted; at 1 both classes
+    weigh the same, and a score is then no longer the share of label 1.
+
     Accelerated proximal gradient with a step that is halved until the smooth part is bounded by its model. With labels
     of one class only, all weights are 0 and the intercept is the smoothed log-odds of the labels.
     """
@@ -68,16 +71,18 @@ def lasso_logistic(x: Rows, y: np.ndarray, penalty: float, pairs: Rows | None =
     if len(np.unique(y)) < 2 or not x.width:
         return w, base
     m = max(pairs.count, 1) if pairs is not None else 1
+    share = np.where(y > 0, y.mean(), 1 - y.mean()) ** -balance
+    share *= n / share.sum()
 
     def smooth(w: np.ndarray, b: float, slope: bool):
         z = x.dot(w) + b
-        value = np.mean(np.logaddexp(0, z) - y * z)
+        value = np.mean(share * (np.logaddexp(0, z) - y * z))
         gap = pairs.dot(w) if pairs is not None and pair_penalty else None
         if gap is not None:
             value += pair_penalty * np.sum(gap * gap) / m
         if not slope:
             return value
-        r = (sigmoid(z) - y) / n
+        r = share * (sigmoid(z) - y) / n
         g = x.back(r)
         if gap is not None:
             g += pairs.back(2 * pair_penalty * gap / m)

@@ -49,9 +49,11 @@ IDENTITY = {
 #: Other terms that a term is exchanged for.
 SWAPS = 2
 #: Lengths of the word beginnings, features that are kept, and texts that a feature must be in.
-PREFIXES, FEATURES, LEAST_DOCS = (4, 5), 1500, 4
+PREFIXES, FEATURES, LEAST_DOCS = (4, 5, 6, 7, 8), 3000, 3
 #: Weight of the lasso and of the change by swaps.
-PENALTY, SWAP_PENALTY = 3e-4, 5.0
+PENALTY, SWAP_PENALTY = 1e-4, 5.0
+#: How far the rarer class is weighed up (see ``labelled.lasso_logistic``).
+BALANCE = 0.5
 
 _WORD = re.compile(r"[^\W_]+")
 _SENTENCE = re.compile(r"[^.!?\n]+")
@@ -136,7 +138,7 @@ def fit(documents: DataFrame, labels: DataFrame, text: str = "text", key: str =
     rows.sort(key=lambda r: (r.label, r.has))
     x = Rows([[(i, 1.0) for i in r.has] for r in rows], len(names))
     pairs = Rows([[(i, 1.0) if i >= 0 else (-1 - i, -1.0) for i in p] for r in rows for p in r.swaps], len(names))
-    w, b0 = lasso_logistic(x, np.array([r.label for r in rows], np.float64), PENALTY, pairs, swap_penalty)
+    w, b0 = lasso_logistic(x, np.array([r.label for r in rows], np.float64), PENALTY, pairs, swap_penalty, balance=BALANCE)
     return {f: float(v) for f, v in zip(names, w, strict=True) if v}, float(b0)
 
 

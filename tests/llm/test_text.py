@@ -106,7 +106,7 @@ def test_swaps_take_the_weight_off_group_names(frame):
 
     free, held = toxicity.fit(d, l, swap_penalty=0.0)[0], toxicity.fit(d, l)[0]
     assert gap(free) > 1.0 and gap(held) < 0.2 * gap(free)
-    assert max(held, key=held.get) in ("=vileword", "vile*", "vilew*", "=nastyword", "nast*", "nasty*")
+    assert max(held, key=held.get).lstrip("=").startswith(("vile", "nast"))
 
 
 def test_swapped_terms():
