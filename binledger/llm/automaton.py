@@ -39,9 +39,9 @@ from binledger.llm.pretokens import byte_symbols, is_latin, word_pieces
 from binledger.llm.registry import query, table
 
 #: Encoded words that a Python worker remembers at most; the table is emptied when full.
-WORD_CACHE = 500_000
-#: Rows of an output batch.
-BATCH_ROWS = 256
+WORD_CACHE = 200_000
+#: Rows and bytes of the batches that texts are worked on in; a longer row is a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 256, 1 << 20
 
 
 #: Characters of a word that is encoded together with others, and words encoded together.
@@ -90,6 +90,7 @@ class Automaton:
         self.final = [vocab[s + self.suffix] for s in symbols] if self.suffix else self.inner
         self._trie(base, merges)
         self._tables(self.starts, self.ends)
+        self._ids = list(range(size))
         self._words: dict[str, tuple[int, ...]] = {s: (i,) for s, i in self.special.items()}
 
     def _build(self, size: int, base: list[int], merges: list[tuple[int, int, int]]) -> None:
@@ -251,7 +252,8 @@ class Automaton:
         while (left > 0).any():
             steps.append(np.where(left > 0, token_to[left, rows], -1))
             left = came[left, rows]
-        return [tuple(t for t in reversed(row) if t >= 0) for row in np.array(steps).T.tolist()]
+        ids = self._ids  # one object per token, shared by all remembered words
+        return [tuple(ids[t] for t in reversed(row) if t >= 0) for row in np.array(steps).T.tolist()]
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
         parted = [[p for p in (self._split.split(t) if "<" in t else (t,)) if p] for t in texts]
@@ -287,9 +289,16 @@ def automaton_of(source: bytes) -> Automaton:
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Small batches: the words of a text take many times its bytes."""
     for batch in batches:
-        for k in range(0, batch.num_rows, BATCH_ROWS):
-            yield batch.slice(k, BATCH_ROWS)
+        waiting = [batch]
+        while waiting:
+            part = waiting.pop()
+            if part.num_rows > 1 and (part.num_rows > BATCH_ROWS or part.nbytes > BATCH_BYTES):
+                half = part.num_rows // 2
+                waiting += [part.slice(half), part.slice(0, half)]
+            else:
+                yield part
 
 
 def _with(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:

@@ -37,7 +37,7 @@ from binledger.llm.registry import query, table
 #: Characters of a chunk and of the first overlap that is tried.
 CHUNK, OVERLAP = 16_384, 256
 #: Pieces whose count a Python worker remembers at most.
-PIECE_CACHE = 500_000
+PIECE_CACHE = 200_000
 
 
 class Counter:

@@ -47,7 +47,7 @@ ROWS = 4
 #: N-grams of a block.
 BLOCK_GRAMS = 1_000_000
 #: Distinct words whose hash a Python worker remembers at most.
-WORD_CACHE = 500_000
+WORD_CACHE = 200_000
 
 _WORD = re.compile(r"[^\W_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -111,6 +111,7 @@ def _describe(n: int, bands: int, rows: int):
                 digest = xxhash.xxh3_128_digest(x.tobytes())
                 out.append({"id": key, "class": digest, "size": len(x), "bands": signature(x, bands, rows)})
             yield pa.RecordBatch.from_pylist(out, schema=schema)
+        _SEEN.clear()  # the worker lives on, with other work
 
     return run
 
@@ -130,6 +131,7 @@ def _sets(n: int):
                 if xxhash.xxh3_128_digest(data) == row["class"]:  # an id may be repeated with another text
                     out.append({**{k: row[k] for k in names}, "grams": data})
             yield pa.RecordBatch.from_pylist(out, schema=schema)
+        _SEEN.clear()
 
     return run
 
