@@ -145,7 +145,9 @@ def score(df: DataFrame, rules: list[tuple[Rule, float]], intercept: float, text
     taken = {c.lower() for c in df.columns}
     prefix = next(p for p in ("_stat_" + "_" * k for k in range(99)) if not any(c.startswith(p) for c in taken))
     all_of = statistics(text)
-    known = df.select(*kept, *[all_of[n].alias(prefix + n) for n in used])
+    # generated, not projected: a later filter on the score is then not pushed below, where every rule that it is made
+    # of would compute its statistics again
+    known = df.select(*kept, F.inline(F.array(F.struct(*[all_of[n].alias(prefix + n) for n in used]))))
     z = reduce(
         lambda a, b: a + b,
         [F.when(holds(tuple((prefix + n, s, b) for n, s, b in rule)), w).otherwise(0.0) for rule, w in rules],
