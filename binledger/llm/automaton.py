@@ -313,12 +313,19 @@ def _free(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in clash])
 
 
-def encode(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
-    """Add the token ids of ``text``. A column that is already called ``ids`` is replaced."""
+def encode(
+    df: DataFrame, vocabulary: str, text: str = "text", ids: str = "token_ids", decoded: str | None = None
+) -> DataFrame:
+    """Add the token ids of ``text``, and what these decode to where ``decoded`` names a column.
+
+    Columns that already bear these names are replaced. Decoding here shares the Python worker and its automaton with
+    encoding; ``decode`` is for ids that are stored.
+    """
     with open(vocabulary, "rb") as f:
         source = df.sparkSession.sparkContext.broadcast(f.read())  # one vocabulary file: a few MB
-    df = _free(df, ids)
-    schema = df.select("*", F.lit(None).cast("array<int>").alias(ids)).schema
+    df = _free(df, ids, *([decoded] if decoded else []))
+    added = [F.lit(None).cast("array<int>").alias(ids), *([F.lit(None).cast("string").alias(decoded)] if decoded else [])]
+    schema = df.select("*", *added).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = automaton_of(source.value)
@@ -326,7 +333,10 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "token
             coded = machine.encode_all([t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()])
             offsets = np.cumsum([0, *map(len, coded)], dtype=np.int64)
             flat = np.fromiter(chain.from_iterable(coded), np.int32, int(offsets[-1]))
-            yield _with(batch, **{ids: pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))})
+            new = {ids: pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))}
+            if decoded:
+                new[decoded] = pa.array([machine.decode(x) for x in coded], pa.string())
+            yield _with(batch, **new)
 
     return df.mapInArrow(run, schema)
 
@@ -356,9 +366,7 @@ def word_vocabulary() -> str:
 @query("op4_bpe_automaton")
 def bpe_automaton(spark, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    coded = encode(docs, word_vocabulary()).drop("text")
-    both = decode(coded, word_vocabulary())
-    return both.select(
+    return encode(docs, word_vocabulary(), decoded="decoded").select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

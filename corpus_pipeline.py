@@ -46,8 +46,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    coded = automaton.encode(docs, automaton.word_vocabulary())
-    return automaton.decode(coded, automaton.word_vocabulary()).withColumn("n_tokens", F.size("token_ids").cast("long"))
+    coded = automaton.encode(docs, automaton.word_vocabulary(), decoded="decoded")
+    return coded.withColumn("n_tokens", F.size("token_ids").cast("long"))
 
 
 STAGES = [

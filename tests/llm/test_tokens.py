@@ -90,6 +90,8 @@ def test_round_trip_with_clashing_columns(frame, library):
     coded = encode(docs, word_vocabulary())
     assert coded.columns == ["doc_id", "text", "Decoded", "token_ids"]
     out = decode(coded, word_vocabulary())
+    both = encode(docs, word_vocabulary(), decoded="decoded")
+    assert both.columns == out.columns and sorted(map(str, both.collect())) == sorted(map(str, out.collect()))
     assert out.columns == ["doc_id", "text", "token_ids", "decoded"]
     for r in out.collect():
         want = library.encode(r.text or "", add_special_tokens=False).ids
