@@ -1,12 +1,16 @@
 """Near-duplicate vectors by a pivot-permutation index.
 
 **Description.** Reference points (pivots) are taken from a bounded sample of the vectors, none close to another, so
-that a large group of copies gives one pivot at most. A vector is described by its ``NEAREST`` nearest pivots in order.
+that a large group of copies gives one pivot at most. A vector is described by its ``nearest`` nearest pivots in order.
 Vectors at a small angle order the pivots nearly alike and share most of these.
 
-**Retrieval.** The inverted lists are kept on sets of ``SHARED`` pivots: a vector stands in the list of every
-``SHARED``-subset of its nearest pivots, so two vectors meet in a list exactly if their shared-pivot count reaches
-``SHARED``. A pair is taken up in one list only, that of its smallest shared pivots.
+**Retrieval.** The inverted lists are kept on sets of ``shared`` pivots: a vector stands in the list of every
+``shared``-subset of its nearest pivots, so two vectors meet in a list exactly if their shared-pivot count reaches
+``shared``. A pair is taken up in one list only, that of its smallest shared pivots.
+
+**Recall.** The more pivots there are, the fewer of its nearest a pair at the threshold shares. Both numbers are therefore
+chosen for the pivots at hand: the first of ``SETTINGS`` under which a share of ``RECALL`` of pairs exactly at the
+threshold, made from the sample, meets in a list. Where none does, all vectors are one list.
 
 **Verification.** Within a list the cosines are computed in double precision, in blocks of at most ``BLOCK`` vectors
 against another block; a long list is cut into as many blocks as it needs and every pair of blocks is a group of its
@@ -42,21 +46,24 @@ SAMPLE, APART = 4096, 0.7
 #: Pivots for up to ``BASE_ROWS`` vectors; beyond, their number grows with the root of the number of vectors up to
 #: ``MOST_PIVOTS`` (which bounds the driver's work, not what is found).
 BASE_PIVOTS, BASE_ROWS, MOST_PIVOTS = 256, 65_536, 8192
-#: Nearest pivots that describe a vector, and pivots that two vectors must share.
+#: Nearest pivots that describe a vector, and pivots that two vectors must share, with few pivots.
 NEAREST, SHARED = 8, 4
+#: The same in the order they are tried, and the share of ``TRIED`` pairs at the threshold that must meet in a list.
+SETTINGS = [(NEAREST, SHARED), (9, 4), (8, 3), (9, 3), (10, 3), (8, 2), (10, 2)]
+RECALL, TRIED = 0.95, 2000
 #: Vectors of a block.
 BLOCK = 1024
 
 
-def _pivots(vectors: DataFrame, rows: int, sample: int) -> np.ndarray:
-    """Pivots from a sample that is the same in every run: rows whose hash falls into its share of all hashes."""
+def _pivots(vectors: DataFrame, rows: int, sample: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pivots, and the sample they are from, the same in every run: rows whose hash falls into its share of all hashes."""
     wanted = min(MOST_PIVOTS, BASE_PIVOTS * max(1, int(np.sqrt(rows / BASE_ROWS))))
     sample = max(sample, 4 * wanted)
     share = min(1.0, sample / max(rows, 1))
     picked = vectors.where(F.pmod(F.xxhash64("v"), F.lit(1 << 30)) < int(share * (1 << 30)))
     found = sorted(r.v for r in picked.select("v").limit(2 * sample).collect())
     if not found:
-        return np.zeros((0, 0))
+        return np.zeros((0, 0)), np.zeros((0, 0))
     width = max(map(len, found))
     given = np.array([x for x in found if len(x) == width], np.float64)
     given /= np.linalg.norm(given, axis=1, keepdims=True)
@@ -67,7 +74,33 @@ def _pivots(vectors: DataFrame, rows: int, sample: int) -> np.ndarray:
             break
         if (out @ x).max() < APART:
             out = np.vstack([out, x])
-    return out
+    return out, given
+
+
+def setting(pivots: np.ndarray, given: np.ndarray, threshold: float) -> tuple[int, int]:
+    """(nearest, shared) by ``SETTINGS`` and ``RECALL``; (0, 0) for one list of all.
+
+    A pair is a vector of the sample and the same turned to the threshold, in the direction from one vector of the
+    sample to another, so that the pairs differ as the vectors themselves do.
+    """
+    if len(pivots) < NEAREST:
+        return 0, 0
+    one, a, b = np.random.default_rng(1).integers(0, len(given), (3, TRIED))
+    x, turn = given[one], given[a] - given[b]
+    turn -= (turn * x).sum(axis=1, keepdims=True) * x
+    length = np.linalg.norm(turn, axis=1)
+    on = length > 1e-6
+    x, turn = x[on], turn[on] / length[on, None]
+    cosine = min(max(threshold, -1.0), 1.0)
+    most = max(n for n, _ in SETTINGS)
+    near = [np.argsort(-(v @ pivots.T), axis=1, kind="stable")[:, :most].copy()
+            for v in (x, cosine * x + np.sqrt(1 - cosine**2) * turn)]
+    for nearest, shared in SETTINGS:
+        if nearest <= len(pivots) and len(x):
+            p, q = (order[:, :nearest] for order in near)
+            if ((p[:, :, None] == q[:, None, :]).sum(axis=(1, 2)) >= shared).mean() >= RECALL:
+                return nearest, shared
+    return 0, 0
 
 
 def _describe(pivots: np.ndarray, nearest: int, shared: int):
@@ -203,10 +236,10 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
         .withColumn("node", F.xxhash64("v", F.col("first"))), "vectors"
     )
     count = classes.count()
-    pivots = _pivots(classes, count, sample)
-    shared = SHARED if len(pivots) >= NEAREST else 0
+    pivots, given = _pivots(classes, count, sample)
+    nearest, shared = setting(pivots, given, threshold)
     described = classes.select("node", "weight", "v").mapInArrow(
-        _describe(pivots, NEAREST if shared else 0, shared),
+        _describe(pivots, nearest, shared),
         "node long, weight long, v binary, near array<int>, keys array<long>",
     )
     described = stage(described, "described")

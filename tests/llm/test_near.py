@@ -89,6 +89,30 @@ def test_recall_at_the_threshold():
         assert (shared >= pivots.SHARED).mean() >= least
 
 
+@pytest.mark.parametrize("count", [256, 1024, 2048, 8192])
+def test_recall_at_0_95_with_many_pivots(count):
+    """Share of other pairs at 0.95 that meet under the setting chosen for so many pivots."""
+    r = np.random.default_rng(count)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    given = unit(r.normal(size=(4 * count, 64)))
+    p = given[:count]
+    nearest, shared = pivots.setting(p, given, 0.95)
+    data, other = unit(r.normal(size=(1500, 64))), r.normal(size=(1500, 64))
+    other = unit(other - (other * data).sum(axis=1, keepdims=True) * data)
+    a, b = (np.argsort(-(x @ p.T), axis=1)[:, :nearest] for x in (data, 0.95 * data + np.sqrt(1 - 0.95**2) * other))
+    met = np.array([len(set(x) & set(y)) >= shared for x, y in zip(a, b, strict=True)])
+    print(count, nearest, shared, met.mean())
+    assert shared and met.mean() >= 0.94
+
+
+def test_no_setting_with_few_or_useless_pivots():
+    r = np.random.default_rng(0)
+    cone = r.normal(size=(4000, 64)) + 40 * np.eye(64)[0]  # all cosines above 0.95: near pivots tell nothing
+    cone /= np.linalg.norm(cone, axis=1, keepdims=True)
+    assert pivots.setting(cone[:256], cone, 0.95) == (0, 0)
+    assert pivots.setting(cone[:3], cone, 0.95) == (0, 0)
+
+
 def sets_of(text):
     words = re.findall(r"[^\W_]+", (text or "").lower())
     n = min(5, len(words))
