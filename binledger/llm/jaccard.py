@@ -144,7 +144,7 @@ def _verify(threshold: float):
         rows = [unique[k] for k in sorted(unique)]
         if len(rows) < 2:
             return None
-        two = len({r[2] for r in rows}) > 1  # two blocks: the pairs inside each are compared elsewhere
+        two = rows[0][6] != rows[0][7]  # two blocks: the pairs inside each are compared elsewhere
         sets = [np.frombuffer(r[5], np.uint64) for r in rows]
         size = np.array([len(x) for x in sets])
         names, flat = np.unique(np.concatenate(sets), return_inverse=True)

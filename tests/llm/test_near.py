@@ -65,6 +65,16 @@ def test_vectors(frame, monkeypatch, block):
     assert all(got[k][0] <= want[k][0] for k in want)  # none below the threshold
 
 
+@pytest.mark.parametrize("block", [1, 2])
+def test_vectors_with_empty_blocks(frame, monkeypatch, block):
+    monkeypatch.setattr(pivots, "BLOCK", block)
+    r = np.random.default_rng(6)
+    rows = [(i, [1.0, *(r.normal(size=3) * 0.01).tolist()]) for i in range(6)]
+    got = {x.vec_id: (x.n_links, x.component_id, x.kept)
+           for x in pivots.near_duplicates(frame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == cosines(rows)
+
+
 def test_few_or_no_vectors(frame):
     few = [(1, [1.0, 0.0]), (2, [1.0, 0.01]), (3, [0.0, 1.0]), (None, [1.0, 0.0])]
     got = {x.vec_id: (x.n_links, x.component_id, x.kept)
@@ -147,6 +157,16 @@ def test_jaccard(frame, monkeypatch, block):
     assert got == brute(rows)
 
 
+def test_jaccard_with_fewer_classes_than_blocks(frame, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_GRAMS", 20)
+    rows = []
+    for k in range(8):  # groups of two and three near copies over some twenty blocks each
+        words = [f"g{k}w{i}" for i in range(150)]
+        rows += [(10 * k + j, " ".join(words[: 150 - j])) for j in range(2 + k % 2)]
+    got = {x.doc_id: (x.class_id, x.n_links, x.kept) for x in jaccard.jaccard_links(frame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows)
+
+
 def test_jaccard_edges(frame):
     rows = [(4, "same text here now yes", "x"), (4, "same text here now yes", "x"), (None, "same text here now yes", "x"), (9, None, "x")]
     got = sorted(jaccard.jaccard_links(frame(rows, "doc_id long, text string, class_id string")).collect(), key=str)
