@@ -4,8 +4,8 @@ A text becomes a row of tokens: words in lower case, and numbers, names (a capit
 of a sentence) and units (behind a number) with a mark of their type. Its **template** keeps the mark in place of the
 value, so a question whose numbers and names were changed has the template of the original. All windows of ``WINDOW``
 template tokens of the documents meet those of the benchmark in a hash join. A document repeats an item if windows of
-one alignment cover ``COVER`` of the item's, and the **slots** are consistent: each value of the item stands for one
-value of the document at all its places.
+one alignment cover ``COVER`` of the item's, and the **slots** in them are consistent: each value of the item stands for
+one value of the document at all its places. Every alignment of that cover is looked at, and one consistent is enough.
 
 The benchmark's windows are counted first and broadcast only up to ``BROADCAST_ROWS``; more are joined by a shuffle.
 Slots are compared for the found pairs only.
@@ -100,15 +100,15 @@ def contaminated(
     total = asked.groupBy("_item").agg(F.countDistinct("at").alias("asked"))
     few = asked.count() <= BROADCAST_ROWS
     hits = windows(docs, "_doc", "_text", window).join(F.broadcast(asked) if few else asked, "hash")
-    # the alignment that most windows agree on
-    lines = hits.groupBy("_doc", "_item", (F.col("place") - F.col("at")).alias("shift")).agg(
-        F.countDistinct("at").alias("found")
-    )
-    best = lines.groupBy("_doc", "_item").agg(F.max(F.struct("found", -F.col("shift"))).alias("b"))
-    best = best.select("_doc", "_item", F.col("b.found").alias("found"), (-F.col("b.col2")).alias("shift"))
-    pairs = stage(best.join(total, "_item").where(F.col("found") >= F.col("asked") * cover), "pairs")
-    slots = _slots(docs, bench, pairs, few)
-    out = pairs.join(slots, ["_doc", "_item"], "left").where("coalesce(consistent, true)")
+    # every alignment that enough windows agree on
+    lines = hits.groupBy("_doc", "_item", (F.col("place") - F.col("at")).alias("shift")).agg(F.collect_set("at").alias("ats"))
+    lines = lines.withColumn("found", F.size("ats")).join(total, "_item")
+    lines = stage(lines.where(F.col("found") >= F.col("asked") * cover), "pairs")
+    slots = _slots(docs, bench, lines, few, window)
+    fine = lines.join(slots, ["_doc", "_item", "shift"], "left").where("coalesce(consistent, true)")
+    # of the consistent ones that of most windows
+    best = F.struct("found", -F.col("shift"), "asked", "n_slots", "n_changed")
+    out = fine.groupBy("_doc", "_item").agg(F.max(best).alias("b")).select("_doc", "_item", "b.*")
     return out.select(
         F.col("_doc").alias(key), F.col("_item").alias(item_key), F.col("found").cast("long").alias("n_windows"),
         F.col("asked").cast("long").alias("n_asked"), F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"),
@@ -116,23 +116,41 @@ def contaminated(
     )
 
 
-def _slots(docs: DataFrame, bench: DataFrame, pairs: DataFrame, few: bool) -> DataFrame:
-    """(document, item): number of slots, changed ones, and whether every value of the item has one counterpart."""
+def _slots(docs: DataFrame, bench: DataFrame, pairs: DataFrame, few: bool, window: int) -> DataFrame:
+    """(document, item, shift): number of slots, changed ones, and whether every value of the item has one counterpart.
+
+    Only slots inside the windows that were found can speak against an alignment; those outside are counted too where
+    they agree with it.
+    """
     asked = bench.select("_item", F.posexplode(F.split(tokens("_text"), " ")).alias("at", "value"))
     asked = asked.where(F.col("value").rlike("^[\x02-\x04]")).withColumn("at", F.col("at") + 1).distinct()
-    wanted = pairs.select("_doc", "_item", "shift").join(F.broadcast(asked) if few else asked, "_item")
-    wanted = wanted.withColumn("place", F.col("at") + F.col("shift"))
+    wanted = pairs.select("_doc", "_item", "shift", "ats").join(F.broadcast(asked) if few else asked, "_item")
+    inside = F.exists("ats", lambda a: (a <= F.col("at")) & (F.col("at") < a + window))
+    wanted = wanted.withColumn("place", F.col("at") + F.col("shift")).withColumn("inside", inside).drop("ats")
     texts = docs.join(pairs.join(asked.select("_item").distinct(), "_item", "left_semi").select("_doc").distinct(), "_doc")
     there = texts.select("_doc", F.posexplode(F.split(tokens("_text"), " ")).alias("place", "other"))
     there = there.where(F.col("other").rlike("^[\x02-\x04]")).withColumn("place", F.col("place") + 1)
     met = wanted.join(there, ["_doc", "place"])
-    values = met.groupBy("_doc", "_item", "value").agg(
-        F.countDistinct("other").alias("others"), F.countDistinct("at").alias("n"),
-        F.countDistinct(F.when(F.col("other") != F.col("value"), F.col("at"))).alias("changed"),
+    place = F.struct("at", "other", "inside")
+    values = met.groupBy("_doc", "_item", "shift", "value").agg(F.collect_set(place).alias("m"))
+    others = lambda m: F.size(F.array_distinct(F.transform(m, lambda x: x["other"])))
+    count = lambda m: F.size(F.array_distinct(F.transform(m, lambda x: x["at"])))
+    changed = lambda m: count(F.filter(m, lambda x: x["other"] != F.col("value")))
+    near = F.filter("m", lambda x: x["inside"])
+    values = values.select("_doc", "_item", "shift", *[
+        c(m).alias(f"{name}{of}") for of, m in (("", F.col("m")), ("_in", near))
+        for name, c in (("others", others), ("n", count), ("changed", changed))
+    ])
+    sums = values.groupBy("_doc", "_item", "shift").agg(
+        F.max("others").alias("_o"), F.max("others_in").alias("_i"),
+        *[F.sum(c).alias(c) for c in ("n", "changed", "n_in", "changed_in")],
+    )
+    whole = F.col("_o") == 1
+    return sums.select(
+        "_doc", "_item", "shift", F.when(whole, F.col("n")).otherwise(F.col("n_in")).alias("n_slots"),
+        F.when(whole, F.col("changed")).otherwise(F.col("changed_in")).alias("n_changed"),
+        (F.col("_i") <= 1).alias("consistent"),
     )
-    return values.groupBy("_doc", "_item").agg(
-        F.max("others").alias("_o"), F.sum("n").alias("n_slots"), F.sum("changed").alias("n_changed")
-    ).select("_doc", "_item", "n_slots", "n_changed", (F.col("_o") == 1).alias("consistent"))
 
 
 def _sql_tokens(text: str) -> str:

@@ -180,6 +180,13 @@ def test_decontamination(frame):
     assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_any_consistent_alignment_counts(frame):
+    cut = ITEM[: ITEM.index("When")] + "When does the train of Peter and all his friends leave?"
+    docs = frame([(1, CASES[3] + " " + ITEM), (2, CASES[3]), (3, cut)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_slots, r.n_changed) for r in decontaminate.contaminated(docs, frame([(10, ITEM)], "item_id long, text string")).collect()}
+    assert set(got) == {1, 3} and got[1][1] == 0 and got[3][1] == 0
+
+
 def test_join_beyond_the_broadcast_bound(frame, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
     got = decontaminate.contaminated(frame([*CASES.items()], "doc_id long, text string"), frame([(10, ITEM)], "item_id long, text string"))
