@@ -10,7 +10,11 @@ one value of the document at all its places. Every alignment of that cover is lo
 The benchmark's windows are counted first and broadcast only up to ``BROADCAST_ROWS``; more are joined by a shuffle.
 Slots are compared for the found pairs only.
 
-Defined results: NULL and empty texts match nothing, nor do items of fewer than ``WINDOW`` tokens. Rows of documents
+Items without a window that holds ``WORDS`` words (those of fewer than ``WINDOW`` tokens, or dense in values) are found
+by their exact tokens, values included; they count as one window. The first window of an item is also looked for as it
+reads inside a sentence, where its first word would be a name.
+
+Defined results: NULL and empty texts match nothing, nor do items without a letter or digit. Rows of documents
 with one id are one document, NULL ids match nothing. Repeated items with one id count once; with a NULL id they
 match nothing.
 """
@@ -89,6 +93,42 @@ def _item_windows(items: DataFrame, key: str, text: str, window: int, words: int
     return told.select(key, F.col("place").alias("at"), F.xxhash64("part").alias("hash")).distinct()
 
 
+def _first_as_name(items: DataFrame, window: int, words: int) -> DataFrame:
+    """The first window of each item as it reads behind a plain word, where a capital makes a name of its first word."""
+    behind = items.withColumn("_text", F.concat(F.lit("a "), F.ltrim("_text")))
+    return _item_windows(behind, "_item", "_text", window, words).where("at = 2").withColumn("at", F.lit(1))
+
+
+def _plain(text: str) -> Column:
+    """Tokens without the marks of their types."""
+    return F.translate(tokens(text), "\x02\x03\x04", "")
+
+
+def _literal(docs: DataFrame, bench: DataFrame, window: int, words: int, few: bool) -> DataFrame | None:
+    """(document, item, slots) of items without a usable window: documents that hold all their tokens in a row."""
+    spaced = F.concat(template(tokens("_text")), F.lit(" "))
+    parts = F.regexp_extract_all(spaced, F.lit(f"(?<![^ ])(?=((?:[^ ]+ ){{{window}}}))"), F.lit(1))
+    marked = lambda p: F.size(F.filter(F.split(p, " "), lambda w: w.rlike("^[\x02-\x04]")))
+    usable = F.exists(parts, lambda p: window - marked(p) >= words)
+    rest = bench.where(~usable).select("_item", _plain("_text").alias("whole"), marked(tokens("_text")).alias("n_slots"))
+    rest = rest.where("whole <> ''").distinct().withColumn("k", F.least(F.size(F.split("whole", " ")), F.lit(window)))
+    begin = F.array_join(F.slice(F.split("whole", " "), F.lit(1), F.col("k")), " ")
+    rest = stage(rest.withColumn("hash", F.xxhash64(F.concat(begin, F.lit(" ")))), "short-items")
+    sizes = sorted(r.k for r in rest.select("k").distinct().collect())
+    if not sizes:
+        return None
+    plain = docs.select("_doc", F.concat(_plain("_text"), F.lit(" ")).alias("t"))
+    starts = [
+        plain.select("_doc", F.explode(F.array_distinct(F.regexp_extract_all(
+            "t", F.lit(f"(?<![^ ])(?=((?:[^ ]+ ){{{k}}}))"), F.lit(1)))).alias("part"))
+        .select("_doc", F.lit(k).alias("k"), F.xxhash64("part").alias("hash")) for k in sizes
+    ]
+    met = reduce(DataFrame.unionByName, starts).join(F.broadcast(rest) if few else rest, ["k", "hash"])
+    whole = met.select("_doc", "_item", "whole", "n_slots").distinct().join(plain, "_doc")
+    held = F.contains(F.concat(F.lit(" "), "t"), F.concat(F.lit(" "), "whole", F.lit(" ")))
+    return whole.where(held).groupBy("_doc", "_item").agg(F.max("n_slots").alias("n_slots"))
+
+
 def contaminated(
     documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
     item_text: str = "text", window: int = WINDOW, words: int = WORDS, cover: float = COVER,
@@ -99,16 +139,30 @@ def contaminated(
     asked = stage(_item_windows(bench, "_item", "_text", window, words), "item-windows")
     total = asked.groupBy("_item").agg(F.countDistinct("at").alias("asked"))
     few = asked.count() <= BROADCAST_ROWS
-    hits = windows(docs, "_doc", "_text", window).join(F.broadcast(asked) if few else asked, "hash")
+    both = asked.withColumn("other", F.lit(False))
+    other = _first_as_name(bench, window, words).join(asked.where("at = 1").select("_item"), "_item", "left_semi")
+    both = both.unionByName(other.withColumn("other", F.lit(True)))
+    hits = windows(docs, "_doc", "_text", window).join(F.broadcast(both) if few else both, "hash")
     # every alignment that enough windows agree on
-    lines = hits.groupBy("_doc", "_item", (F.col("place") - F.col("at")).alias("shift")).agg(F.collect_set("at").alias("ats"))
-    lines = lines.withColumn("found", F.size("ats")).join(total, "_item")
+    lines = hits.groupBy("_doc", "_item", (F.col("place") - F.col("at")).alias("shift")).agg(
+        F.collect_set("at").alias("ats"), F.collect_set(F.when(~F.col("other"), F.col("at"))).alias("own")
+    ).join(total, "_item")
+    # the other reading of the first word counts where the cover is not reached without it
+    enough = F.size("own") >= F.col("asked") * cover
+    lines = lines.withColumn("found", F.size(F.when(enough, F.col("own")).otherwise(F.col("ats")))).drop("own")
     lines = stage(lines.where(F.col("found") >= F.col("asked") * cover), "pairs")
     slots = _slots(docs, bench, lines, few, window)
     fine = lines.join(slots, ["_doc", "_item", "shift"], "left").where("coalesce(consistent, true)")
     # of the consistent ones that of most windows
     best = F.struct("found", -F.col("shift"), "asked", "n_slots", "n_changed")
     out = fine.groupBy("_doc", "_item").agg(F.max(best).alias("b")).select("_doc", "_item", "b.*")
+    out = out.select("_doc", "_item", "found", "asked", "n_slots", "n_changed")
+    literal = _literal(docs, bench, window, words, few)
+    if literal is not None:  # an item id may have a text of either kind
+        literal = literal.join(out, ["_doc", "_item"], "left_anti").select(
+            "_doc", "_item", F.lit(1).alias("found"), F.lit(1).alias("asked"), "n_slots", F.lit(0).alias("n_changed")
+        )
+        out = out.unionByName(literal)
     return out.select(
         F.col("_doc").alias(key), F.col("_item").alias(item_key), F.col("found").cast("long").alias("n_windows"),
         F.col("asked").cast("long").alias("n_asked"), F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"),

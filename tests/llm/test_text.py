@@ -187,6 +187,18 @@ def test_any_consistent_alignment_counts(frame):
     assert set(got) == {1, 3} and got[1][1] == 0 and got[3][1] == 0
 
 
+def test_every_item_is_searched(frame):
+    dense, short = "Compute 12 + 34 * 56 - 78 / 9 + 10 * 11 - 12 now please", "What is 7 times 8?"
+    eight = "Find the largest prime below one hundred please"
+    items = frame([(1, dense), (2, short), (3, eight), (4, "?!"), (5, "Never there")], "item_id long, text string")
+    docs = frame([
+        (1, "Well, " + dense + " and more."), (2, dense.replace("34", "35")), (3, "he asked, " + short), (4, short.replace("7", "6")),
+        (5, "so they said, " + eight), (6, "so they said: " + eight), (7, None), (8, "somewhat is 7 times 8 or so"),
+    ], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()}
+    assert got == {(1, 1), (3, 2), (5, 3), (6, 3)}
+
+
 def test_join_beyond_the_broadcast_bound(frame, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
     got = decontaminate.contaminated(frame([*CASES.items()], "doc_id long, text string"), frame([(10, ITEM)], "item_id long, text string"))
