@@ -2,14 +2,14 @@
 
 A text is lower-cased (A-Z only) and cut into words of digits, letters and characters beyond ASCII; one Aho-Corasick
 pass over the joined words finds every place of every phrase, whatever its length or overlap. Where a tag such as
-``SPDX-License-Identifier:`` occurs, the rest of its line is read as an expression: WITH binds before AND, AND before
-OR, parentheses group. Identifiers have a strictness from 0 (public domain) to 1 (no rights given); AND takes the
+``SPDX-License-Identifier:`` occurs, the longest expression that follows on its line is read, of any length: WITH binds
+before AND, AND before OR, parentheses group. Identifiers have a strictness from 0 (public domain) to 1 (no rights given); AND takes the
 strictest part, OR the loosest (the user may choose), WITH keeps that of the licence.
 
 A document's score is the strictest of its findings, 0 without any.
 
-Defined results: NULL and empty texts have no words, empty label strings and score 0; an expression that does not parse
-yields the label ``unparsed``; unknown identifiers are labels of their own with strictness 0.5.
+Defined results: NULL and empty texts have no words, empty label strings and score 0; a tag that no expression
+follows yields the label ``unparsed``; unknown identifiers are labels of their own with strictness 0.5.
 """
 
 from __future__ import annotations
@@ -64,11 +64,9 @@ STRICTNESS = {
     "cc-by-nc-nd": 0.9, "reserved": 1.0, "proprietary": 1.0,
 }
 UNKNOWN = 0.5
-#: Characters of a line that may belong to an expression; a longer one is no expression.
-LONGEST = 1000
 
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-_PART = re.compile(r"\s*([()]|[A-Za-z0-9.+:\-]+)")
+_PART = re.compile(r"[^\S\r\n]*([()]|(?:(?!-->)[A-Za-z0-9.+:\-])+)")
 _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
 
@@ -81,69 +79,91 @@ def strictness(identifier: str) -> float:
     return UNKNOWN
 
 
-def parse(text: str) -> list[str] | None:
-    """An expression in reverse Polish order, lower case; None where it is none."""
-    out: list[str] = []
-    waiting: list[str] = []
-    at, operand = 0, True  # operand: an identifier or "(" must follow
-    while at < len(text):
-        match = _PART.match(text, at)
-        if match is None:
-            if text[at:].strip():
-                return None
-            break
+def prefix(text: str, at: int = 0) -> tuple[list[str] | None, int]:
+    """The longest expression that begins at ``at`` in reverse Polish order, lower case, and its end; None where none does.
+
+    It never goes beyond a line, a comment end or a full stop behind a word.
+    """
+    parts: list[str] = []
+    whole, end = 0, at  # parts of the longest expression so far, and where it ends
+    depth, operand = 0, True  # operand: an identifier or "(" must follow
+    while match := _PART.match(text, at):
         part = match[1].lower()
         at = match.end()
+        name = part.rstrip(".") if part not in "()" else part
+        if name in _PRECEDENCE or part == ")":
+            if operand or part == ")" and not depth:
+                break
+            depth -= part == ")"
+            operand = part != ")"
+        elif not operand or not name:
+            break
+        elif part == "(":
+            depth += 1
+        else:
+            operand = False
+        parts.append(name)
+        if not operand and not depth:
+            whole, end = len(parts), at - (len(part) - len(name))
+        if name != part:
+            break
+    return (_polish(parts[:whole]) if whole else None), end
+
+
+def _polish(parts: list[str]) -> list[str]:
+    out: list[str] = []
+    waiting: list[str] = []
+    for part in parts:
         if part in _PRECEDENCE:
-            if operand:
-                return None
             while waiting and waiting[-1] != "(" and _PRECEDENCE[waiting[-1]] >= _PRECEDENCE[part]:
                 out.append(waiting.pop())
             waiting.append(part)
-            operand = True
         elif part == "(":
-            if not operand:
-                return None
             waiting.append(part)
         elif part == ")":
-            if operand:
-                return None
-            while waiting and waiting[-1] != "(":
+            while waiting[-1] != "(":
                 out.append(waiting.pop())
-            if not waiting:
-                return None
             waiting.pop()
         else:
-            if not operand:
-                return None
             out.append(part)
-            operand = False
-    if operand or "(" in waiting:
-        return None
     return out + waiting[::-1]
 
 
+def parse(text: str) -> list[str] | None:
+    """An expression in reverse Polish order, lower case; None where the text is not one as a whole."""
+    rpn, end = prefix(text)
+    return None if text[end:].strip() else rpn
+
+
 def evaluate(rpn: list[str]) -> tuple[float, list[str]]:
     """Strictness of a parsed expression, and the licences in it (what follows WITH is no licence)."""
-    stack: list[tuple[float, list[str]]] = []
+    names: list[str] = []
+    stack: list[tuple[float, int]] = []  # strictness, and where its licences begin among the names
     for part in rpn:
         if part not in _PRECEDENCE:
-            stack.append((strictness(part), [part]))
+            stack.append((strictness(part), len(names)))
+            names.append(part)
             continue
-        right, left = stack.pop(), stack.pop()
+        (right, at), (left, start) = stack.pop(), stack.pop()
         if part == "with":
-            stack.append(left)
+            del names[at:]
+            stack.append((left, start))
         else:
-            stack.append(((max if part == "and" else min)(left[0], right[0]), left[1] + right[1]))
-    return stack[0]
+            stack.append(((max if part == "and" else min)(left, right), start))
+    return stack[0][0], names
 
 
-def expressions(text: str, tag: str) -> list[str]:
-    """The rest of each line behind ``tag``, without comment ends."""
+def expressions(text: str, tag: str) -> list[tuple[str, list[str] | None]]:
+    """The expression behind each ``tag`` as it stands and parsed; where none is, the rest of the line and None."""
     out = []
-    for match in re.finditer(re.escape(tag) + r"[ \t]*([^\r\n]*)", text, re.IGNORECASE | re.ASCII):
-        line = re.sub(r"(\*/|-->|\*\)|#\}).*$", "", match[1]).strip().strip("\"';,").rstrip(".").strip()
-        out.append(line)
+    tags = list(re.finditer(re.escape(tag) + r"[ \t\"';,]*", text, re.IGNORECASE | re.ASCII))
+    for match, after in zip(tags, [*tags[1:], None], strict=True):
+        rpn, end = prefix(text, match.end())
+        line = text[match.end() : end]
+        if rpn is None:  # up to the next tag
+            line = re.match(r"[^\r\n]*", text[match.end() : after.start() if after else len(text)])[0]
+            line = re.sub(r"(\*/|-->|\*\)|#\}).*$", "", line).strip().strip("\"';,").rstrip(".")
+        out.append((line.strip(), rpn))
     return out
 
 
@@ -185,8 +205,7 @@ def scan(data: bytes) -> dict:
     if tags:
         text = data.decode("utf-8", "replace")
         for tag in sorted(tags):
-            for line in expressions(text, tag):
-                rpn = parse(line) if len(line) <= LONGEST else None
+            for line, rpn in expressions(text, tag):
                 value, names = evaluate(rpn) if rpn else (UNKNOWN, ["unparsed"])
                 found.append(line)
                 labels.update(names)

@@ -44,6 +44,18 @@ def test_expressions():
     assert s["labels"] == "mit,unparsed,zlib" and s["score"] == licenses.UNKNOWN
 
 
+def test_expressions_of_any_length_and_with_text_behind():
+    names = [f"Lib-{i}" for i in range(30_000)] + ["GPL-3.0"]
+    s = licenses.scan(("license-expression: " + " AND ".join(names)).encode())
+    assert set(s["labels"].split(",")) == {n.lower() for n in names} and s["score"] == 0.7
+    s = licenses.scan(b"x SPDX-License-Identifier: MIT Copyright 2020 A. SPDX-License-Identifier: (ISC OR Zlib) AND more. Text")
+    assert s["labels"] == "isc,mit,more,zlib" and s["expressions"] == ["MIT", "(ISC OR Zlib) AND more"]
+    for text, labels in ((b"<!-- SPDX-License-Identifier: MIT-->", "mit"), (b"SPDX-License-Identifier: MIT. Or not", "mit"),
+                         (b"SPDX-License-Identifier:\nMIT", "unparsed"), (b"SPDX-License-Identifier: MIT AND !", "mit"),
+                         (b'"SPDX-License-Identifier: GPL-2.0 WITH x", y', "gpl-2.0")):
+        assert licenses.scan(text)["labels"] == labels
+
+
 def test_license_scan(frame):
     docs = frame([(1, "All rights reserved. CC BY, cc by", 1.0), (2, None, None), (3, "", None)], "doc_id long, text string, Score double")
     got = {r.doc_id: r for r in licenses.license_scan(docs).collect()}
