@@ -27,7 +27,7 @@ def texts(spark, data):
 
 def test_every_operator_is_registered():
     names = {n.split("_")[0] for n in QUERIES}
-    assert names == {f"op{n}" for n in range(1, 13)}
+    assert names == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality", "near_copies", "decontamination", "encoding"]
 
