@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ from binledger.functions.money import (
     yards_per_month,
 )
 from binledger.functions.text import base36, clean_email, email_reject_reason, postal_parts
+from binledger.operators.audit import StageAudit, left_after, watched
 from binledger.operators.grouping import any_flag, arg_max, at_most_sites, latest_row, month_columns, strict_sum, wide_flags
 from binledger.operators.joins import drop_listed, if_small
 from binledger.operators.ranking import ntile, percentile_rank, row_ids
@@ -166,19 +168,28 @@ def eligible_containers(
     )
 
 
-def account_profile(revenue: DataFrame, open_after: dt.date, site_limit: int = 3, excluded_district: str = "91") -> DataFrame:
+def account_profile(
+    revenue: DataFrame,
+    open_after: dt.date,
+    site_limit: int = 3,
+    excluded_district: str = "91",
+    audit: StageAudit | None = None,
+) -> DataFrame:
     """Everything the campaign asks of an account's eligible containers, in one grouping per site and one per account.
 
     Equal to ``account_revenue``, ``waste_category`` and ``account_frequency`` over ``eligible_containers``, without
     computing the containers again for each: what is not eligible is left out of the sums but still counts as a site.
+    An ``audit`` gets the containers left after each rule.
     """
-    ok = (
-        (F.col("pickup_lifts") != 0)
-        & (F.col("pickup_length") != 0)
-        & (F.col("pickup_unit") != "UNKNOWN")
-        & (F.col("close_dt") > F.lit(open_after))
-        & (F.col("revenue_per_bill") > 0)
-    )
+    rules = {
+        "pickups_known": (F.col("pickup_lifts") != 0) & (F.col("pickup_length") != 0) & (F.col("pickup_unit") != "UNKNOWN"),
+        "open": F.col("close_dt") > F.lit(open_after),
+        "earning": F.col("revenue_per_bill") > 0,
+    }
+    ok = reduce(lambda a, b: a & b, rules.values())
+    in_district = F.col("district_cd") != excluded_district
+    revenue = watched(audit, revenue, {"priced": F.count(F.lit(1)), "district": F.count(F.when(in_district, 1))})
+    counted = {"few_sites": F.count(F.lit(1)), **left_after(rules)} if audit else {}
     stream = waste_stream(F.col("container_cd"))
     kept = {
         "lifts_per_week": (F.sum, lifts_per_week(F.col("pickup_lifts"), F.col("pickup_length"))),
@@ -189,12 +200,17 @@ def account_profile(revenue: DataFrame, open_after: dt.date, site_limit: int = 3
         "close_dt": (F.max, F.col("close_dt")),
         **{s: (F.max, F.when(stream == s, s)) for s in ("SW", "RCY", "YW")},
     }
-    sites = revenue.where(F.col("district_cd") != excluded_district).groupBy(*ACCOUNT, "site_nbr").agg(
-        F.count(F.when(ok, 1)).alias("__n"), *[f(F.when(ok, c)).alias(name) for name, (f, c) in kept.items()]
+    sites = revenue.where(in_district).groupBy(*ACCOUNT, "site_nbr").agg(
+        F.count(F.when(ok, 1)).alias("__n"),
+        *[f(F.when(ok, c)).alias(name) for name, (f, c) in kept.items()],
+        *[c.alias(f"__{step}") for step, c in counted.items()],
     )
     accounts = sites.groupBy(*ACCOUNT).agg(
-        F.count(F.lit(1)).alias("__sites"), F.sum("__n").alias("__n"), *[f(name).alias(name) for name, (f, _) in kept.items()]
+        F.count(F.lit(1)).alias("__sites"), F.sum("__n").alias("__n"), *[f(name).alias(name) for name, (f, _) in kept.items()],
+        *[F.sum(f"__{step}").alias(f"__{step}") for step in counted],
     )
+    small = F.col("__sites") <= site_limit
+    accounts = watched(audit, accounts, {s: F.coalesce(F.sum(F.when(small, F.col(f"__{s}"))), F.lit(0)) for s in counted})
     few = accounts.where((F.col("__sites") <= site_limit) & (F.col("__n") > 0))
     out = few.withColumns(
         {
@@ -202,7 +218,7 @@ def account_profile(revenue: DataFrame, open_after: dt.date, site_limit: int = 3
             "base_rev_per_lift": revenue_per_lift(F.col("base_revenue").cast("double"), F.col("lifts_per_week")),
         }
     )
-    return out.drop("__sites", "__n", "SW", "RCY", "YW")
+    return out.drop("__sites", "__n", "SW", "RCY", "YW", *[f"__{step}" for step in counted])
 
 
 def account_frequency(containers: DataFrame) -> DataFrame:
@@ -350,20 +366,32 @@ def retention_campaign(
     min_tenure_months: float = 18,
     thresholds=ASSIGN_DEFAULT,
     increases: Mapping[str, Decimal] = LADDER_DEFAULT,
+    audit: StageAudit | None = None,
 ) -> DataFrame:
-    """From ``account_profile`` to one priced row per account; the frequency is that of the account number's largest site."""
+    """From ``account_profile`` to one priced row per account; the frequency is that of the account number's largest site.
+
+    An ``audit`` gets the accounts left after each rule; its counts are whole when this returns.
+    """
     # the profile feeds the account rows and the frequencies, and ranking samples its input: written once
     profile = stage(profile, "profile")
     largest = profile.groupBy("acct_nbr").agg(F.max("rcf").alias("rcf"))
     scored = profile.drop("rcf", "yards").join(largest, "acct_nbr")
     known = scored.join(accounts.select(*ACCOUNT, "acct_open_dt"), ACCOUNT)
-    tenured = with_tenure(known, as_of).where(F.col("tenure_months") > min_tenure_months)
+    long_enough = F.col("tenure_months") > min_tenure_months
+    aged = watched(audit, with_tenure(known, as_of), {"accounts": F.count(F.lit(1)), "tenure": F.count(F.when(long_enough, 1))})
+    tenured = aged.where(long_enough)
     loaded = load_account_fees(tenured, fee_flags_wide(account_fees, as_of), division_rates)
     per_lift = revenue_per_lift(F.col("revenue").cast("double"), F.col("lifts_per_week"))
-    profitable = with_profitability(loaded.withColumn("rev_per_lift", per_lift), unit_costs).where(
-        (F.col("revenue_per_bill") > 0) & (F.col("profitability") > 0)
-    )
-    kept = with_strata(profitable).where(~F.col("waste_category").isin(*YARD_WASTE_MIXES))
+    scored = with_profitability(loaded.withColumn("rev_per_lift", per_lift), unit_costs)
+    rules = {
+        "revenue": F.col("revenue_per_bill") > 0,
+        "profit": F.col("profitability") > 0,
+        "no_yard_waste": ~F.col("waste_category").isin(*YARD_WASTE_MIXES),
+    }
+    scored = watched(audit, scored, left_after(rules))
+    # written before it is ranked, as ranking samples its input
+    profitable = stage(scored.where(rules["revenue"] & rules["profit"]), "profitable")
+    kept = with_strata(profitable).where(rules["no_yard_waste"])
     return price_ladder(assign_treatment(kept, salt, thresholds=thresholds), increases)
 
 
