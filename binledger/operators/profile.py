@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from binledger.functions.text import occurrences
-from binledger.operators.ranking import quantiles
+from binledger.operators.selection import quantiles
 
 
 def _long(df: DataFrame, per_column: dict[str, dict[str, str]]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Exact ranks and quantiles over groups of any size.
+"""Exact ranks over groups of any size.
 
 An unpartitioned window, or one over a group holding a third of all rows, sorts in a single task.
 Here rows are range-partitioned on (group, order), numbered inside their range, and shifted by the
@@ -113,26 +113,3 @@ def group_index(df: DataFrame, keys: Sequence[str], groups: Sequence[str] = (),
     numbered = numbered.withColumn(name, F.col(name) + 1).withColumnsRenamed({c: f"__k_{c}" for c in [*groups, *keys]})
     match = [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in [*groups, *keys]]
     return df.join(if_small(numbered), match).drop(*[f"__k_{c}" for c in [*groups, *keys]])
-
-
-def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Exact interpolated quantiles of several numeric columns: column_name, prob, value.
-
-    Equal values are counted before they are sorted.
-    """
-    melted = df.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns]))
-    ).where(F.col("value").isNotNull())
-    counted = melted.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("copies"))
-    placed = with_position(counted, [F.col("value").asc()], ["column_name"], "first", "rows", weight="copies")
-    aimed = placed.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-    target = F.col("prob") * (F.col("rows") - 1)
-    low, high = F.floor(target), F.ceil(target)
-    holds = lambda at: (F.col("first") <= at) & (at < F.col("first") + F.col("copies"))
-    hits = aimed.where(holds(low) | holds(high)).withColumn("part", target - low)
-    ends = hits.groupBy("column_name", "prob").agg(
-        F.max(F.when(holds(low), F.col("value"))).alias("lo"),
-        F.max(F.when(holds(high), F.col("value"))).alias("hi"),
-        F.max("part").alias("part"),
-    )
-    return ends.select("column_name", "prob", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias("value"))

@@ -61,21 +61,10 @@ def _shared_aggregates() -> list[Column]:
     ]
 
 
-def invoice_monthly(
-    invoices: DataFrame,
-    accounts: DataFrame,
-    containers: DataFrame,
-    charge_codes: DataFrame,
-    hierarchy: DataFrame,
-    rates: DataFrame,
-    contract_fees: DataFrame,
-    after_month: int = 201600,
-) -> DataFrame:
-    """Invoice lines rolled up to the grain, with one sum per charge code.
-
-    Lines are summed per surrogate key first, so that the wide dimensions meet one row per container
-    and month instead of every line. Sums run on whole units of the declared decimals.
-    """
+def _invoice_keys(
+    invoices: DataFrame, charge_codes: DataFrame, rates: DataFrame, after_month: int
+) -> tuple[DataFrame, dict[str, int]]:
+    """Invoice lines summed per month and surrogate keys, in whole units; and each measure's scale."""
     codes = charge_codes.where(code_in(F.col("charge_cd"), INVOICE_CODES))
     lines = (
         live_rows(invoices)
@@ -97,12 +86,33 @@ def invoice_monthly(
     measures |= {f"{c.lower()}_rev": "revenue_amt" for c in INVOICE_CODES}
     measures |= {f"{c.lower()}_rate": "rate_amt" for c in EXTRA_CODES}
     measures |= {f"{c.lower()}_qty_bill_inv": "qty_billed" for c in EXTRA_CODES}
-
     per_key = lines.groupBy("revenue_period", *_SKEYS).agg(*sums)
+    return per_key, {m: scale[source] for m, source in measures.items()}
+
+
+def _current_fees(contract_fees: DataFrame) -> DataFrame:
+    return if_small(current_rows(contract_fees).drop("is_current", "eff_dt", "disc_dt"))
+
+
+def invoice_monthly(
+    invoices: DataFrame,
+    accounts: DataFrame,
+    containers: DataFrame,
+    charge_codes: DataFrame,
+    hierarchy: DataFrame,
+    rates: DataFrame,
+    contract_fees: DataFrame,
+    after_month: int = 201600,
+) -> DataFrame:
+    """Invoice lines rolled up to the grain, with one sum per charge code.
+
+    Lines are summed per surrogate key first, so that the wide dimensions meet one row per container
+    and month instead of every line. Sums run on whole units of the declared decimals.
+    """
+    per_key, measures = _invoice_keys(invoices, charge_codes, rates, after_month)
     for key, dim in _dim_facts(containers, accounts, hierarchy).items():
         per_key = per_key.join(dim, key)
-    fees = if_small(current_rows(contract_fees).drop("is_current", "eff_dt", "disc_dt"))
-    loaded = per_key.join(fees, ["div_nbr", "contract_nbr", "contract_grp_nbr"], "left")
+    loaded = per_key.join(_current_fees(contract_fees), ["div_nbr", "contract_nbr", "contract_grp_nbr"], "left")
 
     grouped = loaded.groupBy(F.col("revenue_period").alias("month_dt"), *GRAIN[1:]).agg(
         *_shared_aggregates(),
@@ -111,7 +121,7 @@ def invoice_monthly(
         any_flag(F.col("is_erf_locked") == 1).alias("is_erf_locked"),
         any_flag(F.col("is_frf_locked") == 1).alias("is_frf_locked"),
         any_flag(F.col("is_erf_on_frf") == 1).alias("is_erf_on_frf"),
-        *[from_units(F.sum(m), scale[source]).alias(m) for m, source in measures.items()],
+        *[from_units(F.sum(m), scale).alias(m) for m, scale in measures.items()],
     )
     in_month = lambda name: F.when(F.col(name) == F.col("month_dt"), 1).otherwise(0)
     return grouped.withColumns(
@@ -124,15 +134,8 @@ def invoice_monthly(
     )
 
 
-def service_monthly(
-    services: DataFrame,
-    accounts: DataFrame,
-    containers: DataFrame,
-    service_codes: DataFrame,
-    hierarchy: DataFrame,
-    from_day: int = 20160101,
-) -> DataFrame:
-    """Service events rolled up to the grain. ``open_container`` holds only when it does in every row."""
+def _service_keys(services: DataFrame, service_codes: DataFrame, from_day: int) -> DataFrame:
+    """Service events counted per month and surrogate keys."""
     codes = service_codes.where(code_in(F.col("service_cd"), EXTRA_CODES))
     events = (
         live_rows(services, ("is_deleted", "is_updated"))
@@ -141,9 +144,21 @@ def service_monthly(
         .withColumn("month_dt", month_of_day_key(F.col("service_day")))
     )
     counted = events.withColumnRenamed("container_cnt", "served")
-    per_key = counted.groupBy("month_dt", *_SKEYS).agg(
+    return counted.groupBy("month_dt", *_SKEYS).agg(
         *sums_by_code(F.col("service_cd"), EXTRA_CODES, F.col("served"), "cnt_srvc")
     )
+
+
+def service_monthly(
+    services: DataFrame,
+    accounts: DataFrame,
+    containers: DataFrame,
+    service_codes: DataFrame,
+    hierarchy: DataFrame,
+    from_day: int = 20160101,
+) -> DataFrame:
+    """Service events rolled up to the grain. ``open_container`` holds only when it does in every row."""
+    per_key = _service_keys(services, service_codes, from_day)
     for key, dim in _dim_facts(containers, accounts, hierarchy).items():
         per_key = per_key.join(dim, key)
     month = F.col("month_dt")
@@ -206,8 +221,8 @@ def monthly_rate_snapshot(
         & consistent_validity(eff, cld)
     )
     scale = decimal_scale(charges, "charge_rate")
-    # equal charges of a container are summed before they meet their dimensions
-    lines = lines.groupBy(*natural, F.upper("charge_code").alias("charge_code"), "effective_date", "close_date").agg(
+    # equal charges of a container are summed before they meet their dimensions, where these join them
+    lines = lines.repartition(*natural).groupBy(*natural, F.upper("charge_code").alias("charge_code"), "effective_date", "close_date").agg(
         F.sum(as_units(F.col("charge_rate"), scale)).alias("charge_rate")
     )
 
@@ -322,6 +337,87 @@ def with_rates(inv_srvc: DataFrame, snapshot: DataFrame) -> DataFrame:
     )
 
 
+def three_facts(
+    invoices: DataFrame,
+    services: DataFrame,
+    snapshot: DataFrame,
+    accounts: DataFrame,
+    containers: DataFrame,
+    charge_codes: DataFrame,
+    service_codes: DataFrame,
+    hierarchy: DataFrame,
+    rates: DataFrame,
+    contract_fees: DataFrame,
+    after_month: int = 201600,
+    from_day: int = 20160101,
+) -> DataFrame:
+    """What ``with_rates(invoice_and_service(...), snapshot)`` gives, by one aggregation in place of two full joins.
+
+    Invoice and service lines are summed per surrogate key, meet the same dimensions, and stand with the rows of the
+    snapshot in one table; a tag says whose they are. One grouping at the grain takes every column per tag, and of the
+    tags' values the first that is not NULL. A grain the snapshot holds several times keeps its rows: they are collected
+    per grain, of which there are as many as a container has sets of fees in a month.
+    """
+    dims = _dim_facts(containers, accounts, hierarchy)
+
+    def placed(per_key: DataFrame) -> DataFrame:
+        for key, dim in dims.items():
+            per_key = per_key.join(dim, key)
+        return per_key.drop(*_SKEYS)
+
+    inv_keys, measures = _invoice_keys(invoices, charge_codes, rates, after_month)
+    inv = placed(inv_keys.withColumnRenamed("revenue_period", "month_dt"))
+    inv = inv.join(_current_fees(contract_fees), ["div_nbr", "contract_nbr", "contract_grp_nbr"], "left")
+    srv = placed(_service_keys(services, service_codes, from_day))
+    rate_columns = [c for c in snapshot.columns if c not in GRAIN]
+    rate = snapshot.select(*GRAIN, F.struct(*rate_columns).alias("rated"))
+    tag = lambda df, name: df.drop("contract_nbr", "contract_grp_nbr").withColumn("tag", F.lit(name))
+    rows = tag(inv, "I").unionByName(tag(srv, "S"), True).unionByName(tag(rate, "R"), True)
+
+    month = F.col("month_dt")
+    of = lambda name, value: F.when(F.col("tag") == name, value)
+    flag = lambda name, condition: F.max(of(name, F.when(condition, 1).otherwise(0)))
+    grouped: dict[str, Column] = {}
+    for t in ("I", "S"):
+        grouped |= {
+            f"{t}_is_franchise": flag(t, F.col("is_franchise") == 1),
+            f"{t}_is_national_account": flag(t, F.col("is_national_account") == 1),
+            **{f"{t}_{c}": F.max(of(t, F.col(c))) for c in ("container_cnt", "container_size")},
+            **{f"{t}_{c}": F.min(of(t, F.col(c))) for c in ("cont_close_mo", "cont_start_mo", "act_close_mo", "act_open_mo")},
+        }
+    grouped |= {
+        "S_new_acct": flag("S", F.col("act_open_mo") == month),
+        "S_lost_acct": flag("S", F.col("act_close_mo") == month),
+        "S_closed_container": flag("S", F.col("cont_close_mo") == month),
+        "S_open_container": F.min(of("S", F.when(F.col("cont_start_mo") == month, 1).otherwise(0))),
+        **{f"I_{c}": F.max(of("I", F.col(c))) for c in ("erf_rate_pct", "frf_rate_pct")},
+        **{f"I_{c}": flag("I", F.col(c) == 1) for c in ("is_erf_locked", "is_frf_locked", "is_erf_on_frf")},
+        **{m: from_units(F.sum(of("I", F.col(m))), scale) for m, scale in measures.items()},
+        **{m: F.sum(of("S", F.col(m))) for m in _SERVICE_ONLY},
+        "has_inv": F.max(F.col("tag") == "I"),
+        "rated": F.collect_list("rated"),
+    }
+    whole = rows.groupBy(*GRAIN).agg(*[c.alias(name) for name, c in grouped.items()])
+    in_month = lambda name: F.when(F.col("has_inv"), F.when(F.col(name) == month, 1).otherwise(0))
+    whole = whole.withColumns(
+        {
+            "I_new_acct": in_month("I_act_open_mo"),
+            "I_lost_acct": in_month("I_act_close_mo"),
+            "I_closed_container": in_month("I_cont_close_mo"),
+            "I_open_container": in_month("I_cont_start_mo"),
+            "rated": F.explode_outer("rated"),
+        }
+    )
+    r = lambda c: F.col(f"rated.{c}")
+    first = {c: F.coalesce(f"I_{c}", f"S_{c}") for c in _EITHER_SIDE}
+    out = {c: F.coalesce(first[c], r(c)) for c in ("is_franchise", "is_national_account", "container_cnt")}
+    out |= {c: F.coalesce(f"I_{c}", r(c)) for c in _FEE_COLUMNS}
+    out |= {c: F.coalesce(r(c), first[c]) for c in _RATE_FIRST}
+    out |= {c: F.coalesce(c, F.lit(0)) for c in [*_INVOICE_ONLY, *_SERVICE_ONLY]}
+    out |= {c: F.coalesce(r(c), F.lit(0)) for c in _RATE_ONLY}
+    return whole.select(*GRAIN, *[c.alias(name) for name, c in out.items()])
+
+
 def account_fee_flags(account_fees: DataFrame) -> DataFrame:
     """Per account: is the FRF / the ERF charged."""
     charged = (F.col("is_fee_charged") == 1) & (F.col("is_acct_fee_enabled") == 1)
@@ -388,7 +484,12 @@ def final_container_table(
 
     Rows without a division fee or outside the reported hierarchy are left out (see ``dropped_rows``).
     """
-    priced = fee_rates(with_rates(inv_srvc, snapshot), account_fees, division_fees)
+    return final_of(with_rates(inv_srvc, snapshot), account_fees, division_fees, hierarchy)
+
+
+def final_of(rows: DataFrame, account_fees: DataFrame, division_fees: DataFrame, hierarchy: DataFrame) -> DataFrame:
+    """``final_container_table`` from rows of the three facts, however they were brought together."""
+    priced = fee_rates(rows, account_fees, division_fees)
     multiplier = fee_multiplier(F.col("is_erf_on_frf"), F.col("frf_rate"), F.col("erf_rate"))
     placed = priced.join(if_small(hierarchy_distinct(hierarchy)), ["cur_div_nbr", "div_nbr"]).withColumn("fee_factor", multiplier)
     factor = F.col("fee_factor")

@@ -13,7 +13,7 @@ from binledger.operators.rows import live_rows
 from binledger.plans import container as job
 from binledger.registry.base import query
 from binledger.registry.standin_sql import bigints, doubles, pad, with_tables, ym
-from binledger.sources.retail import FIRST_MONTH, LAST_MONTH, Retail
+from binledger.sources.retail import FIRST_MONTH, LAST_MONTH, LaidOutRetail, Retail
 
 AFTER_MONTH, FROM_DAY = 199500, 19950101
 
@@ -108,7 +108,12 @@ def snapshot(r: Retail):
 
 
 def final_table(r: Retail):
-    return job.final_container_table(inv_srvc(r), snapshot(r), r.dim_acct_fee, r.dim_division_fee, r.dim_corp_hier)
+    r = LaidOutRetail(r.spark, r.folder)
+    rows = job.three_facts(
+        r.invoice_detail, r.service_detail, snapshot(r), r.dim_acct, r.dim_container_grp, r.dim_charge_cd, r.dim_service_cd,
+        r.dim_corp_hier, r.dim_rate_hist, r.dim_contract_fee, AFTER_MONTH, FROM_DAY,
+    )
+    return job.final_of(rows, r.dim_acct_fee, r.dim_division_fee, r.dim_corp_hier)
 
 
 @query(

@@ -6,6 +6,7 @@ import atexit
 import os
 import shutil
 import tempfile
+from collections.abc import Sequence
 from functools import lru_cache
 from uuid import uuid4
 
@@ -84,10 +85,34 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_TABLES: list[str] = []
+
+
+def stage_bucketed(
+    df: DataFrame, label: str, keys: Sequence[str], buckets: int | None = None, arranged: bool = False
+) -> DataFrame:
+    """Write ``df`` once in buckets of ``keys``, sorted inside, and continue from the table.
+
+    Spark knows the layout: joins of tables with as many buckets of the same keys, and groupings by these keys and any
+    more, need no exchange. The default number is that of the shuffle partitions. ``arranged`` says that ``df`` is
+    already distributed by the keys, by a join on them for instance, so that it is written without another exchange.
+    """
+    spark = df.sparkSession
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = new_stage_path(spark, label)
+    name = f"staged_{uuid4().hex}"
+    spread = df if arranged else df.repartition(count, *keys)
+    spread.write.bucketBy(count, *keys).sortBy(*keys).format("parquet").option("path", path).saveAsTable(name)
+    _TABLES.append(name)
+    return spark.table(name)
+
+
 def clear_stage(spark: SparkSession) -> int:
     """Delete what this process has staged, once its results are written; returns the number of folders."""
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     gone = 0
+    while _TABLES:
+        spark.sql(f"drop table if exists {_TABLES.pop()}")
     while _STAGED:
         path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
         gone += path.getFileSystem(conf).delete(path, True)

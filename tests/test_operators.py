@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from binledger.operators import grouping, joins, profile, ranking, rows
+from binledger.operators import grouping, joins, profile, ranking, rows, selection
 from binledger.plans import pricing
 from binledger.sources import files
 
@@ -65,7 +65,7 @@ def test_group_index_is_a_dense_rank(spark):
 
 def test_quantiles_match_interpolation(spark):
     df, data = skewed(spark)
-    got = {(r.column_name, r.prob): r.value for r in ranking.quantiles(df, ["score", "id"], [0.0, 0.25, 0.5, 1.0]).collect()}
+    got = {(r.column_name, r.prob): r.value for r in selection.quantiles(df, ["score", "id"], [0.0, 0.25, 0.5, 1.0]).collect()}
     for name, at in (("score", 2), ("id", 0)):
         ordered = sorted(r[at] for r in data)
         for p in (0.0, 0.25, 0.5, 1.0):
