@@ -48,8 +48,8 @@ NEAREST = 20
 TREES, DEEPEST, LEAF, PER_LEAF = (4, 8), 14, 256, 8
 #: Queries the search is fitted with, the share of their answers it must find, and a leaf's price in scored vectors.
 TRIED, RECALL, PRICE = 256, 0.95, 300
-#: Sample vectors whose best answers every query starts from.
-KNOWN = 2048
+#: Sample vectors whose best answers every query starts from: one in so many of all, within these bounds.
+KNOWN, KNOWN_LEAST, KNOWN_MOST = 8, 512, 32_768
 #: Vectors and queries of a group.
 MEMBERS, ASKING = 4096, 1024
 #: Keys with more than this share of all queries are joined by broadcast; there are no more of them than 1 / share.
@@ -290,7 +290,8 @@ def _fit(classes: DataFrame, trees: int, dtype: str) -> tuple[Forest | None, tup
     if not rows:
         return None, None
     depth = int(np.clip(np.ceil(np.log2(rows / LEAF)), 1, DEEPEST))
-    wanted = max(KNOWN, PER_LEAF << depth)
+    known = int(np.clip(rows // KNOWN, KNOWN_LEAST, KNOWN_MOST))
+    wanted = max(known, PER_LEAF << depth)
     share = F.pmod(F.xxhash64("v"), F.lit(1 << 30)) < int(min(1.0, wanted / rows) * (1 << 30))
     # the same rows in every run: about ``wanted``, twice as many at most
     picked = classes.where(share).select("v", "ids").limit(2 * wanted).toArrow()
@@ -303,7 +304,7 @@ def _fit(classes: DataFrame, trees: int, dtype: str) -> tuple[Forest | None, tup
     common = int(sizes[counts.argmax()])
     sample = _matrix([packed[i] for i in order if len(packed[i]) == common], dtype)
     np.random.default_rng(1).shuffle(order)
-    chosen = order[:KNOWN]
+    chosen = order[:known]
     return Forest(sample, norm, trees, depth), ([packed[i] for i in chosen], [ids[i] for i in chosen])
 
 

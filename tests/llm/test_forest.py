@@ -67,7 +67,8 @@ def test_recall_on_clusters(spark, norms, monkeypatch):
     fitted = forest.setting
     monkeypatch.setattr(forest, "setting", lambda *a: used.append(fitted(*a)) or used[-1])
     monkeypatch.setattr(forest, "LEAF", 32)
-    monkeypatch.setattr(forest, "KNOWN", 50)
+    monkeypatch.setattr(forest, "KNOWN_LEAST", 50)
+    monkeypatch.setattr(forest, "KNOWN", 100)
     monkeypatch.setattr(forest, "PRICE", 5)
     rows = clusters(80, 40, 16, 1, norms=norms)
     got = search(spark, rows)
@@ -79,7 +80,8 @@ def test_recall_on_clusters(spark, norms, monkeypatch):
 def test_every_leaf_is_exact_and_groups_are_cut(spark, monkeypatch):
     monkeypatch.setattr(forest, "MEMBERS", 37)
     monkeypatch.setattr(forest, "ASKING", 5)
-    monkeypatch.setattr(forest, "KNOWN", 3)
+    monkeypatch.setattr(forest, "KNOWN_LEAST", 3)
+    monkeypatch.setattr(forest, "KNOWN", 200)
     draw = np.random.default_rng(4)
     rows = [(i, draw.normal(size=8).tolist()) for i in range(600)]
     assert recall(rows, search(spark, rows, recall=1.0)) >= 0.99
