@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from binledger.operators.grouping import dedup_first
 from binledger.session import stage
@@ -31,6 +32,10 @@ def left_join_on_filter(left: DataFrame, right: DataFrame, on: Sequence[str], ri
     return left.join(right.where(right_filter), list(on), "left")
 
 
+#: Versions of one key up to which a probe may simply meet them all.
+FEW_VERSIONS = 32
+
+
 def asof_dim_join(
     left: DataFrame,
     dim: DataFrame,
@@ -39,17 +44,56 @@ def asof_dim_join(
     eff: str = "eff_dt",
     disc: str = "disc_dt",
     how: str = "left",
+    few: int = FEW_VERSIONS,
 ) -> DataFrame:
     """Dimension version valid at ``at``: ``eff <= at <= disc``, always with an equality part.
 
-    Overlapping versions fan out, as they do in the warehouse.
+    Overlapping versions fan out, as they do in the warehouse. NULL keys, bounds and times match nothing.
+
+    A key with more than ``few`` versions gets bins of time, about as many as it has versions: a version stands in every
+    bin it touches, a probe in one, and the bin joins the key, so a probe meets the versions around it and not all of
+    its key's. Keys with few versions have one bin. Bins only say who meets; the exact test follows.
     """
+    probes, versions = binned_sides(left, dim, on, at, eff, disc, few)
+    match = [F.col(k) == F.col(f"__d_{k}") for k in on] + [F.col("__bin") == F.col("__d_bin")]
+    match += [F.col(eff) <= F.col("__at"), F.col(disc) >= F.col("__at")]
+    return probes.join(versions, match, how).drop("__at", "__bin", "__d_bin", *[f"__d_{k}" for k in on])
+
+
+def binned_sides(
+    left: DataFrame, dim: DataFrame, on: Sequence[str], at: Column | str, eff: str, disc: str, few: int = FEW_VERSIONS
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides of ``asof_dim_join``: probes with ``__at`` and ``__bin``, versions with ``__d_<key>`` and ``__d_bin``."""
     at = F.col(at) if isinstance(at, str) else at
+    kind = dim.schema[eff].dataType
+    keys = [f"__d_{k}" for k in on]
+
+    def number(c: Column) -> Column:
+        if isinstance(kind, T.DateType):
+            return F.unix_date(c.cast("date")).cast("long")
+        return c.cast("timestamp").cast("long") if isinstance(kind, T.TimestampType) else c.cast("long")
+
+    versions = dim.withColumnsRenamed({k: f"__d_{k}" for k in on}).where(F.col(eff) <= F.col(disc))
+    begin, end = number(F.col(eff)), number(F.col(disc))
+    span = versions.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(begin).alias("__first"), F.max(begin).alias("__last"))
+    # no bin begins behind the last version: what is later falls into the last bin, so open ends do not unfold
+    many = if_small(span.where(F.col("__n") > few))
+    busy = versions.join(many, keys)
+    length = F.least(end, F.col("__last")) - begin
+    widths = busy.groupBy(*keys, "__n", "__first", "__last").agg(F.sum(length).alias("__length"))
+    # a version touches one bin more than its length holds; all of a key's together not more than five times their number
+    width = F.greatest((F.col("__last") - F.col("__first")) / F.col("__n"), F.col("__length") / (4 * F.col("__n")), F.lit(1.0))
+    widths = if_small(widths.select(*keys, F.ceil(width).alias("__width"), "__first", "__last"))
+
+    place = lambda x: F.floor((F.least(x, F.col("__last")) - F.col("__first")) / F.col("__width"))
+    bins = F.when(F.col("__width").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.sequence(place(begin), place(end)))
+    there = versions.join(widths, keys, "left").withColumn("__d_bin", F.explode(bins))
     probe = left.withColumn("__at", at)
-    versions = dim.withColumnsRenamed({k: f"__d_{k}" for k in on})
-    match = [F.col(k) == F.col(f"__d_{k}") for k in on]
-    match += [F.col(eff) <= F.col("__at"), F.col(disc) >= F.col("__at")]
-    return probe.join(versions, match, how).drop("__at", *[f"__d_{k}" for k in on])
+    spread = widths.withColumnsRenamed({f"__d_{k}": f"__w_{k}" for k in on})
+    here = probe.join(spread, [F.col(k) == F.col(f"__w_{k}") for k in on], "left")
+    here = here.withColumn("__bin", F.when(F.col("__width").isNull(), F.lit(0).cast("long")).otherwise(place(number(F.col("__at")))))
+    extra = ["__width", "__first", "__last"]
+    return here.drop(*extra, *[f"__w_{k}" for k in on]), there.drop(*extra)
 
 
 def full_join_coalesce(
@@ -80,6 +124,49 @@ def keep_listed(df: DataFrame, wanted: DataFrame, on: Sequence[str]) -> DataFram
     return df.join(wanted, list(on), "left_semi")
 
 
+#: Bits of a Bloom filter per listed key, bits of one of its blocks, and bytes it may have at most.
+BLOOM_BITS, BLOCK_BITS, BLOOM_BYTES = 16, 32768, 64 << 20
+
+
+def bloom_filtered(df: DataFrame, wanted: DataFrame, on: Sequence[str], most_bytes: int = BLOOM_BYTES) -> DataFrame:
+    """Rows of ``df`` whose key may be in ``wanted``: all that are, and about one in seventy of the others.
+
+    A blocked Bloom filter as a table: a key's hash chooses a block of 32,768 bits and two bits in it; a block's bits are
+    set by one partial aggregation, and the blocks, whose number follows from the number of keys and is bounded by
+    ``most_bytes``, are broadcast. Beyond the bound the filter lets more rows pass, never fewer. Rows with a NULL in
+    the key do not pass.
+    """
+    listed = wanted.select(*on).dropna()
+    count = listed.agg(F.approx_count_distinct(F.xxhash64(*on))).first()[0]
+    blocks = max(1, min(-(-count * BLOOM_BITS // BLOCK_BITS), most_bytes // (BLOCK_BITS // 8)))
+    keys = [F.col(c) for c in on]
+    block = F.pmod(F.xxhash64(*keys), F.lit(blocks))
+    second = F.xxhash64(*keys, F.lit(1))
+    bits = [F.pmod(second, F.lit(BLOCK_BITS)), F.pmod(F.shiftright(second, 32), F.lit(BLOCK_BITS))]
+    table = listed.select(block.alias("__block"), F.explode(F.array(*bits)).alias("__bit")).groupBy("__block").agg(
+        F.expr("bitmap_construct_agg(__bit)").alias("__bits")
+    )
+    return _tested(df, table, block, bits)
+
+
+def _tested(df: DataFrame, table: DataFrame, block: Column, bits: list[Column]) -> DataFrame:
+    probes = df.withColumn("__block", block).withColumns({f"__bit{i}": b.cast("int") for i, b in enumerate(bits)})
+    hit = F.lit(True)
+    for i in range(len(bits)):
+        at = F.col(f"__bit{i}")
+        byte = F.conv(F.hex(F.expr(f"substring(__bits, __bit{i} div 8 + 1, 1)")), 16, 10).cast("int")
+        hit = hit & (F.getbit(byte, at % 8) == 1)
+    # as many rows as the filter has blocks
+    return probes.join(F.broadcast(table), "__block").where(hit).select(*df.columns)
+
+
+def keep_listed_of_many(df: DataFrame, wanted: DataFrame, on: Sequence[str], most_bytes: int = BLOOM_BYTES) -> DataFrame:
+    """``keep_listed`` for a list too long to be broadcast: a Bloom filter drops most other rows before the shuffle."""
+    # an inner join with distinct keys, as the optimizer moves a semi join below the filter's join
+    listed = wanted.select(*on).dropna().distinct()
+    return bloom_filtered(df, wanted, on, most_bytes).join(listed, list(on)).select(*df.columns)
+
+
 def drop_listed(df: DataFrame, unwanted: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.join(unwanted, list(on), "left_anti")
 

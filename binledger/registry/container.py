@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from binledger.functions.dates import active_between, consistent_validity, month_key
+from binledger.functions.dates import OPEN_END, active_between, consistent_validity, month_key
 from binledger.functions.labels import account_status
 from binledger.functions.money import fee_multiplier
 from binledger.functions.text import code_in
-from binledger.operators.joins import asof_dim_join, code_domain, code_enrich, if_small, keep_listed, left_join_on_filter
+from binledger.operators.joins import asof_dim_join, code_domain, code_enrich, if_small, keep_listed, keep_listed_of_many, left_join_on_filter
 from binledger.operators.rows import live_rows
 from binledger.plans import container as job
 from binledger.registry.base import query
@@ -522,3 +523,39 @@ def _semi_inclusion(r: Retail):
     wanted = r.charge_rates.where((F.col("adj_flag") == "1") & (F.upper("current_ind") == "N")).select("div_nbr", "charge_code").distinct()
     kept = keep_listed(r.charge_rates.where(code_in(F.col("charge_code"), job.INVOICE_CODES)), wanted, ["div_nbr", "charge_code"])
     return kept.groupBy("div_nbr", "charge_code").agg(F.count(F.lit(1)).alias("lines"), F.sum("charge_rate").alias("total"))
+
+
+@query(
+    "semi_inclusion_of_many",
+    with_tables(
+        """select div_nbr, charge_code, count(*) as lines, cast(sum(charge_rate) as double) as total from charge_rates
+        where (div_nbr, acct_nbr, site_nbr, container_grp_nbr) in (select (div_nbr, acct_nbr, site_nbr, container_grp_nbr) from charge_rates
+         where adj_flag = '1' and upper(current_ind) = 'N') group by 1, 2""", "charge_rates"),
+)
+def _semi_inclusion_of_many(r: Retail):
+    """Lines of containers that have an adjusted, outdated line; the list of containers grows with the lines."""
+    key = ["div_nbr", "acct_nbr", "site_nbr", "container_grp_nbr"]
+    wanted = r.charge_rates.where((F.col("adj_flag") == "1") & (F.upper("current_ind") == "N")).select(*key).distinct()
+    kept = keep_listed_of_many(r.charge_rates.select(*key, "charge_code", "charge_rate"), wanted, key)
+    return kept.groupBy("div_nbr", "charge_code").agg(F.count(F.lit(1)).alias("lines"), F.sum("charge_rate").alias("total"))
+
+
+@query(
+    "asof_many_versions",
+    f"""with days as (select c_nationkey as nation, o_orderdate::date as day, cast(sum(cast(o_totalprice as decimal(18,2))) as double) as level
+      from orders join customer on o_custkey = c_custkey group by 1, 2),
+     lines as (select c_nationkey as nation, l_shipdate::date as shipped from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey)
+     select l.nation, year(shipped) as ship_year, count(*) as lines, round(sum(level), 2) as level, max(day)::varchar as newest
+     from lines l asof left join days d on l.nation = d.nation and l.shipped >= d.day group by 1, 2""",
+)
+def _asof_many_versions(r: Retail):
+    """Every shipped line with its nation's order level of the latest order day; a nation has a version per order day."""
+    day = F.col("o_orderdate").cast("date")
+    days = r.placed_orders.groupBy(F.col("c_nationkey").alias("nation"), day.alias("eff_dt")).agg(
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("level"))
+    following = Window.partitionBy("nation").orderBy("eff_dt")
+    # a nation has at most one version per calendar day
+    dim = days.withColumn("disc_dt", F.coalesce(F.date_sub(F.lead("eff_dt").over(following), 1), F.lit(OPEN_END)))
+    lines = r.placed_lines.select(F.col("c_nationkey").alias("nation"), F.col("l_shipdate").cast("date").alias("shipped"))
+    return asof_dim_join(lines, dim, ["nation"], "shipped").groupBy("nation", F.year("shipped").alias("ship_year")).agg(
+        F.count(F.lit(1)).alias("lines"), F.round(F.sum("level"), 2).alias("level"), F.max("eff_dt").alias("newest"))
