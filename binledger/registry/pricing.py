@@ -412,36 +412,54 @@ def _word_occurrences(r: Retail):
 _CELL = "lang || '_' || toxic"
 
 
+_CELLS_SQL = f"""select cell, count(*) as n, cast(sum(quality) as bigint) as good, sum(quality) between 1 and count(*) - 1 as mixed
+ from (select {_CELL} as cell, quality from documents join labels using (doc_id)) x group by 1"""
+
+
 @query(
     "ml_logistic",
-    f"""select cell, count(*) as n, cast(sum(quality) as bigint) as good,
-    round(case when sum(quality) between 1 and count(*) - 1 then ln(sum(quality) / (count(*) - sum(quality))) end, 2) as log_odds
-    from (select {_CELL} as cell, quality from documents join labels using (doc_id)) x group by 1""",
+    f"""select cell, n, good, round(case when mixed then ln(good / (n - good)) end, 2) as log_odds,
+    round(case when mixed then sqrt(1.0::double / good + 1.0::double / (n - good)) end, 4) as std_error,
+    round(case when mixed then ln(good / (n - good)) / sqrt(1.0::double / good + 1.0::double / (n - good)) end, 2) as z_value
+    from ({_CELLS_SQL}) c""",
 )
 def _ml_logistic(r: Retail):
-    """Quality by language and toxicity, one term per cell: the estimates are the cells' log-odds.
+    """Quality by language and toxicity, one term per cell: estimates and their errors are those of the cells' log-odds.
 
     A cell of one class has no finite estimate; it takes no part in the fit and keeps its counts.
     """
     rows = r.table("documents").join(r.table("labels"), "doc_id").select(F.expr(_CELL).alias("cell"), "quality")
     cells = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.sum("quality").alias("good"))
     mixed = rows.join(cells.where("good between 1 and n - 1"), "cell", "left_semi")
-    terms = ml.logistic_coefficients(mixed, "quality ~ cell")
-    names = terms.select(F.regexp_replace("term", "^cell_", "").alias("cell"), "coefficient")
-    base = names.where("cell = '(Intercept)'").select("coefficient").scalar()
-    # the reference cell has no term of its own
-    odds = cells.join(names, "cell", "left")
-    fitted = F.when(F.expr("good between 1 and n - 1"), F.round(base + F.coalesce("coefficient", F.lit(0.0)), 2))
-    return odds.select("cell", "n", "good", fitted.alias("log_odds"))
+    terms = ml.logistic_summary(mixed, "quality ~ cell - 1").select(
+        F.regexp_replace("term", "^cell_", "").alias("cell"), F.round("coefficient", 2).alias("log_odds"),
+        F.round("std_error", 4).alias("std_error"), F.round("z_value", 2).alias("z_value"))
+    return cells.join(terms, "cell", "left")
+
+
+@query(
+    "ml_logistic_fit",
+    f"""select round(-2 * (total_good * ln(total_good / total) + (total - total_good) * ln((total - total_good) / total)), 3) as null_deviance,
+    total - 1 as null_degrees, round(-2 * inside, 3) as residual_deviance, total - cells as residual_degrees, round(-2 * inside + 2 * cells, 3) as aic
+    from (select cast(sum(n) as bigint) as total, cast(sum(good) as bigint) as total_good, count(*) as cells,
+     sum(good * ln(good / n) + (n - good) * ln((n - good) / n)) as inside from ({_CELLS_SQL}) c where mixed) t""",
+)
+def _ml_logistic_fit(r: Retail):
+    """Deviances and AIC of the model with one term per cell."""
+    rows = r.table("documents").join(r.table("labels"), "doc_id").select(F.expr(_CELL).alias("cell"), "quality")
+    cells = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.sum("quality").alias("good"))
+    mixed = rows.join(cells.where("good between 1 and n - 1"), "cell", "left_semi")
+    return ml.logistic_fit(mixed, "quality ~ cell").select(
+        *[F.round(c, 3).alias(c) for c in ("null_deviance", "residual_deviance", "aic")], "null_degrees", "residual_degrees")
 
 
 @query("ml_logistic_terms")
 def _ml_logistic_terms(r: Retail):
-    """Quality label by length and language, coefficients of the fit."""
+    """Quality label by length and language: estimate, error, z and p of every term."""
     rows = r.table("documents").join(r.table("labels"), "doc_id").select(
         F.col("quality").alias("label_quality"), (F.col("n_chars") / 1000.0).alias("kchars"), "lang", "toxic")
     ready = ml.prepare(rows, ["label_quality", "kchars", "lang", "toxic"], "kchars", ["lang"])
-    return ml.logistic_coefficients(ready, "label_quality ~ kchars + lang + toxic")
+    return ml.logistic_summary(ready, "label_quality ~ kchars + lang + toxic")
 
 
 @query(
