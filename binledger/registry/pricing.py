@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from binledger.functions.dates import SPREADSHEET_ORIGIN
+from binledger.functions.dates import SPREADSHEET_ORIGIN, month_key
 from binledger.functions.money import kg_to_pounds, pounds_to_kg
 from binledger.functions.text import pad_key
 from binledger.operators import profile
@@ -20,6 +20,8 @@ from binledger.registry.base import query
 from binledger.registry.standin_sql import doubles, pad, with_tables
 from binledger.session import new_stage_path
 from binledger.sources.files import read_csv, read_status_folders, rename_by_position, write_csv
+from binledger.sources.footers import extremes, read_with_statistics
+from binledger.sources.published import publish_months, read_published
 from binledger.sources.retail import Retail
 from binledger.sources.tables import append_aligned, overwrite_months
 
@@ -353,7 +355,37 @@ def _sink_partitioned(r: Retail):
 
 @query("global_max", "select max(l_extendedprice) as largest from lineitem")
 def _global_max(r: Retail):
-    return r.table("lineitem").agg(F.max("l_extendedprice").alias("largest"))
+    return read_with_statistics(r.spark, f"{r.folder}/lineitem.parquet").agg(F.max("l_extendedprice").alias("largest"))
+
+
+_MEASURED = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query(
+    "footer_extremes",
+    " union all ".join(
+        f"select '{c}' as column_name, count(*) as rows_total, count({c}) as rows_known, cast(min({c}) as double) as smallest, cast(max({c}) as double) as largest from lineitem"
+        for c in _MEASURED),
+)
+def _footer_extremes(r: Retail):
+    return extremes(r.spark, f"{r.folder}/lineitem.parquet", _MEASURED)
+
+
+@query(
+    "publish_months",
+    """select cast(strftime(o_orderdate, '%Y%m') as integer) as month_dt, count(*) as orders,
+    cast(sum(cast(o_totalprice as decimal(18,2))) * case when year(min(o_orderdate)) = 1996 then 2 else 1 end as double) as total
+    from orders group by 1""",
+)
+def _publish_months(r: Retail):
+    """All months published, one year's months published again with other figures: the newest version holds each once."""
+    path = _folder(r, "published")
+    orders = r.table("orders").select(
+        month_key(F.col("o_orderdate")).alias("month_dt"), "o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+    publish_months(orders, path)
+    corrected = orders.where("month_dt div 100 = 1996").withColumn("price", (F.col("price") * 2).cast("decimal(18,2)"))
+    publish_months(corrected, path)
+    return read_published(r.spark, path).groupBy("month_dt").agg(F.count(F.lit(1)).alias("orders"), F.sum("price").alias("total"))
 
 
 _PROFILED = ["event_id", "ts", "user_id", "event_type", "value", "props"]
