@@ -12,20 +12,23 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 #: Relative accuracy of the sketch (its rank error is one part in this many rows), and rows of a bracket to stop at.
-ACCURACY, SMALL = 10_000, 50_000
+ACCURACY, SMALL = 1_000, 50_000
 
 
 @dataclass
 class _Bracket:
-    """Where the value of one rank lies: between two values (None: unbounded), ``below`` rows before, ``inside`` rows."""
+    """Where the values of the ranks ``first`` to ``last`` lie: between two values (None: unbounded), ``below`` rows
+    before, ``inside`` rows."""
 
     column: str
-    rank: int
+    first: int
+    last: int
     below: int
     inside: int
     low: float | None = None
@@ -42,77 +45,80 @@ class _Bracket:
     def settled(self) -> bool:
         return self.inside <= SMALL or (self.low is not None and self.low == self.high)
 
+    def edges(self) -> list[float]:
+        """Shares of the rows inside that lie safely before and behind the ranks."""
+        most, spare = max(self.inside - 1, 1), self.slack / ACCURACY
+        return [max((self.first - self.below) / most - spare, 0.0), min((self.last - self.below) / most + spare, 1.0)]
+
 
 def _narrow(df: DataFrame, open_: list[_Bracket]) -> None:
     """One round: sketch inside every open bracket, then count below and inside the narrower ones."""
+    # brackets with the same bounds share a sketch
+    shared: dict[tuple, list[_Bracket]] = {}
+    for b in open_:
+        shared.setdefault((b.column, b.low, b.high), []).append(b)
     aims = []
-    for i, b in enumerate(open_):
-        share = (b.rank - b.below) / max(b.inside - 1, 1)
-        edges = [min(max(share + side * b.slack / ACCURACY, 0.0), 1.0) for side in (-1, 1)]
-        x = F.col(b.column)
-        aims.append(F.percentile_approx(F.when(b.holds(x), x), edges, ACCURACY).alias(f"e{i}"))
-    found = df.agg(*aims).first()
-    tried = [
-        _Bracket(b.column, b.rank, 0, 0, float(found[f"e{i}"][0]), float(found[f"e{i}"][1])) for i, b in enumerate(open_)
-    ]
+    for i, some in enumerate(shared.values()):
+        edges = [e for b in some for e in b.edges()]
+        aims.append(_sketch(some[0], edges).alias(f"e{i}"))
+    _take(df, list(shared.values()), df.agg(*aims).first())
+
+
+def _sketch(bracket: _Bracket, edges: list[float]) -> Column:
+    x = F.col(bracket.column)
+    whole = bracket.low is None and bracket.high is None
+    return F.percentile_approx(x if whole else F.when(bracket.holds(x), x), edges, ACCURACY)
+
+
+def _take(df: DataFrame, shared: list[list[_Bracket]], found: Row | dict) -> None:
+    """Narrow every bracket to its sketched edges ``found`` (e<i>: those of group i) where the counts agree."""
+    tried: list[tuple[_Bracket, _Bracket]] = []
+    for i, some in enumerate(shared):
+        for k, b in enumerate(some):
+            low, high = float(found[f"e{i}"][2 * k]), float(found[f"e{i}"][2 * k + 1])
+            tried.append((b, _Bracket(b.column, b.first, b.last, 0, 0, low, high)))
     counts = []
-    for i, t in enumerate(tried):
+    for i, (_, t) in enumerate(tried):
         x = F.col(t.column)
         counts += [F.count(F.when(x < F.lit(t.low), 1)).alias(f"b{i}"), F.count(F.when(t.holds(x), 1)).alias(f"i{i}")]
     got = df.agg(*counts).first()
-    for i, (b, t) in enumerate(zip(open_, tried)):
+    for i, (b, t) in enumerate(tried):
         below, inside = got[f"b{i}"], got[f"i{i}"]
-        if below <= b.rank < below + inside and inside < b.inside:
+        if below <= b.first and b.last < below + inside and inside < b.inside:
             b.low, b.high, b.below, b.inside, b.slack = t.low, t.high, below, inside, 2.0
         else:
             b.slack *= 8  # the sketch missed: a wider bracket next time
 
 
-def order_statistics(df: DataFrame, ranks: dict[str, Sequence[int]], sizes: dict[str, int]) -> DataFrame:
-    """(column_name, rank, value) of the given 0-based ranks of each column's values that are not NULL.
-
-    The columns must be doubles; ``sizes`` are their numbers of values.
-    """
-    brackets = [_Bracket(c, r, 0, sizes[c]) for c, some in ranks.items() for r in sorted(set(some))]
-    while open_ := [b for b in brackets if not b.settled and b.slack < ACCURACY]:
-        _narrow(df, open_)
-    entries = [
-        F.when(
-            b.holds(F.col(b.column)),
-            F.struct(F.lit(b.column).alias("column_name"), F.lit(b.rank).cast("long").alias("rank"),
-                     F.lit(b.below).cast("long").alias("below"), F.col(b.column).alias("value")),
-        )
-        for b in brackets
-    ]
-    hits = df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e")).select("e.*")
-    counted = hits.groupBy("column_name", "rank", "below", "value").agg(F.count(F.lit(1)).alias("copies"))
-    order = Window.partitionBy("column_name", "rank").orderBy("value")
-    upto = F.col("below") + F.sum("copies").over(order)
-    reached = counted.withColumn("upto", upto).where(
-        (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("copies"))
-    )
-    return reached.select("column_name", "rank", "value")
-
-
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Exact interpolated quantiles of several numeric columns: column_name, prob, value.
 
     NULL values do not count; a column without values gives no rows. NaN is the largest value.
     """
+    probs = sorted(set(map(float, probs)))
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    sizes = values.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
-    aims = []
-    for c in columns:
-        for p in map(float, probs):
-            if sizes[c]:
-                target = p * (sizes[c] - 1)
-                aims.append((c, p, math.floor(target), math.ceil(target), target - math.floor(target)))
+    # the numbers of values, and the sketch of the first round
+    spare = 2.0 / ACCURACY
+    edges = [e for p in probs for e in (max(p - spare, 0.0), min(p + spare, 1.0))]
+    first = values.agg(
+        *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
+        *[F.percentile_approx(c, edges, ACCURACY).alias(f"e{i}") for i, c in enumerate(columns)],
+    ).first()
+    brackets, sketched, aims = [], {}, []
+    for i, c in enumerate(columns):
+        n = first[f"n{i}"]
+        for k, p in enumerate(probs if n else []):
+            target = p * (n - 1)
+            low, high = math.floor(target), math.ceil(target)
+            aims.append((c, p, low, high, target - low))
+            b = _Bracket(c, low, high, 0, n)
+            sketched.setdefault(i, []).append((b, first[f"e{i}"][2 * k : 2 * k + 2]))
+            brackets.append(b)
     if not aims:
         return df.sparkSession.createDataFrame([], "column_name string, prob double, value double")
-    ranks: dict[str, list[int]] = {}
-    for c, _, low, high, _ in aims:
-        ranks.setdefault(c, []).extend([low, high])
-    found = order_statistics(values, ranks, sizes)
+    groups = list(sketched.values())
+    _take(values, [[b for b, _ in g] for g in groups], {f"e{i}": [e for _, pair in g for e in pair] for i, g in enumerate(groups)})
+    found = _select(values, brackets)
     ends = F.array(*[
         F.struct(F.lit(c).alias("aimed"), F.lit(p).alias("prob"), F.lit(low).cast("long").alias("low"),
                  F.lit(high).cast("long").alias("high"), F.lit(part).alias("part"))
@@ -127,3 +133,30 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) ->
     )
     step = F.when(F.col("aim.part") == 0, F.lit(0.0)).otherwise((F.col("hi") - F.col("lo")) * F.col("aim.part"))
     return both.select("column_name", F.col("aim.prob").alias("prob"), (F.col("lo") + step).alias("value"))
+
+
+def _select(df: DataFrame, brackets: list[_Bracket]) -> DataFrame:
+    """(column_name, rank, value) of the brackets' ranks; a rank of two brackets comes twice."""
+    while open_ := [b for b in brackets if not b.settled and b.slack < ACCURACY]:
+        _narrow(df, open_)
+    entries = [
+        F.when(
+            b.holds(F.col(b.column)),
+            F.struct(F.lit(i).alias("bracket"), F.col(b.column).alias("value")),
+        )
+        for i, b in enumerate(brackets)
+    ]
+    # few rows lie in a bracket; only for these are the brackets unfolded
+    near = df.where(reduce(lambda a, b: a | b, [b.holds(F.col(b.column)) for b in brackets]))
+    hits = near.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e")).select("e.*")
+    counted = hits.groupBy("bracket", "value").agg(F.count(F.lit(1)).alias("copies"))
+    upto = F.sum("copies").over(Window.partitionBy("bracket").orderBy("value"))
+    known = F.array(*[
+        F.struct(F.lit(b.column).alias("column_name"), F.lit(b.below).cast("long").alias("below"),
+                 F.array(*[F.lit(r).cast("long") for r in range(b.first, b.last + 1)]).alias("ranks"))
+        for b in brackets
+    ])
+    placed = counted.withColumn("upto", upto).withColumn("of", F.element_at(known, F.col("bracket") + 1))
+    place = placed.withColumns({"begin": F.col("of.below") + F.col("upto") - F.col("copies"), "end": F.col("of.below") + F.col("upto")})
+    reached = F.filter("of.ranks", lambda r: (r >= F.col("begin")) & (r < F.col("end")))
+    return place.select(F.col("of.column_name").alias("column_name"), F.explode(reached).alias("rank"), "value")

@@ -27,6 +27,7 @@ RATE_CODES = ("BCR", "BSP", "BCE")
 
 AMOUNT = "decimal(18,4)"
 GRAIN = ["month_dt", "div_nbr", "cur_div_nbr", "acct_nbr", "site_nbr", "container_grp_nbr"]
+_NATURAL = ["div_nbr", "acct_nbr", "site_nbr", "container_grp_nbr"]
 _SKEYS = ["acct_sk", "container_grp_sk", "corp_hier_sk"]
 
 
@@ -212,7 +213,7 @@ def monthly_rate_snapshot(
     the natural key. The dimensions are joined among themselves first, so the charges shuffle once for
     all of them and stay co-located for the grouping, whose key contains the join key.
     """
-    natural = ["div_nbr", "acct_nbr", "site_nbr", "container_grp_nbr"]
+    natural = _NATURAL
     eff, cld = F.col("effective_date"), F.col("close_date")
     lines = charges.where(
         code_in(F.col("charge_code"), BASE_CODES)
@@ -351,12 +352,11 @@ def three_facts(
     after_month: int = 201600,
     from_day: int = 20160101,
 ) -> DataFrame:
-    """What ``with_rates(invoice_and_service(...), snapshot)`` gives, by one aggregation in place of two full joins.
+    """What ``with_rates(invoice_and_service(...), snapshot)`` gives, with one aggregation in place of the first full join.
 
-    Invoice and service lines are summed per surrogate key, meet the same dimensions, and stand with the rows of the
-    snapshot in one table; a tag says whose they are. One grouping at the grain takes every column per tag, and of the
-    tags' values the first that is not NULL. A grain the snapshot holds several times keeps its rows: they are collected
-    per grain, of which there are as many as a container has sets of fees in a month.
+    Invoice and service lines are summed per surrogate key, meet the same dimensions and stand in one table; a tag says
+    whose they are. One grouping at the grain takes every column per tag, and of the tags' values the first that is not
+    NULL. The rows are dealt by container, as those of the snapshot are: the join with it needs no further exchange.
     """
     dims = _dim_facts(containers, accounts, hierarchy)
 
@@ -369,10 +369,8 @@ def three_facts(
     inv = placed(inv_keys.withColumnRenamed("revenue_period", "month_dt"))
     inv = inv.join(_current_fees(contract_fees), ["div_nbr", "contract_nbr", "contract_grp_nbr"], "left")
     srv = placed(_service_keys(services, service_codes, from_day))
-    rate_columns = [c for c in snapshot.columns if c not in GRAIN]
-    rate = snapshot.select(*GRAIN, F.struct(*rate_columns).alias("rated"))
     tag = lambda df, name: df.drop("contract_nbr", "contract_grp_nbr").withColumn("tag", F.lit(name))
-    rows = tag(inv, "I").unionByName(tag(srv, "S"), True).unionByName(tag(rate, "R"), True)
+    rows = tag(inv, "I").unionByName(tag(srv, "S"), True).repartition(*_NATURAL)
 
     month = F.col("month_dt")
     of = lambda name, value: F.when(F.col("tag") == name, value)
@@ -395,7 +393,6 @@ def three_facts(
         **{m: from_units(F.sum(of("I", F.col(m))), scale) for m, scale in measures.items()},
         **{m: F.sum(of("S", F.col(m))) for m in _SERVICE_ONLY},
         "has_inv": F.max(F.col("tag") == "I"),
-        "rated": F.collect_list("rated"),
     }
     whole = rows.groupBy(*GRAIN).agg(*[c.alias(name) for name, c in grouped.items()])
     in_month = lambda name: F.when(F.col("has_inv"), F.when(F.col(name) == month, 1).otherwise(0))
@@ -405,17 +402,13 @@ def three_facts(
             "I_lost_acct": in_month("I_act_close_mo"),
             "I_closed_container": in_month("I_cont_close_mo"),
             "I_open_container": in_month("I_cont_start_mo"),
-            "rated": F.explode_outer("rated"),
         }
     )
-    r = lambda c: F.col(f"rated.{c}")
-    first = {c: F.coalesce(f"I_{c}", f"S_{c}") for c in _EITHER_SIDE}
-    out = {c: F.coalesce(first[c], r(c)) for c in ("is_franchise", "is_national_account", "container_cnt")}
-    out |= {c: F.coalesce(f"I_{c}", r(c)) for c in _FEE_COLUMNS}
-    out |= {c: F.coalesce(r(c), first[c]) for c in _RATE_FIRST}
-    out |= {c: F.coalesce(c, F.lit(0)) for c in [*_INVOICE_ONLY, *_SERVICE_ONLY]}
-    out |= {c: F.coalesce(r(c), F.lit(0)) for c in _RATE_ONLY}
-    return whole.select(*GRAIN, *[c.alias(name) for name, c in out.items()])
+    either = {c: F.coalesce(f"I_{c}", f"S_{c}") for c in _EITHER_SIDE}
+    measured = {c: F.coalesce(c, F.lit(0)) for c in [*_INVOICE_ONLY, *_SERVICE_ONLY]}
+    fees = {c: F.col(f"I_{c}") for c in _FEE_COLUMNS}
+    inv_srvc = whole.select(*GRAIN, *[c.alias(name) for name, c in (either | measured | fees).items()])
+    return with_rates(inv_srvc, snapshot)
 
 
 def account_fee_flags(account_fees: DataFrame) -> DataFrame:
