@@ -213,12 +213,11 @@ def key_fallback_join(
 ) -> DataFrame:
     """Replace ``key`` by an expression over the matching lookup row, keep it where none matches.
 
-    Of lookup rows with one key the first in column order counts, so no row is multiplied.
+    All columns of ``df`` stay, also those that share a name with one of the lookup. Of lookup rows with one key the first in column order counts, so no row is multiplied.
     """
     rest = [F.col(c).asc_nulls_last() for c in lookup.columns if c != lookup_key]
     lookup = dedup_first(lookup, [lookup_key], rest or [F.col(lookup_key).asc()])
-    return (
-        df.join(lookup, F.col(key) == F.col(lookup_key), "left")
-        .withColumn(out, F.coalesce(translated, F.col(key)))
-        .drop(*lookup.columns)
-    )
+    # only the key and the translation meet the rows, under names of their own
+    pairs = lookup.select(F.col(lookup_key).alias("__lookup_key"), translated.alias("__translated"))
+    met = df.join(pairs, F.col(key) == F.col("__lookup_key"), "left")
+    return met.withColumn(out, F.coalesce("__translated", F.col(key))).drop("__lookup_key", "__translated")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 from functools import reduce
@@ -458,12 +459,22 @@ def rate_change_split(charges: DataFrame, takers: DataFrame, day: int, excluded_
 
 
 def rate_change_upload(
-    lines: DataFrame, tax_codes: DataFrame, increases: Mapping[str, Decimal] = LADDER_DEFAULT, years: int = 1
+    lines: DataFrame,
+    tax_codes: DataFrame,
+    increases: Mapping[str, Decimal] = LADDER_DEFAULT,
+    years: int = 1,
+    contracts: DataFrame | None = None,
 ) -> DataFrame:
     """Upload rows: the new rate starts one year after the later of charge start and signature.
 
-    ``years=2`` adds the follow-up file: same charge, one year later, raised once more.
+    ``years=2`` adds the follow-up file: same charge, one year later, raised once more. With ``contracts`` (account, site,
+    contract_number) only lines of a site under contract go up, with its number, and lines without ``rev_distrib_cd``
+    or ``recurring_charge_freq`` stay out. Of several contracts of a site the smallest number counts.
     """
+    if contracts is not None:
+        site = [*ACCOUNT, "site_nbr"]
+        numbers = contracts.groupBy(*site).agg(F.min("contract_number").alias("contract_number"))
+        lines = lines.dropna(subset=["rev_distrib_cd", "recurring_charge_freq"]).join(numbers, site)
     on = [*CONTAINER, "charge_code", "charge_rate", "charge_type", "charge_method"]
     step = ladder_rate(F.col("treatment"), dict(increases))
     started = F.greatest(date_of_day_key(F.col("effective_date")), F.col("date_signed"))
@@ -535,8 +546,14 @@ def campaign_panel(accounts: DataFrame, monthly: DataFrame, months: Sequence[int
     return accounts.join(wide, ACCOUNT, "left").fillna(0, added)
 
 
-def campaign_summary(panel: DataFrame, months: Sequence[int], values: Sequence[str], first_value: str) -> DataFrame:
-    """Takers, revenue and active accounts per division, offer, revenue quintiles, tenure and future rate."""
+def campaign_summary(
+    panel: DataFrame, months: Sequence[int], values: Sequence[str], first_value: str, waves: Sequence[str] | None = None
+) -> DataFrame:
+    """Takers, revenue and active accounts per division, offer, revenue quintiles, tenure and future rate.
+
+    A taker answered any of ``waves``, by default every column ``wave_<n>`` of the panel.
+    """
+    waves = [c for c in panel.columns if re.fullmatch(r"wave_\d+", c)] if waves is None else waves
     yards = F.col("total_yard_month")
     per_yard = lambda amount: F.when(yards == 0, F.lit(0.0)).otherwise(amount.cast("double") / yards)
     scored = panel.withColumns(
@@ -545,7 +562,7 @@ def campaign_summary(panel: DataFrame, months: Sequence[int], values: Sequence[s
     tie = F.col("acct_nbr").asc()
     scored = ntile(scored, 5, [F.col("__start").asc(), tie], ["div_nbr"], "revenue_group_start")
     scored = ntile(scored, 5, [F.col("__first").asc(), tie], ["div_nbr"], "revenue_group_first")
-    taker = (F.col("wave_1") == 1) | (F.col("wave_2") == 1) | (F.col("wave_3") == 1)
+    taker = reduce(lambda a, b: a | b, [F.coalesce(F.col(w) == 1, F.lit(False)) for w in waves], F.lit(False))
     labelled = scored.withColumns(
         {
             "group_desc": offer_label(F.col("treatment")),

@@ -1,5 +1,7 @@
 """Stage counts taken while a job runs."""
 
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,3 +43,16 @@ def test_empty_frames_and_repeated_names(spark):
         audit.watch(none, {"all": F.count(F.lit(1))})
     stage(none, "audited")
     assert audit.counts() == {"input": 0, "all": 0}
+
+
+def test_takers_of_any_wave_count(spark):
+    from binledger.plans import campaign
+
+    base = "div_nbr string, acct_nbr string, treatment string, tenure_months double, date_signed date, revenue_annual decimal(18,2), "
+    base += "total_yard_month double, future_revenue_per_bill double, revenue_per_bill double, active_1 int, rate_1 double, "
+    rows = [("d", str(i), "PILOT", 20.0, None, Decimal(10), 1.0, None, 1.0, 1, 5.0, *[int(i == w) for w in range(5)]) for i in range(6)]
+    panel = spark.createDataFrame(rows, base + ", ".join(f"wave_{w} int" for w in range(5)))
+    out = campaign.campaign_summary(panel, [1], ["rate"], "rate")
+    assert out.agg(F.sum("num_takers")).first()[0] == 5
+    assert campaign.campaign_summary(panel, [1], ["rate"], "rate", ["wave_4"]).agg(F.sum("num_takers")).first()[0] == 1
+    assert campaign.campaign_summary(panel, [1], ["rate"], "rate", []).agg(F.sum("num_takers")).first()[0] == 0

@@ -81,3 +81,13 @@ def test_bloom_filter_drops_rows_before_the_shuffle_and_none_that_is_listed(spar
         assert joins.keep_listed_of_many(many, wanted.limit(0), ["k", "s"]).count() == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_key_fallback_keeps_all_columns_of_the_rows(spark):
+    left = spark.createDataFrame([("a", "mine", 1), ("b", "own", 2), (None, "none", 3)], "k string, note string, acct int")
+    lookup = spark.createDataFrame([("a", "9", "x"), ("a", "8", "y"), ("c", "7", "z")], "lk string, acct string, note string")
+    got = joins.key_fallback_join(left, lookup, "k", "lk", F.concat(F.lit("t"), "acct"), "out")
+    assert got.columns == ["k", "note", "acct", "out"]
+    assert sorted(map(tuple, got.collect()), key=str) == [("a", "mine", 1, "t8"), ("b", "own", 2, "b"), (None, "none", 3, None)]
+    same = joins.key_fallback_join(left, lookup.withColumnRenamed("lk", "k"), "k", "k", F.col("acct"), "k")
+    assert same.columns == ["k", "note", "acct"] and {r.k for r in same.collect()} == {"8", "b", None}
