@@ -271,3 +271,16 @@ def uplift_apply(upload: DataFrame, uplifts: DataFrame, keys: Sequence[str] = ("
     raised = old + old * (F.try_divide(new - old, old) + F.col("uplift"))
     residential = F.col("target") == "residential" if "target" in upload.columns else F.lit(True)
     return joined.withColumn("new_rate", F.when(residential, raised).otherwise(new)).drop("uplift")
+
+
+def uplift_summary(
+    rows: DataFrame, uplifts: DataFrame, keys: Sequence[str], percent: str = "pct_of_pi", rate: str = "charge_rate"
+) -> DataFrame:
+    """Rows of the summary with ``uplift`` (none = 0), ``uplifted_pct`` and ``uplifted_rate``, the old rate raised by both.
+
+    Of several uplifts of one account the largest counts, as in ``uplift_apply``.
+    """
+    tested = uplifts.groupBy(*keys).agg(F.max("uplift").alias("uplift"))
+    joined = rows.join(tested, list(keys), "left").withColumn("uplift", F.coalesce("uplift", F.lit(0.0)))
+    whole = F.col(percent).cast("double") + F.col("uplift")
+    return joined.withColumns({"uplifted_pct": whole, "uplifted_rate": F.col(rate).cast("double") * (1 + whole)})

@@ -160,6 +160,27 @@ def _uplift_apply(r: Retail):
     return pricing.uplift_apply(upload(r), pricing.uplift_tags(tags)).select("target", "comp", "acct", "cgrp", "charge_rate", "new_rate")
 
 
+@query(
+    "uplift_summary",
+    with_tables(
+        """select target, comp, acct, cgrp, pct, coalesce(up, 0) as uplift, pct + coalesce(up, 0) as uplifted_pct,
+         charge_rate * (1 + (pct + coalesce(up, 0))) as uplifted_rate
+         from (select *, (new_rate - charge_rate) / nullif(charge_rate, 0) as pct from upload where target = 'residential') u
+         left join (select c_custkey, c_nationkey, c_acctbal / 100000 as up from customer where c_acctbal > 5000) c
+          on c_custkey = acct and """ + pad("c_nationkey", 3) + " = comp",
+        *_PRICE_TABLES, extra={**_SHEET_EXTRA, "upload": _UPLOAD_CTE}),
+)
+def _uplift_summary(r: Retail):
+    """Residential lines with their increase, the tested uplift and the rate that both give."""
+    tags = r.table("customer").where(F.col("c_acctbal") > 5000).select(
+        F.concat_ws("_", F.lit("x"), F.col("c_nationkey").cast("string"), F.col("c_custkey").cast("string")).alias("account_tag"),
+        (F.col("c_acctbal") / 100000).alias("uplift"))
+    old, new = F.col("charge_rate"), F.col("new_rate")
+    rows = upload(r).where("target = 'residential'").withColumn("pct", F.try_divide(new - old, old))
+    return pricing.uplift_summary(rows, pricing.uplift_tags(tags), ["comp", "acct"], "pct").select(
+        "target", "comp", "acct", "cgrp", "pct", "uplift", "uplifted_pct", "uplifted_rate")
+
+
 _FIELD_CTE = """select c_nationkey, o_custkey, o_orderkey, o_orderpriority, o_orderstatus, o_orderdate,
  cast(cast(floor(o_totalprice / 5000) as decimal(9,0)) * 0.84 as decimal(18,2)) as charge_rate from placed_orders"""
 

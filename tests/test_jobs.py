@@ -247,3 +247,23 @@ def test_account_profile_equals_its_parts(spark):
     assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect())) and got.count() > 5
     largest = {r.acct_nbr: r.rcf for r in campaign.account_frequency(parts).collect()}
     assert {r.acct_nbr: r.m for r in got.groupBy("acct_nbr").agg(F.max("rcf").alias("m")).collect()} == largest
+
+
+def test_uplift_on_summary_rows(spark):
+    rows = spark.createDataFrame([("001", 7, 0.1, 10.0), ("001", 8, 0.1, 10.0), ("002", 7, None, 5.0)], "comp string, acct int, pct_of_pi double, charge_rate double")
+    uplifts = spark.createDataFrame([("001", 7, 0.05), ("001", 7, 0.02)], "comp string, acct int, uplift double")
+    got = {(r.comp, r.acct): r for r in pricing.uplift_summary(rows, uplifts, ["comp", "acct"]).collect()}
+    assert len(got) == 3 and abs(got["001", 7].uplifted_rate - 11.5) < 1e-9 and got["001", 7].uplift == 0.05
+    assert got["001", 8].uplifted_pct == 0.1 and got["002", 7].uplifted_rate is None
+
+
+def test_uploads_under_contract(spark):
+    line = ("001", "0000001", "00001", "1", "BCR", Decimal("10.00"), "R", "F", 20200101, dt.date(2020, 3, 1), "PILOT", "10", 12)
+    names = "div_nbr string, acct_nbr string, site_nbr string, container_grp_nbr string, charge_code string, charge_rate decimal(18,2), " \
+        "charge_type string, charge_method string, effective_date int, date_signed date, treatment string, rev_distrib_cd string, recurring_charge_freq int"
+    lines = spark.createDataFrame([line, (*line[:2], "00002", *line[3:]), (*line[:3], "2", *line[4:11], None, 12), (*line[:3], "3", *line[4:12], None)], names)
+    contracts = spark.createDataFrame([("001", "0000001", "00001", "RM2"), ("001", "0000001", "00001", "RM1")], "div_nbr string, acct_nbr string, site_nbr string, contract_number string")
+    tax = lines.select(*campaign.CONTAINER, "charge_code", "charge_rate", "charge_type", "charge_method", F.lit("T").alias("tax_app_code"))
+    got = campaign.rate_change_upload(lines, tax, contracts=contracts).collect()
+    assert [(r.container_grp_nbr, r.contract_number) for r in got] == [("1", "RM1")]
+    assert campaign.rate_change_upload(lines, tax).count() == 4
