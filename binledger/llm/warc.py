@@ -10,8 +10,9 @@ Archives live in the folder named by ``spark.checkpoint.dir`` (or one that is gi
 any store that Arrow or Spark's executors can reach will do.
 
 Of records with equal payloads the one with the smallest id carries the payload (response), the others refer to it
-(revisit). Defined results: a NULL payload is the empty payload; NULL ids are not allowed (ValueError in the task);
-repeated ids give one record each, the first of equal ones is the response. A damaged archive raises ValueError.
+(revisit). Defined results: a NULL payload is the empty payload. A row without an id gets a record id made of its content;
+it is read back with a NULL id, and is a revisit where a row with an id has its payload. Repeated ids give one record each;
+rows that repeat an id and its payload are all responses or all revisits. A damaged archive raises ValueError.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from binledger.llm.registry import query, table
-from binledger.session import stage_root
+from binledger.session import new_stage_path
 
 #: Bytes after which an archive is closed and the next one begun.
 FILE_BYTES = 256 << 20
@@ -65,10 +66,11 @@ def member(headers: dict[str, str], block: bytes, level: int = 6) -> bytes:
     return packer.compress("\r\n".join(lines).encode()) + packer.compress(block + b"\r\n\r\n") + packer.flush()
 
 
-def page_record(page_id: int, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
+def page_record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
+    name = f"page:{page_id}" if page_id is not None else f"sha1:{digest((url or '').encode() + payload)}:{uuid4().hex}"
     headers = {
         "WARC-Type": "response" if refers_to is None else "revisit",
-        "WARC-Record-ID": f"<urn:page:{page_id}>",
+        "WARC-Record-ID": f"<urn:{name}>",
         "WARC-Date": _DATE,
         # header lines end at a line break: an address never brings its own
         "WARC-Target-URI": " ".join((url or "").split()),
@@ -160,7 +162,7 @@ def revisits(pages: DataFrame, key: str, payload: str, smallest: int = SMALLEST_
     marked = pages.withColumn("_digest", F.sha2(body, 256))
     firsts = marked.groupBy("_digest").agg(F.min(key).alias("_first"))
     joined = marked.join(firsts.hint("shuffle_hash"), "_digest")
-    other = (F.col("_first") != F.col(key)) & (F.octet_length(body) >= smallest)
+    other = ~F.col("_first").eqNullSafe(F.col(key)) & (F.octet_length(body) >= smallest)
     return joined.withColumn("refers_to", F.when(other, F.col("_first"))).drop("_digest", "_first")
 
 
@@ -181,8 +183,6 @@ def write_warc(df: DataFrame, folder: str, key: str = "page_id", url: str = "url
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
-                if row[key] is None:
-                    raise ValueError("a page without id")
                 if out is None:
                     name = f"{uuid4().hex}.warc.gz"  # of this attempt alone
                     store.create_dir(root, recursive=True)
@@ -246,10 +246,10 @@ def _row(record: Record) -> dict:
 
 
 def archive(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """Write ``pages`` as archives under the shared folder; the manifest, written as a table of its own."""
-    folder = f"{stage_root(spark)}/warc-{uuid4().hex}"
+    """Write ``pages`` as archives under the shared folder, until ``clear_stage``; the manifest, a table of its own."""
+    folder = new_stage_path(spark, "warc")
     listed = f"{folder}/manifest"
-    write_warc(revisits(pages, "page_id", "html"), f"{folder}/data").write.parquet(listed)
+    write_warc(revisits(pages.select("page_id", "url", "html"), "page_id", "html"), f"{folder}/data").write.parquet(listed)
     return spark.read.schema("path string, records long, bytes long").parquet(listed)
 
 
@@ -273,7 +273,7 @@ from g
 @query("op1_warc", _ORACLE)
 def op1(spark, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
-    number = lambda c: F.regexp_extract(c, r"page:(-?\d+)", 1).cast("long")
+    number = lambda c: F.regexp_extract(c, r"page:(-?\d+)", 1).try_cast("long")
     # one archive is one task: spread the paths, whatever file of the manifest they stand in
     paths = archive(spark, pages)
     return read_warc(paths.repartition(spark.sparkContext.defaultParallelism * 4, "path")).select(

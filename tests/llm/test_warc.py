@@ -51,3 +51,19 @@ def test_archive_round_trip(spark, frame):
 
 def test_no_pages(spark, frame):
     assert warc.read_warc(warc.archive(spark, frame([], "page_id long, url string, html string"))).count() == 0
+
+
+def test_rows_without_id_repeated_ids_and_clashing_columns(spark, frame):
+    from pyspark.sql import functions as F
+
+    pages = frame(
+        [(None, "u", "same"), (3, "u3", "same"), (None, "v", "lone"), (None, "v", "lone"), (None, None, None), (3, "u3", "same")],
+        "page_id long, url string, html string",
+    )
+    for name in ("_digest", "_first", "refers_to", "path", "record_id"):
+        pages = pages.withColumn(name, F.lit("x"))
+    got = warc.read_warc(warc.archive(spark, pages)).collect()
+    assert len(got) == 6 and len({r.record_id for r in got}) == 5  # the two rows of page 3 share theirs
+    kinds = sorted((r.target_uri, r.record_type, r.refers_to) for r in got)
+    assert kinds == [("", "response", None), ("u", "revisit", "<urn:page:3>"), ("u3", "response", None),
+                     ("u3", "response", None), ("v", "response", None), ("v", "response", None)]
