@@ -64,7 +64,9 @@ def _pivots(vectors: DataFrame, rows: int, sample: int) -> tuple[np.ndarray, np.
     found = sorted(r.v for r in picked.select("v").limit(2 * sample).collect())
     if not found:
         return np.zeros((0, 0)), np.zeros((0, 0))
-    width = max(map(len, found))
+    # the commonest length, the larger one of two; vectors of other lengths are listed by their length
+    sizes, counts = np.unique([len(x) for x in found], return_counts=True)
+    width = int(sizes[counts == counts.max()].max())
     given = np.array([x for x in found if len(x) == width], np.float64)
     given /= np.linalg.norm(given, axis=1, keepdims=True)
     np.random.default_rng(0).shuffle(given)
@@ -233,7 +235,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     rows = df.select(F.col(key).alias("id"), F.when(fine, F.transform(x, lambda e: e + 0.0)).alias("v"))
     classes = stage(
         rows.where("v is not null").groupBy("v").agg(F.min("id").alias("first"), F.count("*").alias("weight"))
-        .withColumn("node", F.xxhash64("v", F.col("first"))), "vectors"
+        .withColumn("node", F.monotonically_increasing_id()), "vectors"
     )
     count = classes.count()
     pivots, given = _pivots(classes, count, sample)
@@ -262,8 +264,10 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     parts = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     named = parts.join(classes.select("node", "first"), "node")
     names = named.groupBy("root").agg(F.min("first").alias("component"))
+    # only linked vectors have a root: it is looked up among them, so that no join meets the NULL roots of the others
+    placed = parts.join(names, "root").select("node", "component")
     whole = (
-        classes.join(linked, "node", "left").join(parts, "node", "left").join(names, "root", "left")
+        classes.join(linked, "node", "left").join(placed, "node", "left")
         .select("v", F.coalesce("component", "first").alias("component"),
                 (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"))
     )

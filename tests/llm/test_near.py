@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from binledger.llm import jaccard, pivots
 from binledger.llm.components import components
@@ -178,3 +179,17 @@ def test_jaccard_edges(frame):
 def test_bands_reach_the_recall():
     bands = jaccard.bands_for(0.8, 0.999, 4)
     assert 1 - (1 - 0.8**4) ** bands >= 0.999 > 1 - (1 - 0.8**4) ** (bands - 1)
+
+
+def test_one_vector_of_another_length_leaves_the_index_on(spark, frame):
+    draw = np.random.default_rng(11)
+    x = draw.normal(size=(1200, 32))
+    x[1000:] = x[:200] + 0.02 * draw.normal(size=(200, 32))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(5000, draw.normal(size=90).tolist())]
+    df = frame(rows, "vec_id long, embedding array<double>")
+    found, given = pivots._pivots(df.select(F.col("embedding").alias("v")), len(rows), pivots.SAMPLE)
+    assert found.shape[1] == 32 and pivots.setting(found, given, 0.95) != (0, 0)
+    got = {r.vec_id: r for r in pivots.near_duplicates(df).collect()}
+    assert len(got) == 1201 and got[5000].n_links == 0 and got[5000].kept
+    linked = sum(got[1000 + i].component_id == i and got[i].n_links >= 1 for i in range(200))
+    assert linked >= 190 and all(got[i].kept for i in range(1000))
