@@ -12,8 +12,11 @@ from binledger.functions.text import code_in
 from binledger.operators.joins import asof_dim_join, code_domain, code_enrich, if_small, keep_listed, keep_listed_of_many, left_join_on_filter
 from binledger.operators.rows import live_rows
 from binledger.plans import container as job
+from binledger.plans.incremental import merge_late
 from binledger.registry.base import query
 from binledger.registry.standin_sql import bigints, doubles, pad, with_tables, ym
+from binledger.session import new_stage_path
+from binledger.sources.published import read_published
 from binledger.sources.retail import FIRST_MONTH, LAST_MONTH, LaidOutRetail, Retail
 
 AFTER_MONTH, FROM_DAY = 199500, 19950101
@@ -559,3 +562,21 @@ def _asof_many_versions(r: Retail):
     lines = r.placed_lines.select(F.col("c_nationkey").alias("nation"), F.col("l_shipdate").cast("date").alias("shipped"))
     return asof_dim_join(lines, dim, ["nation"], "shipped").groupBy("nation", F.year("shipped").alias("ship_year")).agg(
         F.count(F.lit(1)).alias("lines"), F.round(F.sum("level"), 2).alias("level"), F.max("eff_dt").alias("newest"))
+
+
+@query(
+    "incremental_refresh",
+    """select c_nationkey as nation, cast(strftime(l_shipdate, '%Y%m') as integer) as month_dt, count(*) as lines,
+    cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as amount
+    from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey group by 1, 2""",
+)
+def _incremental_refresh(r: Retail):
+    """Lines per nation and ship month, merged in three batches as their orders become old enough: equal to the whole."""
+    lines = r.placed_lines.select(
+        F.col("c_nationkey").alias("nation"), month_key(F.col("l_shipdate")).alias("month_dt"), F.lit(1).cast("long").alias("lines"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"), F.year("o_orderdate").alias("year"))
+    path = new_stage_path(r.spark, "incremental")
+    arrival = F.when(F.col("year") < 1996, 0).when(F.col("year") < 1998, 1).otherwise(2)
+    for batch in (0, 1, 1, 2):  # the second one is delivered twice
+        merge_late(lines.where(F.coalesce(arrival, F.lit(2)) == batch), path, ["nation"], ["lines", "amount"], batch=batch)
+    return read_published(r.spark, path)

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from binledger.sources.tables import align_to_schema
 
 Entries = list[str]
+_NOTE = "#"  # an entry that is no folder
 
 
 class _Store:
@@ -108,12 +109,30 @@ def publish_append(df: DataFrame, path: str, target: T.StructType | None = None,
     return _commit(store, schema, lambda entries: entries + added)
 
 
-def publish_months(df: DataFrame, path: str, month: str = "month_dt") -> int:
-    """Replace the months that ``df`` holds, all at once, and keep the others; returns the version."""
+def publish_months(df: DataFrame, path: str, month: str = "month_dt", note: tuple[str, str] | None = None) -> int:
+    """Replace the months that ``df`` holds, all at once, and keep the others; returns the version.
+
+    A ``note`` (name, text) is published in the same step and replaces one of that name.
+    """
     store = _Store(df.sparkSession, path)
     added = _write(store, df, month)
     new = {e.rsplit("/", 1)[-1] for e in added}
-    return _commit(store, df.schema, lambda entries: [e for e in entries if e.rsplit("/", 1)[-1] not in new] + added)
+
+    def change(entries: Entries) -> Entries:
+        kept = [e for e in entries if e.rsplit("/", 1)[-1] not in new]
+        if note:
+            kept = [e for e in kept if not e.startswith(f"{_NOTE}{note[0]}=")] + [f"{_NOTE}{note[0]}={note[1]}"]
+        return kept + added
+
+    return _commit(store, df.schema, change)
+
+
+def read_note(spark: SparkSession, path: str, name: str) -> str | None:
+    """The note of this name in the newest version."""
+    store = _Store(spark, path)
+    known = _versions(store)
+    entries = _load(store, known[-1])[1] if known else []
+    return next((e.partition("=")[2] for e in entries if e.startswith(f"{_NOTE}{name}=")), None)
 
 
 def read_published(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
@@ -123,6 +142,7 @@ def read_published(spark: SparkSession, path: str, version: int | None = None) -
     if not known:
         raise FileNotFoundError(f"nothing is published at {path}")
     schema, entries = _load(store, version or known[-1])
+    entries = [e for e in entries if not e.startswith(_NOTE)]
     if not entries:
         return spark.createDataFrame([], schema)
     typed = T.StructType([*schema.fields, T.StructField("load", T.StringType())])

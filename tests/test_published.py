@@ -88,3 +88,25 @@ def test_extremes_come_from_the_footers(spark, data, tmp_path):
         footers.extremes(spark, path, ["c"]).collect()
     # other reads keep the first version of the source
     assert "FileScan parquet" in spark.read.parquet(path)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_late_lines_merge_to_the_whole_and_batches_count_once(spark, tmp_path):
+    from binledger.plans.incremental import late_merger, merge_late
+
+    def lines(data):
+        return spark.createDataFrame(data, "k string, month_dt int, v long")
+
+    batches = [[("a", 1, 5), ("a", 1, 6), ("b", 2, 7)], [("a", 2, 1)], [], [("a", 1, 1), ("c", 3, 2), (None, 3, 4), (None, 3, None)]]
+    path = str(tmp_path / "t")
+    merge = late_merger(path, ["k"], ["v"])
+    for n, some in enumerate(batches):
+        merge(lines(some), n)
+        merge(lines(some), n)  # delivered again
+        whole = lines([x for b in batches[: n + 1] for x in b]).groupBy("k", "month_dt").agg(F.sum("v").alias("v"))
+        got = published.read_published(spark, path).select("k", "month_dt", "v")
+        assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect()))
+    assert not merge_late(lines(batches[1]), path, ["k"], ["v"], batch=1)
+    # months that no late line touches keep their files
+    before = published.read_published(spark, path).where("month_dt = 2").inputFiles()
+    merge(lines([("z", 9, 1)]), 9)
+    assert set(before) <= set(published.read_published(spark, path).inputFiles())
