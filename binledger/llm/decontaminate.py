@@ -1,18 +1,24 @@
 """Benchmark decontamination by template canonicalisation, in DataFrame functions only.
 
-A text becomes a row of tokens: words in lower case, and numbers, names (a capital and small letters, not at the start
-of a sentence) and units (behind a number) with a mark of their type. Its **template** keeps the mark in place of the
-value, so a question whose numbers and names were changed has the template of the original. All windows of ``WINDOW``
-template tokens of the documents meet those of the benchmark in a hash join. A document repeats an item if windows of
-one alignment cover ``COVER`` of the item's, and the **slots** in them are consistent: each value of the item stands for
-one value of the document at all its places. Every alignment of that cover is looked at, and one consistent is enough.
-
-The benchmark's windows are counted first and broadcast only up to ``BROADCAST_ROWS``; more are joined by a shuffle.
-Slots are compared for the found pairs only.
+A text becomes a row of tokens: words in lower case, and numbers (digits or English number words), names (a capital and
+small letters; a run of them is one name) and units (behind a number) with a mark of their type. Its **template** keeps
+the mark in place of the value, so a question whose numbers and names were changed has the template of the original. A
+lone capitalised word at the start of a sentence has a mark of its own and two readings, as a word and as a name; a window
+over such words meets others under either. All windows of ``WINDOW`` template tokens of the documents meet those of the
+benchmark in a hash join.
+
+A document repeats an item if windows of one alignment are ``COVER`` of the item's, or hold ``SPREAD`` of its tokens,
+and the **slots** in them are consistent: each value of the item stands for one value of the document at all its places.
+Every alignment of that cover is looked at, and one consistent is enough. Where none is, alignments that lie up to
+``SLACK`` tokens apart are taken together, as a word put in or left out shifts the rest of an item: each of the item's
+windows then counts in the alignment of most windows.
+
+The benchmark's windows and bytes are counted first and broadcast only up to ``BROADCAST_ROWS`` and ``BROADCAST_BYTES``;
+more are joined by a shuffle. Slots are compared for the found pairs only; capitalised first words count as slots where
+both sides have one.
 
 Items without a window that holds ``WORDS`` words (those of fewer than ``WINDOW`` tokens, or dense in values) are found
-by their exact tokens, values included; they count as one window. The first window of an item is also looked for as it
-reads inside a sentence, where its first word would be a name.
+by their exact words and values in a row; they count as one window.
 
 Defined results: NULL and empty texts match nothing, nor do items without a letter or digit. Rows of documents
 with one id are one document, NULL ids match nothing. Repeated items with one id count once; with a NULL id they
@@ -32,8 +38,10 @@ from binledger.session import stage
 
 #: Template tokens of a window, words among them at least, share of an item's windows that must be there.
 WINDOW, WORDS, COVER = 8, 4, 0.5
-#: Benchmark windows that are broadcast at most (16 bytes of key and a few of position each: some tens of MB).
-BROADCAST_ROWS = 1_000_000
+#: Share of an item's tokens inside found windows that does as well; tokens by which a shift may change inside an item.
+SPREAD, SLACK = 0.8, 4
+#: Benchmark windows (16 bytes of key and a few of position each) and bytes of items that are broadcast at most.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
 #: Units of measure that count as such behind a number.
 UNITS = (
     "mm", "cm", "dm", "m", "km", "in", "ft", "yd", "mi", "inches", "feet", "yards", "miles", "meters", "metres",
@@ -43,17 +51,32 @@ UNITS = (
     "hz", "khz", "mhz", "ghz", "kb", "mb", "gb", "tb", "mph", "kmh",
 )
 
-#: (pattern, replacement) in order; \\x01 marks the start of a sentence, \\x02 a name, \\x03 a number, \\x04 a unit.
+#: Numbers in words.
+NUMBERS = (
+    "zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve", "thirteen",
+    "fourteen", "fifteen", "sixteen", "seventeen", "eighteen", "nineteen", "twenty", "thirty", "forty", "fifty", "sixty",
+    "seventy", "eighty", "ninety", "hundred", "thousand", "million", "billion",
+)
+
+#: (pattern, replacement) in order; \x01 marks a lone capitalised word at the start of a sentence, \x02 a name, \x03 a
+#: number, \x04 a unit; \x06 and \x07 stand behind names and number words until runs of them are one.
 _STEPS = [
-    (r"[\x01-\x04_]", " "),
+    (r"[\x01-\x07_]", " "),
     (r"([0-9])[.,]([0-9])", r"\1_\2"),
     (r"([0-9])[.,]([0-9])", r"\1_\2"),  # once more for the middle of 1.2.3
     (r"(^|[.!?:;][\"')\]]*\s+|\n\s*)(\p{Lu}\p{Ll})", "\\1\x01\\2"),
-    (r"(^|[^\p{L}\p{N}\x01])(\p{Lu}\p{Ll}[\p{L}\p{N}]*)", "\\1 \x02\\2"),
+    (r"(^|[^\p{L}\p{N}\x01])(\p{Lu}\p{Ll}[\p{L}\p{N}]*)", "\\1 \x02\\2\x06"),
+    (r"\x01([\p{L}\p{N}]+)  \x02", " \x02\\1_"),
+    ("\x06  \x02", "_"),
     (r"(^|[^\p{L}\p{N}\x01_])([0-9]+(?:_[0-9]+)*)", "\\1 \x03\\2"),
     (r"(\x03[0-9_]+) *%", "\\1 \x04percent "),
     (r"(\x03[0-9_]+) *(?i:(" + "|".join(UNITS) + r"))([^\p{L}\p{N}]|$)", "\\1 \x04\\2\\3"),
-    (r"[^\p{L}\p{N}\x02-\x04_]+", " "),
+    (r"[^\p{L}\p{N}\x01-\x04_]+", "  "),
+    (r"(^| )\x01?(?i:(" + "|".join(NUMBERS) + "))( |$)", "\\1\x03\\2\x07\\3"),
+    ("\x07  \x03", "_"),
+    ("\x07", ""),
+    ("  ", " "),
+    (r"(\x03[A-Za-z_]+) (?i:(" + "|".join(UNITS) + "))( |$)", "\\1 \x04\\2\\3"),
 ]
 
 
@@ -61,11 +84,16 @@ def tokens(text: str) -> Column:
     """Tokens of a text as one string, a space between them; values follow their mark."""
     start = F.coalesce(F.col(text), F.lit(""))
 
+    def step(t: Column, pattern: str, to: str) -> Column:
+        if pattern.strip("\x02\x03\x06\x07 ") == "":
+            return F.replace(t, F.lit(pattern), F.lit(to))
+        return F.regexp_replace(t, pattern, re.sub(r"\\(\d)", r"$\1", to))
+
     def run(steps: list[tuple[str, str]]) -> Column:
-        return reduce(lambda t, s: F.regexp_replace(t, s[0], re.sub(r"\\(\d)", r"$\1", s[1])), steps, start)
+        return reduce(lambda t, s: step(t, *s), steps, start)
 
     # most texts have no digit: the steps that need one are left out for them
-    wordy = [s for s in _STEPS if "0-9" not in s[0] and "\x03[" not in s[0]]
+    wordy = [s for s in _STEPS if "0-9" not in s[0]]
     return F.trim(F.lower(F.when(start.rlike("[0-9]"), run(_STEPS)).otherwise(run(wordy))))
 
 
@@ -74,89 +102,116 @@ def template(tokens: Column) -> Column:
 
 
 def windows(df: DataFrame, key: str, text: str, window: int) -> DataFrame:
-    """(key, place, hash) of every window of the template of ``text``; places begin with 1."""
-    return _parts(df, key, text, window).select(key, "place", F.xxhash64("part").alias("hash"))
+    """(key, place, hash) of every window of the template of ``text`` in its readings; places begin with 1."""
+    return _parts(df, key, text, window).select(key, "place", F.explode(_readings("part")).alias("hash")).withColumn(
+        "hash", F.xxhash64("hash"))
+
+
+def _readings(part: str) -> Column:
+    """A window with the first words of sentences as words and, where there are any, as names."""
+    word = F.replace(F.col(part), F.lit("\x01"), F.lit(""))
+    name = F.regexp_replace(part, "\x01[^ ]*", "\x02")
+    return F.when(F.contains(F.col(part), F.lit("\x01")), F.array(word, name)).otherwise(F.array(part))
+
+
+def _windows_of(tokens: Column, window: int) -> Column:
+    # before every token, what the next tokens are: one pass of a pattern over the whole text
+    return F.regexp_extract_all(F.concat(tokens, F.lit(" ")), F.lit(f"(?<![^ ])(?=((?:[^ ]+ ){{{window}}}))"), F.lit(1))
 
 
 def _parts(df: DataFrame, key: str, text: str, window: int) -> DataFrame:
-    # before every token, what the next tokens are: one pass of a pattern over the whole template
-    ahead = F.lit(f"(?<![^ ])(?=((?:[^ ]+ ){{{window}}}))")
-    spaced = F.concat(template(tokens(text)), F.lit(" "))
-    parts = F.posexplode(F.regexp_extract_all(spaced, ahead, F.lit(1))).alias("place", "part")
+    parts = F.posexplode(_windows_of(template(tokens(text)), window)).alias("place", "part")
     return df.select(key, parts).withColumn("place", F.col("place") + 1)
 
 
-def _item_windows(items: DataFrame, key: str, text: str, window: int, words: int) -> DataFrame:
-    """Windows of the benchmark that hold enough words to tell something."""
-    marked = F.size(F.filter(F.split("part", " "), lambda w: w.rlike("^[\x02-\x04]")))
-    told = _parts(items, key, text, window).where(window - marked >= words)
-    return told.select(key, F.col("place").alias("at"), F.xxhash64("part").alias("hash")).distinct()
+def _marked(part: str | Column) -> Column:
+    return F.size(F.filter(F.split(part, " "), lambda w: w.rlike("^[\x02-\x04]")))
 
 
-def _first_as_name(items: DataFrame, window: int, words: int) -> DataFrame:
-    """The first window of each item as it reads behind a plain word, where a capital makes a name of its first word."""
-    behind = items.withColumn("_text", F.concat(F.lit("a "), F.ltrim("_text")))
-    return _item_windows(behind, "_item", "_text", window, words).where("at = 2").withColumn("at", F.lit(1))
+def _item_windows(items: DataFrame, key: str, text: str, window: int, words: int) -> DataFrame:
+    """Windows of the benchmark, in each reading, that hold enough words to tell something."""
+    read = _parts(items, key, text, window).select(key, F.col("place").alias("at"), F.explode(_readings("part")).alias("part"))
+    return read.where(window - _marked("part") >= words).select(key, "at", F.xxhash64("part").alias("hash")).distinct()
 
 
 def _plain(text: str) -> Column:
-    """Tokens without the marks of their types."""
-    return F.translate(tokens(text), "\x02\x03\x04", "")
+    """Words and values of a text in lower case, a space between them."""
+    return F.trim(F.lower(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"[^\p{L}\p{N}]+", " ")))
 
 
 def _literal(docs: DataFrame, bench: DataFrame, window: int, words: int, few: bool) -> DataFrame | None:
-    """(document, item, slots) of items without a usable window: documents that hold all their tokens in a row."""
-    spaced = F.concat(template(tokens("_text")), F.lit(" "))
-    parts = F.regexp_extract_all(spaced, F.lit(f"(?<![^ ])(?=((?:[^ ]+ ){{{window}}}))"), F.lit(1))
-    marked = lambda p: F.size(F.filter(F.split(p, " "), lambda w: w.rlike("^[\x02-\x04]")))
-    usable = F.exists(parts, lambda p: window - marked(p) >= words)
-    rest = bench.where(~usable).select("_item", _plain("_text").alias("whole"), marked(tokens("_text")).alias("n_slots"))
+    """(document, item, slots) of items without a usable window: documents that hold all their words in a row."""
+    usable = F.exists(_windows_of(template(tokens("_text")), window), lambda p: window - _marked(p) >= words)
+    rest = bench.where(~usable).select("_item", _plain("_text").alias("whole"), _marked(tokens("_text")).alias("n_slots"))
     rest = rest.where("whole <> ''").distinct().withColumn("k", F.least(F.size(F.split("whole", " ")), F.lit(window)))
     begin = F.array_join(F.slice(F.split("whole", " "), F.lit(1), F.col("k")), " ")
-    rest = stage(rest.withColumn("hash", F.xxhash64(F.concat(begin, F.lit(" ")))), "short-items")
+    rest = stage(rest.withColumn("hash", F.xxhash64(begin)), "short-items")
     sizes = sorted(r.k for r in rest.select("k").distinct().collect())
     if not sizes:
         return None
-    plain = docs.select("_doc", F.concat(_plain("_text"), F.lit(" ")).alias("t"))
-    starts = [
-        plain.select("_doc", F.explode(F.array_distinct(F.regexp_extract_all(
-            "t", F.lit(f"(?<![^ ])(?=((?:[^ ]+ ){{{k}}}))"), F.lit(1)))).alias("part"))
-        .select("_doc", F.lit(k).alias("k"), F.xxhash64("part").alias("hash")) for k in sizes
-    ]
-    met = reduce(DataFrame.unionByName, starts).join(F.broadcast(rest) if few else rest, ["k", "hash"])
+    plain = docs.select("_doc", _plain("_text").alias("t"))
+    # at every place the beginnings of all the lengths that items have
+    ahead = F.lit(f"(?<![^ ])(?=((?:[^ ]+ ){{1,{sizes[-1]}}}))")
+    parts = F.regexp_extract_all(F.concat("t", F.lit(" ")), ahead, F.lit(1))
+    starts = plain.select("_doc", F.explode(F.array_distinct(parts)).alias("part"))
+    split = F.split(F.rtrim(F.col("part")), " ")
+    starts = starts.select("_doc", split.alias("w")).select("_doc", "w", F.explode(F.array(*map(F.lit, sizes))).alias("k"))
+    begin = F.array_join(F.slice("w", F.lit(1), F.col("k")), " ")
+    starts = starts.where(F.size("w") >= F.col("k")).select("_doc", "k", F.xxhash64(begin).alias("hash"))
+    met = starts.join(F.broadcast(rest) if few else rest, ["k", "hash"])
     whole = met.select("_doc", "_item", "whole", "n_slots").distinct().join(plain, "_doc")
-    held = F.contains(F.concat(F.lit(" "), "t"), F.concat(F.lit(" "), "whole", F.lit(" ")))
+    held = F.contains(F.concat(F.lit(" "), "t", F.lit(" ")), F.concat(F.lit(" "), "whole", F.lit(" ")))
     return whole.where(held).groupBy("_doc", "_item").agg(F.max("n_slots").alias("n_slots"))
 
 
 def contaminated(
     documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
-    item_text: str = "text", window: int = WINDOW, words: int = WORDS, cover: float = COVER,
-) -> DataFrame:
+    item_text: str = "text", window: int = WINDOW, words: int = WORDS, cover: float = COVER, spread: float = SPREAD,
+    slack: int = SLACK,
+) -> DataFrame:
     """One row per document and item that it repeats: windows found and asked for, slots and how many have changed."""
     docs = documents.select(F.col(key).alias("_doc"), F.col(text).alias("_text")).where("_doc is not null")
     bench = items.select(F.col(item_key).alias("_item"), F.col(item_text).alias("_text")).where("_item is not null")
     asked = stage(_item_windows(bench, "_item", "_text", window, words), "item-windows")
-    total = asked.groupBy("_item").agg(F.countDistinct("at").alias("asked"))
-    few = asked.count() <= BROADCAST_ROWS
-    both = asked.withColumn("other", F.lit(False))
-    other = _first_as_name(bench, window, words).join(asked.where("at = 1").select("_item"), "_item", "left_semi")
-    both = both.unionByName(other.withColumn("other", F.lit(True)))
-    hits = windows(docs, "_doc", "_text", window).join(F.broadcast(both) if few else both, "hash")
+    size = bench.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    few = size <= BROADCAST_BYTES and asked.count() <= BROADCAST_ROWS
+    length = bench.groupBy("_item").agg(F.max(F.size(F.split(tokens("_text"), " "))).alias("length"))
+    total = asked.groupBy("_item").agg(F.countDistinct("at").alias("asked")).join(length, "_item")
+    hits = windows(docs, "_doc", "_text", window).join(F.broadcast(asked) if few else asked, "hash")
+    lines = hits.groupBy("_doc", "_item", (F.col("place") - F.col("at")).alias("shift")).agg(F.collect_set("at").alias("ats"))
+    lines = stage(lines.join(total, "_item"), "lines")
+
+    inside = F.size(F.array_distinct(F.flatten(F.transform("ats", lambda a: F.sequence(a, a + window - 1)))))
+    enough = (F.size("ats") >= F.col("asked") * cover) | (inside >= F.col("length") * spread)
+    values = _values(bench)
+
     # every alignment that enough windows agree on
-    lines = hits.groupBy("_doc", "_item", (F.col("place") - F.col("at")).alias("shift")).agg(
-        F.collect_set("at").alias("ats"), F.collect_set(F.when(~F.col("other"), F.col("at"))).alias("own")
-    ).join(total, "_item")
-    # the other reading of the first word counts where the cover is not reached without it
-    enough = F.size("own") >= F.col("asked") * cover
-    lines = lines.withColumn("found", F.size(F.when(enough, F.col("own")).otherwise(F.col("ats")))).drop("own")
-    lines = stage(lines.where(F.col("found") >= F.col("asked") * cover), "pairs")
-    slots = _slots(docs, bench, lines, few, window)
-    fine = lines.join(slots, ["_doc", "_item", "shift"], "left").where("coalesce(consistent, true)")
-    # of the consistent ones that of most windows
-    best = F.struct("found", -F.col("shift"), "asked", "n_slots", "n_changed")
-    out = fine.groupBy("_doc", "_item").agg(F.max(best).alias("b")).select("_doc", "_item", "b.*")
-    out = out.select("_doc", "_item", "found", "asked", "n_slots", "n_changed")
+    pairs = lines.where(enough).select("_doc", "_item", F.col("shift").alias("line"), "ats", "asked", "shift")
+    wanted = pairs.join(F.broadcast(values) if few else values, "_item")
+    wanted = wanted.select(
+        "_doc", "_item", "line", "at", "value", (F.col("at") + F.col("shift")).alias("place"),
+        F.exists("ats", lambda a: (a <= F.col("at")) & (F.col("at") < a + window)).alias("inside"),
+    )
+    out = stage(_consistent(pairs.withColumn("found", F.size("ats")), _slots(docs, wanted)), "pairs")
+
+    # where none is consistent: alignments of nearly one shift, every window of the item in that of most windows
+    other = lines.join(out, ["_doc", "_item"], "left_anti").withColumn("n", F.size("ats"))
+    band = F.floor(F.col("shift") / slack)
+    near = other.select("_doc", "_item", "asked", "length", "shift", "n", F.explode("ats").alias("at"),
+                        F.array(band, band - 1).alias("bands"))
+    near = near.withColumn("line", F.explode("bands")).groupBy("_doc", "_item", "asked", "length", "line", "at").agg(
+        (-F.max(F.struct("n", (-F.col("shift")).alias("less")))["less"]).alias("shift"))
+    bands = near.groupBy("_doc", "_item", "asked", "length", "line").agg(
+        F.collect_list("at").alias("ats"), F.collect_list(F.struct("at", "shift")).alias("picks"))
+    bands = stage(bands.where(enough), "bands")
+    each = bands.select("_doc", "_item", "line", F.explode("picks").alias("p")).select(
+        "_doc", "_item", "line", "p.shift", F.explode(F.sequence(F.col("p.at"), F.col("p.at") + window - 1)).alias("at")
+    )
+    each = each.distinct().join(F.broadcast(values) if few else values, ["_item", "at"])
+    wanted = each.select("_doc", "_item", "line", "at", "value", (F.col("at") + F.col("shift")).alias("place"),
+                         F.lit(True).alias("inside"))
+    out = out.unionByName(_consistent(bands.withColumn("found", F.size("ats")), _slots(docs, wanted)))
+
     literal = _literal(docs, bench, window, words, few)
     if literal is not None:  # an item id may have a text of either kind
         literal = literal.join(out, ["_doc", "_item"], "left_anti").select(
@@ -170,38 +225,46 @@ def contaminated(
     )
 
 
-def _slots(docs: DataFrame, bench: DataFrame, pairs: DataFrame, few: bool, window: int) -> DataFrame:
-    """(document, item, shift): number of slots, changed ones, and whether every value of the item has one counterpart.
+def _consistent(pairs: DataFrame, slots: DataFrame) -> DataFrame:
+    """Of the consistent alignments of a document and item that of most windows."""
+    fine = pairs.join(slots, ["_doc", "_item", "line"], "left").where("coalesce(consistent, true)")
+    best = F.struct("found", -F.col("line"), "asked", "n_slots", "n_changed")
+    out = fine.groupBy("_doc", "_item").agg(F.max(best).alias("b")).select("_doc", "_item", "b.*")
+    return out.select("_doc", "_item", "found", "asked", "n_slots", "n_changed")
+
+
+def _values(texts: DataFrame, key: str = "_item", at: str = "at", value: str = "value") -> DataFrame:
+    """(key, place, value) of all slots; the first word of a sentence is a name here."""
+    each = texts.select(key, F.posexplode(F.split(tokens("_text"), " ")).alias(at, value))
+    each = each.where(F.col(value).rlike("^[\x01-\x04]")).withColumn(at, F.col(at) + 1)
+    return each.withColumn(value, F.translate(value, "\x01", "\x02")).distinct()
+
+
+def _slots(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(document, item, line): number of slots, changed ones, and whether every value of the item has one counterpart.
 
     Only slots inside the windows that were found can speak against an alignment; those outside are counted too where
     they agree with it.
     """
-    asked = bench.select("_item", F.posexplode(F.split(tokens("_text"), " ")).alias("at", "value"))
-    asked = asked.where(F.col("value").rlike("^[\x02-\x04]")).withColumn("at", F.col("at") + 1).distinct()
-    wanted = pairs.select("_doc", "_item", "shift", "ats").join(F.broadcast(asked) if few else asked, "_item")
-    inside = F.exists("ats", lambda a: (a <= F.col("at")) & (F.col("at") < a + window))
-    wanted = wanted.withColumn("place", F.col("at") + F.col("shift")).withColumn("inside", inside).drop("ats")
-    texts = docs.join(pairs.join(asked.select("_item").distinct(), "_item", "left_semi").select("_doc").distinct(), "_doc")
-    there = texts.select("_doc", F.posexplode(F.split(tokens("_text"), " ")).alias("place", "other"))
-    there = there.where(F.col("other").rlike("^[\x02-\x04]")).withColumn("place", F.col("place") + 1)
+    there = _values(docs.join(wanted.select("_doc").distinct(), "_doc", "left_semi"), "_doc", "place", "other")
     met = wanted.join(there, ["_doc", "place"])
     place = F.struct("at", "other", "inside")
-    values = met.groupBy("_doc", "_item", "shift", "value").agg(F.collect_set(place).alias("m"))
+    values = met.groupBy("_doc", "_item", "line", "value").agg(F.collect_set(place).alias("m"))
     others = lambda m: F.size(F.array_distinct(F.transform(m, lambda x: x["other"])))
     count = lambda m: F.size(F.array_distinct(F.transform(m, lambda x: x["at"])))
     changed = lambda m: count(F.filter(m, lambda x: x["other"] != F.col("value")))
     near = F.filter("m", lambda x: x["inside"])
-    values = values.select("_doc", "_item", "shift", *[
+    values = values.select("_doc", "_item", "line", *[
         c(m).alias(f"{name}{of}") for of, m in (("", F.col("m")), ("_in", near))
         for name, c in (("others", others), ("n", count), ("changed", changed))
     ])
-    sums = values.groupBy("_doc", "_item", "shift").agg(
+    sums = values.groupBy("_doc", "_item", "line").agg(
         F.max("others").alias("_o"), F.max("others_in").alias("_i"),
         *[F.sum(c).alias(c) for c in ("n", "changed", "n_in", "changed_in")],
     )
     whole = F.col("_o") == 1
     return sums.select(
-        "_doc", "_item", "shift", F.when(whole, F.col("n")).otherwise(F.col("n_in")).alias("n_slots"),
+        "_doc", "_item", "line", F.when(whole, F.col("n")).otherwise(F.col("n_in")).alias("n_slots"),
         F.when(whole, F.col("changed")).otherwise(F.col("changed_in")).alias("n_changed"),
         (F.col("_i") <= 1).alias("consistent"),
     )
@@ -216,54 +279,111 @@ def _sql_tokens(text: str) -> str:
 
 
 def _escaped(to: str) -> str:
-    return to.replace("\\", "\\\\").replace("\x01", "\\x01").replace("\x02", "\\x02").replace("\x03", "\\x03").replace("\x04", "\\x04")
+    return to.replace("\\", "\\\\").translate({n: f"\\x{n:02x}" for n in range(1, 8)})
 
 
+_MARKS = "(2, 3, 4)"
+_SPANS = f"len(list_distinct(flatten(list_transform(ats, lambda a: range(a, a + {WINDOW})))))"
+_ENOUGH = f"(len(ats) >= asked * {COVER} or {_SPANS} >= length * {SPREAD})"
 _ORACLE = f"""
 with d as (
   select doc_id, string_split({_sql_tokens("text")}, ' ') as t from documents where doc_id is not null
 ), b as (
-  select item_id, string_split({_sql_tokens("text")}, ' ') as t from benchmark where item_id is not null
+  select item_id, text, string_split({_sql_tokens("text")}, ' ') as t from (select distinct item_id, text from benchmark)
+  where item_id is not null
 ), dw as (
   select doc_id, unnest(t) as value, generate_subscripts(t, 1) as place from d
 ), bw as (
-  select item_id, unnest(t) as value, generate_subscripts(t, 1) as place from b
+  select item_id, text, unnest(t) as value, generate_subscripts(t, 1) as place from b
 ), dt as (
-  select doc_id, value, place, case when ascii(value) in (2, 3, 4) then value[1] else value end as w from dw
+  select *, case when ascii(value) in {_MARKS} then value[1] when ascii(value) = 1 then value[2:] else value end as w,
+   case when ascii(value) in {_MARKS} then value[1] when ascii(value) = 1 then e'\\x02' else value end as nm from dw
 ), bt as (
-  select item_id, value, place, case when ascii(value) in (2, 3, 4) then value[1] else value end as w from bw
-), dwin as (
-  select doc_id, place, string_agg(w, ' ') over f as win, count(*) over f as n from dt
+  select *, case when ascii(value) in {_MARKS} then value[1] when ascii(value) = 1 then value[2:] else value end as w,
+   case when ascii(value) in {_MARKS} then value[1] when ascii(value) = 1 then e'\\x02' else value end as nm from bw
+), dboth as (
+  select doc_id, place, unnest([string_agg(w, ' ') over f, string_agg(nm, ' ') over f]) as win, count(*) over f as n from dt
   window f as (partition by doc_id order by place rows between current row and {WINDOW - 1} following)
-), bwin as (
-  select item_id, place as pos, string_agg(w, ' ') over f as win, count(*) over f as n,
-         sum((length(w) > 1 or ascii(w) not in (2, 3, 4))::int) over f as words
-  from bt window f as (partition by item_id order by place rows between current row and {WINDOW - 1} following)
+), dwin as (
+  select distinct * from dboth where n = {WINDOW}
+), bboth as (
+  select item_id, text, place as pos, count(*) over f as n,
+   unnest([{{'win': string_agg(w, ' ') over f, 'words': sum((coalesce(ascii(w), 0) not in {_MARKS})::int) over f}},
+           {{'win': string_agg(nm, ' ') over f, 'words': sum((coalesce(ascii(nm), 0) not in {_MARKS})::int) over f}}]) as x
+  from bt window f as (partition by item_id, text order by place rows between current row and {WINDOW - 1} following)
+), told as (
+  select distinct item_id, text, pos, x.win as win from bboth where n = {WINDOW} and x.words >= {WORDS}
 ), asked as (
-  select item_id, pos, win from bwin where n = {WINDOW} and words >= {WORDS}
+  select distinct item_id, pos, win from told
+), total as (
+  select item_id, asked, length from (select item_id, count(distinct pos) as asked from asked group by all)
+  join (select item_id, max(len(t)) as length from b group by all) using (item_id)
 ), lines as (
-  select doc_id, item_id, place - pos as shift, count(*) as found
-  from dwin join asked using (win) where n = {WINDOW} group by all
-), best as (
-  select doc_id, item_id, found, shift from lines
-  qualify row_number() over (partition by doc_id, item_id order by found desc, shift) = 1
+  select doc_id, item_id, place - pos as shift, list(distinct pos) as ats
+  from dwin join asked using (win) group by all
 ), pairs as (
-  select * from best join (select item_id, count(*) as asked from asked group by all) using (item_id)
-  where found >= asked * {COVER}
+  select * from lines join total using (item_id) where {_ENOUGH}
+), bval as (
+  select distinct item_id, place, case when ascii(value) = 1 then e'\\x02' || value[2:] else value end as value
+  from bw where ascii(value) in (1, 2, 3, 4)
+), dval as (
+  select distinct doc_id, place, case when ascii(value) = 1 then e'\\x02' || value[2:] else value end as other
+  from dw where ascii(value) in (1, 2, 3, 4)
 ), met as (
-  select p.doc_id, p.item_id, bt.value, bt.place, dt.value as other
-  from pairs p join bt on bt.item_id = p.item_id and ascii(bt.value) in (2, 3, 4)
-  join dt on dt.doc_id = p.doc_id and dt.place = bt.place + p.shift and ascii(dt.value) in (2, 3, 4)
+  select p.doc_id, p.item_id, p.shift, v.value, v.place, o.other,
+   len(list_filter(p.ats, lambda a: a <= v.place and v.place < a + {WINDOW})) > 0 as inside
+  from pairs p join bval v using (item_id) join dval o on o.doc_id = p.doc_id and o.place = v.place + p.shift
 ), vals as (
-  select doc_id, item_id, value, count(distinct other) as others, count(*) as n, sum((other <> value)::int) as changed
+  select doc_id, item_id, shift, value, count(distinct other) as o, count(distinct place) as n,
+   count(distinct place) filter (where other <> value) as c, count(distinct other) filter (where inside) as o_in,
+   count(distinct place) filter (where inside) as n_in, count(distinct place) filter (where inside and other <> value) as c_in
   from met group by all
 ), slots as (
-  select doc_id, item_id, max(others) as o, sum(n) as n_slots, sum(changed) as n_changed from vals group by all
+  select doc_id, item_id, shift, max(o_in) as o_in, case when max(o) = 1 then sum(n) else sum(n_in) end as n_slots,
+   case when max(o) = 1 then sum(c) else sum(c_in) end as n_changed from vals group by all
+), exact as (
+  select doc_id, item_id, len(ats) as found, asked, n_slots, n_changed
+  from pairs left join slots using (doc_id, item_id, shift) where coalesce(o_in, 0) <= 1
+  qualify row_number() over (partition by doc_id, item_id order by len(ats) desc, shift) = 1
+), tries as (
+  select doc_id, item_id, shift, len(ats) as n, unnest(ats) as pos from lines anti join exact using (doc_id, item_id)
+), banded as (
+  select doc_id, item_id, pos, shift, n, unnest([floor(shift / {SLACK}), floor(shift / {SLACK}) - 1])::int as line from tries
+), picks as (
+  select doc_id, item_id, line, pos, shift from banded
+  qualify row_number() over (partition by doc_id, item_id, line, pos order by n desc, shift) = 1
+), bands as (
+  select * from (select doc_id, item_id, line, list(pos) as ats from picks group by all) join total using (item_id)
+  where {_ENOUGH}
+), bmet as (
+  select distinct k.doc_id, k.item_id, k.line, v.value, v.place, o.other
+  from picks k join bands using (doc_id, item_id, line)
+  join bval v on v.item_id = k.item_id and v.place >= k.pos and v.place < k.pos + {WINDOW}
+  join dval o on o.doc_id = k.doc_id and o.place = v.place + k.shift
+), bvals as (
+  select doc_id, item_id, line, value, count(distinct other) as o, count(distinct place) as n,
+   count(distinct place) filter (where other <> value) as c from bmet group by all
+), bslots as (
+  select doc_id, item_id, line, max(o) as o, sum(n) as n_slots, sum(c) as n_changed from bvals group by all
+), loose as (
+  select doc_id, item_id, len(ats) as found, asked, n_slots, n_changed
+  from bands left join bslots using (doc_id, item_id, line) where coalesce(o, 0) <= 1
+  qualify row_number() over (partition by doc_id, item_id order by len(ats) desc, line) = 1
+), windowed as (
+  select * from exact union all select * from loose
+), rest as (
+  select item_id, trim(lower(regexp_replace(text, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))) as whole,
+   len(list_filter(t, lambda x: ascii(x) in {_MARKS})) as n_slots
+  from b where (item_id, text) not in (select item_id, text from told) and text is not null
+), literal as (
+  select doc_id, item_id, 1 as found, 1 as asked, max(n_slots) as n_slots, 0 as n_changed
+  from documents join rest on whole <> '' and contains(
+   ' ' || trim(lower(regexp_replace(documents.text, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))) || ' ', ' ' || whole || ' ')
+  where doc_id is not null group by doc_id, item_id
 )
-select p.doc_id, p.item_id, p.found::bigint as n_windows, p.asked::bigint as n_asked,
+select doc_id, item_id, found::bigint as n_windows, asked::bigint as n_asked,
        coalesce(n_slots, 0)::bigint as n_slots, coalesce(n_changed, 0)::bigint as n_changed
-from pairs p left join slots s on s.doc_id = p.doc_id and s.item_id = p.item_id
-where coalesce(o, 1) = 1
+from (select * from windowed union all select * from literal anti join windowed using (doc_id, item_id))
 """
 
 

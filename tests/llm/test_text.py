@@ -4,6 +4,7 @@ import random
 import re
 
 import corpus_pipeline
+import duckdb
 import numpy as np
 import pytest
 from remainder import crc_remainder
@@ -211,6 +212,51 @@ def test_every_item_is_searched(frame):
     assert got == {(1, 1), (3, 2), (5, 3), (6, 3)}
 
 
+CLIPS = ("Natalia sold clips to 48 friends in April. Natalia then sold half as many in May. How many clips did Natalia "
+         "sell altogether?")
+JOURNEY = ("after a long and very quiet winter the old teacher travelled to Prague with 12 children and found that nobody "
+           "had ever heard about them there")
+PLAIN = "the slow river carries small stones down from old hills and leaves them along wide banks where tall reeds grow"
+PAIRED = "Ann gave 3 red apples to the man and then Ann gave 3 red apples to the woman before 5 came"
+VARIED = {
+    1: CLIPS.replace("Natalia", "Marta").replace("48", "36"),
+    2: "People say: " + CLIPS.replace("Natalia", "Mary Ann Smith").replace("48", "thirty-six"),
+    3: JOURNEY.replace("Prague", "New York").replace("12", "twenty one"),
+    4: PLAIN.replace("hills", "mountains"),
+    5: PLAIN.replace("and leaves", "and quietly leaves"),
+    6: PLAIN.replace("carries", "often carries").replace("wide", "very wide"),  # no eight tokens stand but in the middle
+    7: PLAIN[0].upper() + PLAIN[1:],
+    8: PAIRED,
+    9: PAIRED.replace("Ann gave 3", "Bob gave 4"),
+    10: PAIRED.replace("then Ann", "then Bob"),
+    11: "Natalia walked to the market in April. She then came home in May. How many people did she meet there?",
+    12: "How do I say this? the slow river carries small stones and nothing else of this is said here or later on at all",
+}
+
+
+def varied(frame):
+    items = frame([(1, CLIPS), (2, JOURNEY), (3, PLAIN), (4, PAIRED), (5, "What is 7 times 8?")], "item_id long, text string")
+    rows = [*VARIED.items(), *((k + 100, t) for k, t in CASES.items()), (200, "well, what is 7 times 8"), (201, "what is 7 times 9")]
+    return frame(rows, "doc_id long, text string"), items.unionByName(frame([(6, ITEM), (7, None)], "item_id long, text string"))
+
+
+def test_changed_questions_are_found(frame):
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(*varied(frame)).collect()}
+    assert set(got) == {(1, 1), (2, 1), (3, 2), (4, 3), (5, 3), (7, 3), (8, 4), (9, 4), (101, 6), (102, 6), (107, 6), (200, 5)}
+    assert got[1, 1].n_changed == 4 and got[3, 2].n_changed == 2 and got[8, 4].n_changed == 0
+
+
+def test_decontamination_sql_has_every_branch(frame, tmp_path):
+    docs, items = varied(frame)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"create view {name} as from '{tmp_path}/{name}.parquet/*.parquet'")
+    want = con.execute(decontaminate._ORACLE).fetchall()
+    assert sorted(want) == sorted(map(tuple, decontaminate.contaminated(docs, items).collect())) and want
+
+
 def test_join_beyond_the_broadcast_bound(frame, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
     got = decontaminate.contaminated(frame([*CASES.items()], "doc_id long, text string"), frame([(10, ITEM)], "item_id long, text string"))
