@@ -30,7 +30,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from binledger.llm.registry import query, table
@@ -183,13 +183,14 @@ def contaminated(
 
     inside = F.size(F.array_distinct(F.flatten(F.transform("ats", lambda a: F.sequence(a, a + window - 1)))))
     enough = (F.size("ats") >= F.col("asked") * cover) | (inside >= F.col("length") * spread)
-    values = _values(bench)
+    # a first word that is a name elsewhere in its item is a name
+    values = _values(bench).withColumn("first", F.min("first").over(Window.partitionBy("_item", "value"))).distinct()
 
     # every alignment that enough windows agree on
     pairs = lines.where(enough).select("_doc", "_item", F.col("shift").alias("line"), "ats", "asked", "shift")
     wanted = pairs.join(F.broadcast(values) if few else values, "_item")
     wanted = wanted.select(
-        "_doc", "_item", "line", "at", "value", (F.col("at") + F.col("shift")).alias("place"),
+        "_doc", "_item", "line", "at", "value", "first", (F.col("at") + F.col("shift")).alias("place"),
         F.exists("ats", lambda a: (a <= F.col("at")) & (F.col("at") < a + window)).alias("inside"),
     )
     out = stage(_consistent(pairs.withColumn("found", F.size("ats")), _slots(docs, wanted)), "pairs")
@@ -208,7 +209,7 @@ def contaminated(
         "_doc", "_item", "line", "p.shift", F.explode(F.sequence(F.col("p.at"), F.col("p.at") + window - 1)).alias("at")
     )
     each = each.distinct().join(F.broadcast(values) if few else values, ["_item", "at"])
-    wanted = each.select("_doc", "_item", "line", "at", "value", (F.col("at") + F.col("shift")).alias("place"),
+    wanted = each.select("_doc", "_item", "line", "at", "value", "first", (F.col("at") + F.col("shift")).alias("place"),
                          F.lit(True).alias("inside"))
     out = out.unionByName(_consistent(bands.withColumn("found", F.size("ats")), _slots(docs, wanted)))
 
@@ -234,20 +235,21 @@ def _consistent(pairs: DataFrame, slots: DataFrame) -> DataFrame:
 
 
 def _values(texts: DataFrame, key: str = "_item", at: str = "at", value: str = "value") -> DataFrame:
-    """(key, place, value) of all slots; the first word of a sentence is a name here."""
+    """(key, place, value, first) of all slots; a capitalised first word of a sentence is a name here, and marked."""
     each = texts.select(key, F.posexplode(F.split(tokens("_text"), " ")).alias(at, value))
     each = each.where(F.col(value).rlike("^[\x01-\x04]")).withColumn(at, F.col(at) + 1)
-    return each.withColumn(value, F.translate(value, "\x01", "\x02")).distinct()
+    first = F.startswith(value, F.lit("\x01")).alias("first")
+    return each.select(key, at, F.translate(value, "\x01", "\x02").alias(value), first).distinct()
 
 
 def _slots(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(document, item, line): number of slots, changed ones, and whether every value of the item has one counterpart.
 
-    Only slots inside the windows that were found can speak against an alignment; those outside are counted too where
-    they agree with it.
+    Only slots inside the windows that were found can speak against an alignment, and none of values that are but first
+    words in the item; the others are counted too where they agree with it.
     """
     there = _values(docs.join(wanted.select("_doc").distinct(), "_doc", "left_semi"), "_doc", "place", "other")
-    met = wanted.join(there, ["_doc", "place"])
+    met = wanted.join(there.drop("first"), ["_doc", "place"]).withColumn("inside", F.col("inside") & ~F.col("first"))
     place = F.struct("at", "other", "inside")
     values = met.groupBy("_doc", "_item", "line", "value").agg(F.collect_set(place).alias("m"))
     others = lambda m: F.size(F.array_distinct(F.transform(m, lambda x: x["other"])))
@@ -323,15 +325,17 @@ with d as (
   from dwin join asked using (win) group by all
 ), pairs as (
   select * from lines join total using (item_id) where {_ENOUGH}
-), bval as (
-  select distinct item_id, place, case when ascii(value) = 1 then e'\\x02' || value[2:] else value end as value
+), bmarked as (
+  select distinct item_id, place, ascii(value) = 1 as first, case when ascii(value) = 1 then e'\\x02' || value[2:] else value end as value
   from bw where ascii(value) in (1, 2, 3, 4)
+), bval as (
+  select distinct item_id, place, value, bool_and(first) over (partition by item_id, value) as first from bmarked
 ), dval as (
   select distinct doc_id, place, case when ascii(value) = 1 then e'\\x02' || value[2:] else value end as other
   from dw where ascii(value) in (1, 2, 3, 4)
 ), met as (
   select p.doc_id, p.item_id, p.shift, v.value, v.place, o.other,
-   len(list_filter(p.ats, lambda a: a <= v.place and v.place < a + {WINDOW})) > 0 as inside
+   len(list_filter(p.ats, lambda a: a <= v.place and v.place < a + {WINDOW})) > 0 and not v.first as inside
   from pairs p join bval v using (item_id) join dval o on o.doc_id = p.doc_id and o.place = v.place + p.shift
 ), vals as (
   select doc_id, item_id, shift, value, count(distinct other) as o, count(distinct place) as n,
@@ -356,18 +360,21 @@ with d as (
   select * from (select doc_id, item_id, line, list(pos) as ats from picks group by all) join total using (item_id)
   where {_ENOUGH}
 ), bmet as (
-  select distinct k.doc_id, k.item_id, k.line, v.value, v.place, o.other
+  select distinct k.doc_id, k.item_id, k.line, v.value, v.place, o.other, not v.first as inside
   from picks k join bands using (doc_id, item_id, line)
   join bval v on v.item_id = k.item_id and v.place >= k.pos and v.place < k.pos + {WINDOW}
   join dval o on o.doc_id = k.doc_id and o.place = v.place + k.shift
 ), bvals as (
   select doc_id, item_id, line, value, count(distinct other) as o, count(distinct place) as n,
-   count(distinct place) filter (where other <> value) as c from bmet group by all
+   count(distinct place) filter (where other <> value) as c, count(distinct other) filter (where inside) as o_in,
+   count(distinct place) filter (where inside) as n_in, count(distinct place) filter (where inside and other <> value) as c_in
+  from bmet group by all
 ), bslots as (
-  select doc_id, item_id, line, max(o) as o, sum(n) as n_slots, sum(c) as n_changed from bvals group by all
+  select doc_id, item_id, line, max(o_in) as o_in, case when max(o) = 1 then sum(n) else sum(n_in) end as n_slots,
+   case when max(o) = 1 then sum(c) else sum(c_in) end as n_changed from bvals group by all
 ), loose as (
   select doc_id, item_id, len(ats) as found, asked, n_slots, n_changed
-  from bands left join bslots using (doc_id, item_id, line) where coalesce(o, 0) <= 1
+  from bands left join bslots using (doc_id, item_id, line) where coalesce(o_in, 0) <= 1
   qualify row_number() over (partition by doc_id, item_id order by len(ats) desc, line) = 1
 ), windowed as (
   select * from exact union all select * from loose
