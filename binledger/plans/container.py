@@ -8,7 +8,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from binledger.functions.dates import active_between, consistent_validity, date_of_day_key, day_key, month_key, month_of_day_key
@@ -198,7 +198,54 @@ def months_of(first: dt.date, last: dt.date) -> Column:
     return F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 month"))
 
 
-def monthly_rate_snapshot(
+def _month_at(year: Column, month: Column) -> Column:
+    """Calendar months counted from year 0, so that they can be compared and unfolded."""
+    return year * 12 + month - 1
+
+
+def _month_index(day: Column) -> Column:
+    return _month_at(F.year(day), F.month(day))
+
+
+def _first_index(day: Column) -> Column:
+    """First month whose first day is not before ``day``."""
+    return _month_index(day) + F.when(F.dayofmonth(day) > 1, 1).otherwise(0)
+
+
+def _last_index(day: Column) -> Column:
+    """Last month whose first day is before ``day``."""
+    return _month_index(day) - F.when(F.dayofmonth(day) == 1, 1).otherwise(0)
+
+
+def _month_of_index(index: Column) -> Column:
+    """Month counted from year 0 -> ``yyyymm`` int."""
+    return F.floor(index / 12).cast("int") * 100 + index % 12 + 1
+
+
+def _fee_spans(contract_fees: DataFrame, first: Column, last: Column) -> DataFrame:
+    """Each contract's fee versions by the months ``f_from`` to ``f_to`` they hold at the end of, and its months without one."""
+    key = ["f_div", "f_nbr", "f_grp"]
+    versions = contract_fees.select(
+        F.col("div_nbr").alias("f_div"), F.col("contract_nbr").alias("f_nbr"), F.col("contract_grp_nbr").alias("f_grp"), *_FEE_COLUMNS,
+        F.when(F.col("eff_dt").isNotNull(), F.greatest(first, _first_index(F.col("eff_dt")) - 1)).alias("f_from"),
+        F.when(F.col("disc_dt").isNotNull(), F.least(last, _month_index(F.col("disc_dt")) - 1)).alias("f_to"),
+    ).where(F.col("f_from") <= F.col("f_to"))
+    # one gap before each version that begins behind all earlier ones, and one behind the last
+    earlier = Window.partitionBy(*key).orderBy("f_from").rowsBetween(Window.unboundedPreceding, -1)
+    before = versions.select(
+        *key, (F.coalesce(F.max("f_to").over(earlier), first - 1) + 1).alias("f_begin"), (F.col("f_from") - 1).alias("f_to"))
+    behind = versions.groupBy(*key).agg((F.max("f_to") + 1).alias("f_begin")).withColumn("f_to", last)
+    gaps = before.unionByName(behind).withColumnRenamed("f_begin", "f_from").where(F.col("f_from") <= F.col("f_to"))
+    return versions.unionByName(gaps, allowMissingColumns=True)
+
+
+_SPAN_KEYS = [
+    *GRAIN[1:], "cont_close_mo", "cont_start_mo", "act_close_mo", "act_open_mo", "container_cnt", "container_size",
+    "is_franchise", "is_national_account",
+]
+
+
+def rate_spans(
     charges: DataFrame,
     containers: DataFrame,
     accounts: DataFrame,
@@ -207,11 +254,11 @@ def monthly_rate_snapshot(
     first_month: dt.date,
     last_month: dt.date,
 ) -> DataFrame:
-    """Base rates and container counts per grain for every month of a range, in one job.
+    """What ``monthly_rate_snapshot`` tells, before it is unfolded into months: a row per container group.
 
-    A charge is unfolded only into the months it can be valid in, after it has met its container on
-    the natural key. The dimensions are joined among themselves first, so the charges shuffle once for
-    all of them and stay co-located for the grouping, whose key contains the join key.
+    ``spans`` holds the group's charges by the months they count in: valid from ``a`` to ``b``, rated from ``r``, active
+    at the begin from ``o`` and at the end to ``z``, new in ``n`` and lost in ``l``. Charges with the same months are
+    summed, so the calendar bounds their number however many charges a container has.
     """
     natural = _NATURAL
     eff, cld = F.col("effective_date"), F.col("close_date")
@@ -222,8 +269,10 @@ def monthly_rate_snapshot(
         & consistent_validity(eff, cld)
     )
     scale = decimal_scale(charges, "charge_rate")
+    # a stated number of tasks: those Spark would merge by their compressed bytes unfold to many times these
+    tasks = int(charges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # equal charges of a container are summed before they meet their dimensions, where these join them
-    lines = lines.repartition(*natural).groupBy(*natural, F.upper("charge_code").alias("charge_code"), "effective_date", "close_date").agg(
+    lines = lines.repartition(tasks, *natural).groupBy(*natural, F.upper("charge_code").alias("charge_code"), "effective_date", "close_date").agg(
         F.sum(as_units(F.col("charge_rate"), scale)).alias("charge_rate")
     )
 
@@ -233,78 +282,135 @@ def monthly_rate_snapshot(
     )
     acct = current_rows(accounts).select("div_nbr", "acct_nbr", "acct_open_dt", "acct_close_dt", "is_national_account")
     hier = if_small(current_rows(hierarchy).select("div_nbr", "rev_distrib_cd", "cur_div_nbr"))
-    fees = if_small(contract_fees.drop("is_current"))
+    first, last = (F.lit(day.year * 12 + day.month - 1) for day in (first_month, last_month))
+    fees = if_small(_fee_spans(contract_fees, first, last))
 
     places = cont.join(acct, ["div_nbr", "acct_nbr"]).join(hier, ["div_nbr", "rev_distrib_cd"])
-    start_day = date_of_day_key(eff)
-    base = lines.join(places, natural).where((start_day < F.col("acct_close_dt")) & (start_day < F.col("close_dt")))
-    # the months between the latest start and the earliest end; the exact tests follow below
-    charge_end = F.when(cld == 0, F.lit(last_month)).otherwise(date_of_day_key(cld))
-    begin = F.trunc(F.greatest(start_day, "orig_start_dt", "acct_open_dt", F.lit(first_month)), "MM")
-    end = F.trunc(F.least(charge_end, "close_dt", "acct_close_dt", F.lit(last_month)), "MM")
-    months = F.when(begin <= end, F.sequence(begin, end, F.expr("interval 1 month")))
-    grown = base.withColumn("m", F.explode(months)).withColumn("e", F.add_months("m", 1))
-    grown = grown.withColumns({"mi": day_key(F.col("m")), "ei": day_key(F.col("e"))})
-
     opened, started = F.col("acct_open_dt"), F.col("orig_start_dt")
     aclose, cclose = F.col("acct_close_dt"), F.col("close_dt")
-    m, e, mi, ei = (F.col(c) for c in ("m", "e", "mi", "ei"))
-    grown = grown.where(
-        (started < e) & (opened < e) & (cclose > m) & (aclose > m) & active_between(eff, cld, mi, ei)
-    )
-    left = grown.withColumnsRenamed({"div_nbr": "g_div", "contract_nbr": "g_nbr", "contract_grp_nbr": "g_grp"})
-    priced = left.join(
-        fees,
-        [
-            F.col("g_div") == F.col("div_nbr"), F.col("g_nbr") == F.col("contract_nbr"),
-            F.col("g_grp") == F.col("contract_grp_nbr"), F.col("eff_dt") <= e, F.col("disc_dt") >= e,
-        ],
-        "left",
-    ).drop("div_nbr", "contract_nbr", "contract_grp_nbr").withColumnRenamed("g_div", "div_nbr")
-
-    code, count, rate = F.col("charge_code"), F.col("container_cnt"), F.col("charge_rate")
-    is_base = code.isin(*RATE_CODES)
-    valid_begin = (eff <= mi) & ((cld > mi) | (cld == 0))
-    valid_end = (eff <= ei) & ((cld >= ei) | (cld == 0))
-    live_begin = (aclose > m) & (cclose > m)
-    before = (opened < m) & (started < m) & live_begin
-    by_begin = (opened <= m) & (started <= m) & live_begin
-    by_end = (opened <= e) & (started <= e) & (aclose > e) & (cclose > e)
-    month = month_key(m)
-    same_month = lambda day: F.when(month_key(day) == month, 1).otherwise(0)
-    pick = lambda condition, value: F.when(condition, value).otherwise(F.lit(0))
-
+    start_day = date_of_day_key(eff)
+    base = lines.join(places, natural).where(
+        (start_day < aclose) & (start_day < cclose) & opened.isNotNull() & started.isNotNull())
+
+    # a close day is a number that need not be a calendar day: months outside 1 to 12 end a year's edge
+    month, day = F.floor(cld / 100).cast("int") % 100, cld % 100
+    calendar = month.between(1, 12)
+    close_at = _month_at(F.floor(cld / 10000).cast("int"), F.greatest(F.lit(1), F.least(F.lit(13), month)))
+    valid_to = F.when(cld == 0, last).otherwise(close_at - F.when(calendar & (day > 1), 0).otherwise(1))
+    full_to = F.when(cld == 0, last).otherwise(close_at - F.when(calendar & (day > 0), 1).otherwise(2))
+    by_begin = F.greatest(_first_index(opened), _first_index(started))
+    a = F.greatest(_month_index(start_day), _month_index(started), _month_index(opened), first)
+    b = F.least(valid_to, _last_index(cclose), _last_index(aclose), last)
+    spanned = base.withColumns({"a": a, "b": b}).where(F.col("a") <= F.col("b"))
+    fee_key = [F.col("div_nbr") == F.col("f_div"), F.col("contract_nbr") == F.col("f_nbr"), F.col("contract_grp_nbr") == F.col("f_grp")]
+    priced = spanned.join(fees, fee_key, "left").withColumns(
+        {"a": F.greatest("a", F.coalesce("f_from", first)), "b": F.least("b", F.coalesce("f_to", last))}
+    ).where(F.col("a") <= F.col("b"))
+    in_months = lambda index: F.when(index.between(F.greatest("a", by_begin), F.col("b")), index).otherwise(-1)
+    unending = F.col("b") + 1
+    full_to = F.least(full_to, _last_index(aclose) - 1, _last_index(cclose) - 1)
     keyed = priced.withColumns(
         {
-            "month_dt": month,
+            "r": F.least(unending, F.greatest(
+                "a", _first_index(start_day), _month_index(opened) + 1, _month_index(started) + 1)),
+            "o": F.least(unending, F.greatest("a", _first_index(start_day), by_begin)),
+            "z": F.greatest(F.col("a") - 1, F.least("b", full_to)),
+            "n": in_months(_month_index(start_day)),
+            "l": F.when((cld != 0) & calendar, in_months(close_at)).otherwise(-1),
             "cont_close_mo": month_key(cclose),
             "cont_start_mo": month_key(started),
             "act_close_mo": month_key(aclose),
             "act_open_mo": month_key(opened),
-            "is_new": same_month(opened),
-            "is_lost": same_month(aclose),
-            "is_closed": same_month(cclose),
-            "is_opened": same_month(started),
         }
     )
-    return keyed.groupBy(
-        *GRAIN, "cont_close_mo", "cont_start_mo", "act_close_mo", "act_open_mo", "container_cnt", "container_size",
-        "is_franchise", "is_national_account", *_FEE_COLUMNS,
-    ).agg(
-        F.max("is_new").alias("new_acct"),
-        F.max("is_lost").alias("lost_acct"),
-        F.max("is_closed").alias("closed_container"),
-        F.min("is_opened").alias("open_container"),
-        from_units(F.sum(pick(is_base & valid_begin & before, rate)), scale).alias("bcr_rt"),
-        from_units(F.sum(pick((code == "BCS") & valid_begin & before, rate)), scale).alias("bcs_rt"),
-        F.max(pick(is_base & valid_begin & by_begin, count)).alias("bcr_active_cont_bom"),
-        F.max(pick(is_base & valid_end & by_end, count)).alias("bcr_active_cont_eom"),
-        F.max(pick(is_base & (month_of_day_key(eff) == month) & by_begin, count)).alias("bcr_new_cnt"),
-        F.max(pick(is_base & (month_of_day_key(cld) == month) & by_begin, count)).alias("bcr_lost_cnt"),
-        *[F.max(pick(code == c, count)).alias(f"{c.lower()}_exists") for c in BASE_CODES],
+    key, months = [*_SPAN_KEYS, *_FEE_COLUMNS], ["charge_code", "a", "b", "r", "o", "z", "n", "l"]
+    summed = keyed.groupBy(*key, *months).agg(F.sum("charge_rate").alias("units"))
+    return summed.groupBy(*key).agg(
+        F.collect_list(F.struct(*months, "units")).alias("spans"), F.min("a").alias("first"), F.max("b").alias("last")
+    )
+
+
+def _span_measures(scale: int) -> dict[str, Column]:
+    """The measures of month ``i`` from those of the group's spans that are valid in it, ``live``."""
+    live, i, count = F.col("live"), F.col("i"), F.col("container_cnt")
+    is_base = lambda s: s["charge_code"].isin(*RATE_CODES)
+
+    def counted(held) -> Column:
+        # the largest of the count where the condition holds and of 0 where not
+        either = F.when(F.forall(live, held), count).otherwise(F.greatest(count, F.lit(0)))
+        general = F.when(~F.exists(live, held), 0).otherwise(either)
+        return F.when(count >= 0, F.when(F.exists(live, held), count).otherwise(0)).otherwise(general)
+
+    def rated(held) -> Column:
+        # as sum() does: what is unknown does not count, unless there is nothing else
+        value = lambda s: F.when(held(s) & (s["r"] <= i), s["units"]).otherwise(F.lit(0).cast("long"))
+        total = F.aggregate(live, F.lit(None).cast("long"), lambda acc, s: F.coalesce(acc + value(s), acc, value(s)))
+        return from_units(total, scale)
+
+    at = lambda field: lambda s: is_base(s) & (s[field] == i)
+    coded = lambda name: lambda s: s["charge_code"] == name
+    return {
+        "bcr_rt": rated(is_base),
+        "bcs_rt": rated(coded("BCS")),
+        "bcr_active_cont_bom": counted(lambda s: is_base(s) & (s["o"] <= i)),
+        "bcr_active_cont_eom": counted(lambda s: is_base(s) & (s["z"] >= i)),
+        "bcr_new_cnt": counted(at("n")),
+        "bcr_lost_cnt": counted(at("l")),
+        **{f"{c.lower()}_exists": counted(coded(c)) for c in BASE_CODES},
+    }
+
+
+def _runs(groups: DataFrame, scale: int) -> DataFrame:
+    """Runs of months, from ``i`` to ``till``, in which a group's measures stay; months without a charge are in none."""
+    edges = F.flatten(F.transform("spans", lambda s: F.array(
+        s["a"], s["r"], s["o"], s["z"] + 1, s["n"], s["n"] + 1, s["l"], s["l"] + 1, s["b"] + 1)))
+    inside = F.filter(F.array_sort(F.array_distinct(edges)), lambda x: x.between(F.col("first"), F.col("last") + 1))
+    pairs = F.zip_with(F.slice("edges", 1, F.size("edges") - 1), F.slice("edges", 2, F.size("edges") - 1), lambda x, y: F.struct(x.alias("i"), (y - 1).alias("till")))
+    runs = groups.withColumn("edges", inside).select("*", F.inline(pairs))
+    runs = runs.withColumn("live", F.filter("spans", lambda s: (s["a"] <= F.col("i")) & (s["b"] >= F.col("i")))).where(F.size("live") > 0)
+    return runs.select(*_SPAN_KEYS, *_FEE_COLUMNS, "i", "till", *[c.alias(name) for name, c in _span_measures(scale).items()])
+
+
+def _unfolded(runs: DataFrame) -> DataFrame:
+    """A row per month of each run."""
+    months = runs.withColumn("month_dt", F.explode(F.sequence("i", "till"))).withColumn("month_dt", _month_of_index(F.col("month_dt")))
+    same_month = lambda name: F.when(F.col(name) == F.col("month_dt"), 1).otherwise(0)
+    return months.drop("i", "till").withColumns(
+        {
+            "new_acct": same_month("act_open_mo"),
+            "lost_acct": same_month("act_close_mo"),
+            "closed_container": same_month("cont_close_mo"),
+            "open_container": same_month("cont_start_mo"),
+        }
     )
 
 
+def monthly_rate_snapshot(
+    charges: DataFrame,
+    containers: DataFrame,
+    accounts: DataFrame,
+    hierarchy: DataFrame,
+    contract_fees: DataFrame,
+    first_month: dt.date,
+    last_month: dt.date,
+) -> DataFrame:
+    """Base rates and container counts per grain for every month of a range, in one job.
+
+    The dimensions are joined among themselves first, so the charges shuffle once for all of them. All grouping is done
+    on charges; a container's row is unfolded into its months last, where no row waits for another.
+    """
+    groups = rate_spans(charges, containers, accounts, hierarchy, contract_fees, first_month, last_month)
+    months = _unfolded(_runs(groups, decimal_scale(charges, "charge_rate")))
+    flags = ["new_acct", "lost_acct", "closed_container", "open_container"]
+    return months.select("month_dt", *_SPAN_KEYS, *_FEE_COLUMNS, *flags, *_RATE_MEASURES)
+
+
+_RATE_MEASURES = [
+    "bcr_rt", "bcs_rt", "bcr_active_cont_bom", "bcr_active_cont_eom", "bcr_new_cnt", "bcr_lost_cnt",
+    *[f"{c.lower()}_exists" for c in BASE_CODES],
+]
+
+
 def rate_snapshot_totals(snapshot: DataFrame) -> DataFrame:
     """Check totals per month."""
     return snapshot.groupBy("month_dt").agg(

@@ -267,3 +267,30 @@ def test_uploads_under_contract(spark):
     got = campaign.rate_change_upload(lines, tax, contracts=contracts).collect()
     assert [(r.container_grp_nbr, r.contract_number) for r in got] == [("1", "RM1")]
     assert campaign.rate_change_upload(lines, tax).count() == 4
+
+
+def test_rate_snapshot_unfolds_months_last(spark):
+    """No grouping waits for the rows of all months: charges are grouped, months unfold from the groups."""
+    rates, cont = spark.createDataFrame([], schema_of("charge_rates")), spark.createDataFrame([], schema_of("dim_container_grp"))
+    acct, hier = spark.createDataFrame([], schema_of("dim_acct")), spark.createDataFrame([], schema_of("dim_corp_hier"))
+    fees = spark.createDataFrame([], schema_of("dim_contract_fee"))
+    out = container.monthly_rate_snapshot(rates, cont, acct, hier, fees, dt.date(2016, 1, 1), dt.date(2016, 4, 1))
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert 0 < plan.index("Generate explode(sequence(") < plan.index("Aggregate [")
+
+
+def test_rate_snapshot_fee_versions_and_close_days(spark):
+    """Months of one charge with a fee, with two, and without; a close day that is no calendar day."""
+    rates = spark.createDataFrame(
+        [("001", "0000001", "00001", "1", "BCR", "R", "F", "T1", Decimal("10.00"), 20160101, 20160431, "0", "y", None)], schema_of("charge_rates"))
+    cont = spark.createDataFrame(
+        [(1, "001", "0000001", "00001", "1", 3, 4, "FL", 0, dt.date(2015, 1, 1), OPEN, "0", "0", "10", "P", "10", 12, 1, 1, "WEEK", 1)], schema_of("dim_container_grp"))
+    acct = spark.createDataFrame([(1, "001", "0000001", dt.date(2015, 1, 1), OPEN, 0, 1)], schema_of("dim_acct"))
+    hier = spark.createDataFrame([(1, "R", "A1", "AREA", "4001", "D", "BU1", "desc", "001", "DIV", "10", "Commercial", 1)], schema_of("dim_corp_hier"))
+    names = ["div_nbr", "contract_nbr", "contract_grp_nbr", "erf_rate_pct", "eff_dt", "disc_dt"]
+    versions = [("001", "0", "0", Decimal("1.00"), dt.date(2015, 1, 1), dt.date(2016, 2, 1)), ("001", "0", "0", Decimal("2.00"), dt.date(2016, 2, 1), dt.date(2016, 3, 15))]
+    kinds = {f.name: f.dataType for f in schema_of("dim_contract_fee").fields}
+    fees = align_to_schema(spark.createDataFrame(versions, names).withColumn("erf_rate_pct", F.col("erf_rate_pct").cast(kinds["erf_rate_pct"])), schema_of("dim_contract_fee"))
+    out = container.monthly_rate_snapshot(rates, cont, acct, hier, fees, dt.date(2016, 1, 1), dt.date(2016, 6, 1)).collect()
+    got = sorted((r.month_dt, None if r.erf_rate_pct is None else int(r.erf_rate_pct), int(r.bcr_rt), r.bcr_active_cont_eom) for r in out)
+    assert got == [(201601, 1, 10, 3), (201601, 2, 10, 3), (201602, 2, 10, 3), (201603, None, 10, 3), (201604, None, 10, 0)]
