@@ -86,3 +86,31 @@ def test_the_final_table_needs_few_exchanges(spark, data):
     final = registry.final_table(Retail(spark, data))
     plan = plan_of(final)
     assert plan.count("Exchange hashpartitioning") <= 9
+
+
+@pytest.mark.parametrize("case", ["several fee versions", "no invoices", "no services", "no rates"])
+def test_three_facts_meet_per_container_and_unfold_last(spark, laid_out, case):
+    r = laid_out
+    some = F.col("container_grp_sk") % 7 < 3
+    invoice, service = r.invoice_detail.where(some), r.service_detail.where(F.col("container_grp_sk") % 5 < 3)
+    invoice = invoice.limit(0) if case == "no invoices" else invoice
+    service = service.limit(0) if case == "no services" else service
+    charges = r.charge_rates.limit(0) if case == "no rates" else r.charge_rates.where(F.col("close_date") < 19980101)
+    # containers without a site on the invoices' side, which meet nothing
+    cont = r.dim_container_grp.withColumn("site_nbr", F.when(F.col("container_grp_sk") % 11 > 0, F.col("site_nbr")))
+    fees = r.dim_contract_fee
+    if case == "several fee versions":
+        fees = fees.unionByName(fees.withColumn("erf_rate_pct", F.lit(9).cast("decimal(5,2)")).withColumn("is_current", F.lit(0)))
+    dims = (r.dim_acct, cont)
+    snap = lambda *more: job.monthly_rate_snapshot(
+        charges, cont, r.dim_acct, r.dim_corp_hier, fees, registry.FIRST_MONTH, registry.LAST_MONTH, *more)
+    facts = lambda rate, *more: job.three_facts(
+        invoice, service, rate, *dims, r.dim_charge_cd, r.dim_service_cd, r.dim_corp_hier, r.dim_rate_hist, fees, 199500, 19950301, *more)
+    unfolded = facts(snap())
+    flagged = unfolded.join(job.account_fee_flags(r.dim_acct_fee), ["div_nbr", "acct_nbr"], "left")
+    folded = facts(snap(False, r.dim_acct_fee), r.dim_acct_fee)
+    left, right = rows(registry_plain(folded)), rows(registry_plain(flagged))
+    assert left == right and len(left) > 0
+    plan = folded._jdf.queryExecution().optimizedPlan().toString()
+    # nothing is joined or grouped behind the months
+    assert "explode(sequence" in plan and "Join" not in plan[: plan.index("explode(sequence")] and "Aggregate" not in plan[: plan.index("explode(sequence")]
