@@ -5,7 +5,8 @@ small letters; a run of them is one name) and units (behind a number) with a mar
 the mark in place of the value, so a question whose numbers and names were changed has the template of the original. A
 lone capitalised word at the start of a sentence has a mark of its own and two readings, as a word and as a name; a window
 over such words meets others under either. All windows of ``WINDOW`` template tokens of the documents meet those of the
-benchmark in a hash join.
+benchmark in a hash join. Windows are made around seeds only: of every few windows that begin side by side, the tokens
+that all of them share are looked up among the same stretches of the benchmark first, so none that meets is left out.
 
 A document repeats an item if windows of one alignment are ``COVER`` of the item's, or hold ``SPREAD`` of its tokens,
 and the **slots** in them are consistent: each value of the item stands for one value of the document at all its places.
@@ -13,8 +14,8 @@ Every alignment of that cover is looked at, and one consistent is enough. Where
 ``SLACK`` tokens apart are taken together, as a word put in or left out shifts the rest of an item: each of the item's
 windows then counts in the alignment of most windows.
 
-The benchmark's windows and bytes are counted first and broadcast only up to ``BROADCAST_ROWS`` and ``BROADCAST_BYTES``;
-more are joined by a shuffle. Slots are compared for the found pairs only; capitalised first words count as slots where
+The benchmark's windows, seeds and bytes are counted first and broadcast only up to ``BROADCAST_ROWS`` and
+``BROADCAST_BYTES``; more windows are joined by a shuffle, more seeds are left aside and every window is made. Slots are compared for the found pairs only; capitalised first words count as slots where
 both sides have one.
 
 Items without a window that holds ``WORDS`` words (those of fewer than ``WINDOW`` tokens, or dense in values) are found
@@ -80,8 +81,40 @@ _STEPS = [
 ]
 
 
-def tokens(text: str) -> Column:
-    """Tokens of a text as one string, a space between them; values follow their mark."""
+
+def _any_of(words: list[str]) -> str:
+    """A pattern of the words that reads a common beginning once."""
+    rest = {w[0]: [v[1:] for v in words if v[:1] == w[0]] for w in words if w}
+    each = "|".join(head + _any_of(tails) for head, tails in rest.items())
+    if "" in words:
+        return f"(?:{each})?" if each else ""
+    return f"(?:{each})" if len(rest) > 1 else each
+
+
+# a letter beyond U+FFFF among those looked back at: without one, Java looks back at half of such letters
+_NAME = "(?=\\p{Lu})(?<![\\p{L}\\p{N}\x01\U00010000])\\p{Lu}\\p{Ll}[\\p{L}\\p{N}]*"
+_GAP = r"[^\p{L}\p{N}\x01-\x04_]"
+
+#: Steps as Java's patterns find them faster, with the same result: behind \x05, which stands before every text here,
+#: no step has to look for the beginning; what begins few matches is looked at first; and looking ahead shares the space
+#: between two words, so that one is enough and stays as it is.
+_QUICK = {
+    _STEPS[3]: (r"(?=[.!?:;\n\x05])([.!?:;][\"')\]]*\s+|\n\s*|\x05)(\p{Lu}\p{Ll})", "\\1\x01\\2"),
+    _STEPS[4]: (f"({_NAME})", " \x02\\1\x06"),
+    _STEPS[10]: (f"{_GAP}(?:(?<! ){_GAP}*|{_GAP}+)", " "),
+    _STEPS[11]: (r" \x01?(?i:(" + _any_of([*NUMBERS]) + "))(?= |$)", " \x03\\1\x07"),
+    _STEPS[12]: ("\x07 \x03", "_"),
+    _STEPS[14]: None,
+}
+#: The same without the values of names.
+_BARE = _QUICK | {
+    _STEPS[4]: (_NAME, " \x02\x06"),
+    _STEPS[5]: (r"\x01[\p{L}\p{N}]+  \x02", " \x02"),
+    _STEPS[6]: ("\x06  \x02", ""),
+}
+
+
+def _run(text: str, quick: dict) -> Column:
     start = F.coalesce(F.col(text), F.lit(""))
 
     def step(t: Column, pattern: str, to: str) -> Column:
@@ -90,21 +123,52 @@ def tokens(text: str) -> Column:
         return F.regexp_replace(t, pattern, re.sub(r"\\(\d)", r"$\1", to))
 
     def run(steps: list[tuple[str, str]]) -> Column:
-        return reduce(lambda t, s: step(t, *s), steps, start)
+        first = F.concat(F.lit("\x05"), step(start, *steps[0]))
+        return reduce(lambda t, s: step(t, *s), filter(None, [quick.get(s, s) for s in steps[1:]]), first)
 
     # most texts have no digit: the steps that need one are left out for them
     wordy = [s for s in _STEPS if "0-9" not in s[0]]
-    return F.trim(F.lower(F.when(start.rlike("[0-9]"), run(_STEPS)).otherwise(run(wordy))))
+    return F.when(start.rlike("[0-9]"), run(_STEPS)).otherwise(run(wordy))
+
 
+def tokens(text: str) -> Column:
+    """Tokens of a text as one string, a space between them; values follow their mark."""
+    return F.trim(F.lower(_run(text, _QUICK)))
 
-def template(tokens: Column) -> Column:
-    return F.regexp_replace(tokens, "([\x02-\x04])[^ ]*", "$1")
 
+def template(text: str) -> Column:
+    """The tokens of a text with the mark alone in place of a value."""
+    return F.lower(F.trim(F.regexp_replace(_run(text, _BARE), "([\x02-\x04])[^ ]+", "$1")))
 
-def windows(df: DataFrame, key: str, text: str, window: int) -> DataFrame:
-    """(key, place, hash) of every window of the template of ``text`` in its readings; places begin with 1."""
-    return _parts(df, key, text, window).select(key, "place", F.explode(_readings("part")).alias("hash")).withColumn(
-        "hash", F.xxhash64("hash"))
+
+def windows(df: DataFrame, key: str, text: str, window: int, seeds: DataFrame | None = None) -> DataFrame:
+    """(key, place, hash) of every window of the template of ``text`` in its readings; places begin with 1.
+
+    With ``seeds`` only windows that hold one of them where all windows of a stretch do; rows may repeat.
+    """
+    parts = _stretches(df, key, text, window)
+    if seeds is not None:
+        shared = F.substring_index(F.substring_index("stretch", " ", window), " ", -_seed(window))
+        parts = parts.withColumn("seed", shared).withColumn("seed", F.explode(_readings("seed")))
+        parts = parts.withColumn("seed", F.xxhash64("seed")).join(F.broadcast(seeds), "seed", "left_semi")
+    each = parts.select(key, "begin", F.posexplode(_windows_of(F.rtrim("stretch"), window)).alias("place", "part"))
+    each = each.select(key, (F.col("begin") + F.col("place")).alias("place"), F.explode(_readings("part")).alias("hash"))
+    return each.withColumn("hash", F.xxhash64("hash"))
+
+
+def _seed(window: int) -> int:
+    """Tokens that all windows of a stretch share: half a window of windows begin in a stretch."""
+    return window - max(window // 2, 1) + 1
+
+
+def _stretches(df: DataFrame, key: str, text: str, window: int) -> DataFrame:
+    """(key, begin, stretch): the windows of a text, cut into runs of half a window of them; ends may hold fewer."""
+    step = window + 1 - _seed(window)
+    word = "[^ ]++ "  # written out as often as it stands there, which Java's patterns run faster than a count
+    more = reduce(lambda rest, _: f"(?:{word}{rest})?", range(step - 1), "")
+    ahead = F.lit(f"(?<![^ ])(?=({word * window}{more})){word * step}")
+    found = F.regexp_extract_all(F.concat(template(text), F.lit(" ")), ahead, F.lit(1))
+    return df.select(key, F.posexplode(found).alias("begin", "stretch")).withColumn("begin", F.col("begin") * step + 1)
 
 
 def _readings(part: str) -> Column:
@@ -119,19 +183,17 @@ def _windows_of(tokens: Column, window: int) -> Column:
     return F.regexp_extract_all(F.concat(tokens, F.lit(" ")), F.lit(f"(?<![^ ])(?=((?:[^ ]+ ){{{window}}}))"), F.lit(1))
 
 
-def _parts(df: DataFrame, key: str, text: str, window: int) -> DataFrame:
-    parts = F.posexplode(_windows_of(template(tokens(text)), window)).alias("place", "part")
-    return df.select(key, parts).withColumn("place", F.col("place") + 1)
-
-
 def _marked(part: str | Column) -> Column:
     return F.size(F.filter(F.split(part, " "), lambda w: w.rlike("^[\x02-\x04]")))
 
 
 def _item_windows(items: DataFrame, key: str, text: str, window: int, words: int) -> DataFrame:
-    """Windows of the benchmark, in each reading, that hold enough words to tell something."""
-    read = _parts(items, key, text, window).select(key, F.col("place").alias("at"), F.explode(_readings("part")).alias("part"))
-    return read.where(window - _marked("part") >= words).select(key, "at", F.xxhash64("part").alias("hash")).distinct()
+    """Windows of the benchmark, in each reading, that hold enough words to tell something, and their seeds."""
+    parts = items.select(key, F.posexplode(_windows_of(template(text), window)).alias("at", "part"))
+    read = parts.select(key, (F.col("at") + 1).alias("at"), F.explode(_readings("part")).alias("part"))
+    seeds = F.transform(_windows_of(F.rtrim("part"), _seed(window)), lambda s: F.xxhash64(F.rtrim(s)))
+    return read.where(window - _marked("part") >= words).select(
+        key, "at", F.xxhash64("part").alias("hash"), seeds.alias("seeds")).distinct()
 
 
 def _plain(text: str) -> Column:
@@ -141,7 +203,7 @@ def _plain(text: str) -> Column:
 
 def _literal(docs: DataFrame, bench: DataFrame, window: int, words: int, few: bool) -> DataFrame | None:
     """(document, item, slots) of items without a usable window: documents that hold all their words in a row."""
-    usable = F.exists(_windows_of(template(tokens("_text")), window), lambda p: window - _marked(p) >= words)
+    usable = F.exists(_windows_of(template("_text"), window), lambda p: window - _marked(p) >= words)
     rest = bench.where(~usable).select("_item", _plain("_text").alias("whole"), _marked(tokens("_text")).alias("n_slots"))
     rest = rest.where("whole <> ''").distinct().withColumn("k", F.least(F.size(F.split("whole", " ")), F.lit(window)))
     begin = F.array_join(F.slice(F.split("whole", " "), F.lit(1), F.col("k")), " ")
@@ -173,11 +235,14 @@ def contaminated(
     docs = documents.select(F.col(key).alias("_doc"), F.col(text).alias("_text")).where("_doc is not null")
     bench = items.select(F.col(item_key).alias("_item"), F.col(item_text).alias("_text")).where("_item is not null")
     asked = stage(_item_windows(bench, "_item", "_text", window, words), "item-windows")
+    seeds = stage(asked.select(F.explode("seeds").alias("seed")).distinct(), "item-seeds")
+    asked = asked.drop("seeds")
     size = bench.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     few = size <= BROADCAST_BYTES and asked.count() <= BROADCAST_ROWS
     length = bench.groupBy("_item").agg(F.max(F.size(F.split(tokens("_text"), " "))).alias("length"))
     total = asked.groupBy("_item").agg(F.countDistinct("at").alias("asked")).join(length, "_item")
-    hits = windows(docs, "_doc", "_text", window).join(F.broadcast(asked) if few else asked, "hash")
+    near = seeds if few and seeds.count() <= BROADCAST_ROWS else None
+    hits = windows(docs, "_doc", "_text", window, near).join(F.broadcast(asked) if few else asked, "hash")
     lines = hits.groupBy("_doc", "_item", (F.col("place") - F.col("at")).alias("shift")).agg(F.collect_set("at").alias("ats"))
     lines = stage(lines.join(total, "_item"), "lines")
 

@@ -7,6 +7,7 @@ import corpus_pipeline
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from remainder import crc_remainder
 
 from binledger.llm import decontaminate, labelled, licenses, preferences, rules, toxicity
@@ -257,6 +258,42 @@ def test_decontamination_sql_has_every_branch(frame, tmp_path):
     assert sorted(want) == sorted(map(tuple, decontaminate.contaminated(docs, items).collect())) and want
 
 
+def odd_texts(n):
+    """Texts of ordinary and of odd pieces: marks, letters of other scripts and beyond U+FFFF, numbers, runs of names."""
+    r = random.Random(9)
+    parts = ["one", "Two", "SIX", "sixty", "seventeen", "Anna", "Anna2", "McDonald", "USA", "\u00dcber", "\u039f\u0394\u039f\u03a3", "\u0130st", "5", "3.5",
+             "1.2.3", "7%", "5 kg", "two km", "_", "-", "'", '"', ")", ".", "!", "?", ":", "\n", "\t", "  ", " ", "\x01", "\x02", "\x06", "\x07",
+             "\U0001f600", "\U0001d400\U0001d41b", "\U00010400\U00010428x", "A\u0308b", "\u01c5", "\u6f22", "\u00bd", "a", "the", "The"]
+    texts = ["".join(r.choice(parts) + r.choice([" ", " ", "", ". ", "\n"]) for _ in range(r.randint(0, 40))) for _ in range(n)]
+    return [(0, None), (1, ""), (2, " "), *((i + 3, t) for i, t in enumerate(texts))]
+
+
+def test_faster_steps_give_the_tokens_of_the_plain_ones(frame):
+    t = F.coalesce(F.col("text"), F.lit(""))
+    for pattern, to in decontaminate._STEPS:
+        t = F.regexp_replace(t, pattern, re.sub(r"\\(\d)", r"$\1", to))
+    got = frame(odd_texts(600), "id long, text string").select(
+        F.trim(F.lower(t)).alias("want"), decontaminate.tokens("text").alias("got"), decontaminate.template("text").alias("bare")).collect()
+    for x in got:
+        assert x.got == x.want and x.bare == re.sub("([\x02-\x04])[^ ]*", r"\1", x.want)
+
+
+@pytest.mark.parametrize("window", [1, 2, 3, 8])
+def test_windows_around_seeds_lose_no_hit(frame, window):
+    docs = frame(odd_texts(200), "id long, text string")
+    items = frame([(i, t and t[: len(t) // 2]) for i, t in odd_texts(200) if i % 9 == 4], "item long, text string")
+    asked = decontaminate._item_windows(items, "item", "text", window, 0)
+    seeds = asked.select(F.explode("seeds").alias("seed")).distinct()
+    hits = [w.join(asked, "hash").select("id", "place", "item", "at").distinct() for w in (
+        decontaminate.windows(docs, "id", "text", window), decontaminate.windows(docs, "id", "text", window, seeds))]
+    assert sorted(hits[0].collect()) == sorted(hits[1].collect()) and hits[0].count()
+    # every window was a row before; now half a window of them is
+    rows = decontaminate._stretches(docs, "id", "text", window).count()
+    every = decontaminate.windows(docs, "id", "text", window).select("id", "place").distinct().count()
+    assert rows <= every / max(window // 2, 1) + docs.count()
+    assert decontaminate.windows(docs, "id", "text", window, seeds.limit(0)).count() == 0
+
+
 def test_join_beyond_the_broadcast_bound(frame, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
     got = decontaminate.contaminated(frame([*CASES.items()], "doc_id long, text string"), frame([(10, ITEM)], "item_id long, text string"))
