@@ -21,6 +21,7 @@ tokens. A vocabulary whose merges use a part before it is made, or make one stri
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -281,13 +282,20 @@ _BUILT: dict[str, Automaton] = {}
 
 
 def automaton_of(source: bytes) -> Automaton:
-    """The automaton of a vocabulary file, built once per Python worker."""
+    """The automaton of a vocabulary file, built once per Python worker, as long as it only encodes."""
     key = hashlib.sha1(source).hexdigest()
     if key not in _BUILT:
         _BUILT[key] = Automaton(source)
     return _BUILT[key]
 
 
+def let_go() -> None:
+    """Drop automata and remembered words: this Python worker lives on, with other work."""
+    if _BUILT:
+        _BUILT.clear()
+        gc.collect()
+
+
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Small batches: the words of a text take many times its bytes."""
     for batch in batches:

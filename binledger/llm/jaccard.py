@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from binledger.llm.automaton import _slices
+from binledger.llm.automaton import _slices, let_go
 from binledger.llm.components import components
 from binledger.llm.registry import query, table
 from binledger.session import stage
@@ -102,6 +102,7 @@ def _describe(n: int, bands: int, rows: int):
     schema = pa.schema([("id", pa.int64()), ("class", pa.binary()), ("size", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in _slices(batches):
             out = []
             for key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -124,6 +125,7 @@ def _sets(n: int):
                         ("grams", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in _slices(batches):
             out = []
             for row in batch.to_pylist():
@@ -190,6 +192,7 @@ def _verify(threshold: float):
         return {"class": [rows[i][1] for i in on], "root": [rows[find(i)][1] for i in on], "links": [links[i] for i in on]}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         def rows():
             for batch in batches:
                 for k in range(0, batch.num_rows, 64):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from binledger.llm.automaton import _free, _slices, _with
+from binledger.llm.automaton import _free, _slices, _with, let_go
 from binledger.llm.labelled import SAMPLE, Rows, held_out, lasso_logistic, sample_of
 from binledger.llm.registry import query, table
 from binledger.session import stage
@@ -85,6 +85,7 @@ def swapped(text: str) -> Iterator[tuple[set[str], set[str]]]:
 
 def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts of each label that have a feature; the labelled sample is bounded, and so is what a task holds."""
+    let_go()
     toxic, clean = Counter(), Counter()
     for batch in _slices(batches):
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -100,6 +101,7 @@ def _describe(place: dict[str, int]):
     schema = pa.schema([("label", pa.int32()), ("has", pa.list_(pa.int32())), ("swaps", pa.list_(pa.list_(pa.int32())))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in _slices(batches):
             rows = []
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -150,6 +152,7 @@ def score(df: DataFrame, weights: dict[str, float], intercept: float, text: str
     begin = {n: {f[:-1]: v for f, v in weights.items() if f[0] != "=" and len(f) == n + 1} for n in PREFIXES}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in _slices(batches):
             scores = []
             for t in batch.column(batch.schema.get_field_index(text)).to_pylist():
