@@ -3,9 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from binledger.operators.joins import FEW_LOOKED_UP, looked_up
 from binledger.plans import container as job
 from binledger.registry import container as registry
-from binledger.session import clear_stage, stage_bucketed
+from binledger.session import clear_stage, join_as_dealt, stage_bucketed
 from binledger.sources.retail import LaidOutRetail, Retail
 
 
@@ -114,3 +115,66 @@ def test_three_facts_meet_per_container_and_unfold_last(spark, laid_out, case):
     plan = folded._jdf.queryExecution().optimizedPlan().toString()
     # nothing is joined or grouped behind the months
     assert "explode(sequence" in plan and "Join" not in plan[: plan.index("explode(sequence")] and "Aggregate" not in plan[: plan.index("explode(sequence")]
+
+
+@pytest.fixture
+def nothing_broadcast(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_lookups_move_pairs_and_not_the_rows(spark, nothing_broadcast):
+    join_as_dealt(spark)
+    lines = spark.range(3000).select(
+        F.when(F.col("id") % 50 > 0, F.col("id") % 211).alias("box"), F.when(F.col("id") % 60 > 0, F.col("id") % 7).alias("rate"), F.repeat(F.lit("x"), 9).alias("wide"))
+    # a rate that comes twice, one that is missing and a NULL
+    rates = spark.createDataFrame([(0, 5), (1, 6), (1, 7), (2, None), (4, 9), (5, 9), (6, 9), (None, 1)], "rate long, price int")
+    laid = stage_bucketed(lines, "lines", ["box"])
+    wanted = rows(lines.join(rates, "rate").where("box is not null"))
+    for few in (0, 100):
+        got = looked_up(laid, rates, "rate", "box", few=few)
+        assert rows(got.where("box is not null")) == wanted
+    narrow = looked_up(laid, rates, "rate", "box", few=0).groupBy("box", "rate").agg(F.max("wide"), F.sum("price"))
+    exchanges = [line for line in plan_of(narrow).splitlines() if "Exchange" in line]
+    # pairs and rates to each other, what was found back; the lines stay
+    assert len(exchanges) == 3 and sum("REPARTITION_BY_NUM" in line for line in exchanges) == 1
+    beside = looked_up(laid, rates, "rate", "box", lines.select("box", "rate").where("box is not null"), 0)
+    assert rows(beside) == wanted
+
+
+@pytest.mark.parametrize("few", [0, FEW_LOOKED_UP])
+def test_facts_are_dealt_by_account_once(spark, data, few):
+    plan = plan_of(registry.final_table(Retail(spark, data), few)).splitlines()
+    keys = [line.split("hashpartitioning(")[1] for line in plan if "Exchange hashpartitioning" in line]
+    by_account = [k for k in keys if k.startswith("div_nbr") and "acct_nbr" in k and "REPARTITION_BY_NUM" in k]
+    # invoices with services and charges, and those of the containers and accounts that are not broadcast
+    assert 2 <= len(by_account) <= 4
+    # neither sums nor charges move by the month, the surrogate keys or the whole natural key
+    assert not [k for k in keys if "site_nbr" in k or "month" in k or "revenue_period" in k or "corp_hier_sk" in k]
+
+
+@pytest.mark.parametrize("few", [0, 10**6])
+def test_three_facts_from_odd_lookups(spark, laid_out, few):
+    r = laid_out
+    join_as_dealt(spark)
+    key = F.col("container_grp_sk")
+    invoice = r.invoice_detail.where(key % 3 > 0).withColumn("rate_sk", F.when(key % 10 > 0, F.col("rate_sk")))
+    service = r.service_detail.where(key % 5 < 3).withColumn("acct_sk", F.when(key % 9 > 0, F.col("acct_sk") + F.when(key % 8 == 0, 1).otherwise(0)))
+    twice = lambda df, condition: df.unionByName(df.where(condition))
+    rates = twice(r.dim_rate_hist.where("rate_sk % 6 > 0"), "rate_sk % 4 = 0")
+    accounts = twice(r.dim_acct.where("acct_sk % 7 > 0"), "acct_sk % 5 = 0")
+    fees = twice(r.dim_contract_fee, "contract_nbr = '1'").unionByName(
+        r.dim_contract_fee.where("contract_nbr = '0'").withColumns({"erf_rate_pct": F.lit(None).cast("decimal(5,2)"), "is_frf_locked": F.lit(1)}))
+    rate = registry.snapshot(r).where(F.col("month_dt") < 199604)
+    inv = job.invoice_monthly(
+        invoice, accounts, r.dim_container_grp, r.dim_charge_cd, r.dim_corp_hier, rates, fees, after_month=199500)
+    srv = job.service_monthly(service, accounts, r.dim_container_grp, r.dim_service_cd, r.dim_corp_hier, from_day=19950301)
+    wanted = job.with_rates(job.invoice_and_service(inv, srv), rate)
+    got = job.three_facts(
+        invoice, service, rate, accounts, r.dim_container_grp, r.dim_charge_cd, r.dim_service_cd, r.dim_corp_hier, rates, fees,
+        199500, 19950301, few=few)
+    left, right = rows(registry_plain(got)), rows(registry_plain(wanted))
+    assert left == right and len(left) > 0
